@@ -39,15 +39,14 @@ def payload_shape(raw: Column) -> Column:
 
 
 def payload_shapes(df: DataFrame, raw: str, by: list[str] | None = None) -> DataFrame:
-    """Distinct payload shapes with their record counts.
+    """Distinct payload shapes with their record counts; shape is null for non-objects.
 
     Variant objects keep their keys sorted, so equal field sets give equal
-    shapes.  Records that are no JSON object say nothing about the schema and
-    are left to the corrupt-record output.
+    shapes.  Unreadable records are grouped rather than filtered: a filter on
+    the shape would be pushed below the aggregation and parse every payload twice.
     """
     by = by or []
     return (df.select(*by, payload_shape(F.col(raw)).alias("shape"))
-            .filter(F.col("shape").isNotNull())
             .groupBy(*by, "shape").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -58,7 +57,8 @@ def observed_fields(df: DataFrame, raw: str, by: list[str] | None = None) -> Dat
     the explode sees one row per shape and task, not one per record and field.
     """
     by = by or []
-    return (payload_shapes(df, raw, by).select(*by, "n", F.explode("shape").alias("f"))
+    fields = F.transform("shape", lambda f: f)  # an expression: explode infers no filter from it
+    return (payload_shapes(df, raw, by).select(*by, "n", F.explode(fields).alias("f"))
             .groupBy(*by, "f.field", "f.class").agg(F.sum("n").alias("records")))
 
 
@@ -69,7 +69,8 @@ def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
     Every shape contributes its own fields plus one zero-count marker per
     contract field, so a single aggregation answers the full outer comparison;
     neither the payloads nor the groups are read a second time.  A field that
-    was only ever null is evidence of presence, not of a type.
+    was only ever null is evidence of presence, not of a type, and a group
+    without one readable payload gives no rows.
     """
     by = by or []
     markers = F.array(*[F.struct(F.lit(f.name).alias("field"), F.lit("null").alias("class"),
@@ -80,7 +81,7 @@ def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
     own = F.transform("shape", lambda f: F.struct(f["field"].alias("field"), f["class"].alias("class"),
                                                   F.col("n").alias("n")))
     seen = (payload_shapes(df, raw, by)
-            .select(*by, F.explode(F.concat(own, markers)).alias("f"))
+            .select(*by, F.explode(F.when(F.col("shape").isNotNull(), F.concat(own, markers))).alias("f"))
             .groupBy(*by, "f.field")
             .agg(F.sum("f.n").alias("records"),
                  F.array_sort(F.collect_set(F.when(F.col("f.class") != "null", F.col("f.class"))))

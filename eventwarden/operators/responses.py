@@ -1,7 +1,7 @@
 """Stored free-text responses to structured decisions.
 
 All steps are expressions over a single row: a response never leaves its row, so
-the whole job is one projection without a shuffle.
+the whole job is a chain of projections without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,36 +20,39 @@ DEFAULT_CONFIDENCE_TEXT = "0.7"
 UNREADABLE_CONFIDENCE = 0.5
 MAX_HEADER = 20
 
-# Unicode white space, as a character class both Java and RE2 read.
-SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+# Unicode white space.
+SPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+         "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 # A brace group with up to one nested level; possessive, so long texts cannot backtrack.
 ACTION = r"\{[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+\}"
 
 
 def strip(text: Column) -> Column:
-    """Trim Unicode white space; each run of spaces is looked at once."""
-    return F.regexp_replace(text, f"^{SPACE}++|(?<!{SPACE}){SPACE}++$", "")
+    """Trim Unicode white space at both ends."""
+    return F.btrim(text, F.lit(SPACE))
 
 
-def sections(text: Column) -> Column:
-    """``array<struct<name, body>>`` in order of appearance.
+def with_sections(df: DataFrame, text: str, out: str = "_parts") -> DataFrame:
+    """Add ``array<struct<name, body>>`` in order of appearance.
 
     A line ending in a colon and shorter than 20 characters opens a section;
-    text before the first one, or under an empty name, belongs to none.
+    text before the first one, or under an empty name, belongs to none.  The
+    lines and the header positions are columns of their own: an expression
+    used inside a lambda would be evaluated again for every element.
     """
-    trimmed = F.transform(F.split(text, "\n", -1), strip)
-    is_header = lambda l: l.endswith(":") & (F.length(l) < MAX_HEADER)
-    numbered = F.transform(trimmed, lambda l, i: F.struct(
-        F.when(is_header(l), i + 1).alias("at"), l.alias("line")))
-    starts = F.transform(F.filter(numbered, lambda x: x["at"].isNotNull()), lambda x: x["at"])
-    return F.transform(starts, lambda at, k: F.struct(
-        F.lower(F.regexp_replace(F.get(trimmed, at - 1), ":$", "")).alias("name"),
-        F.array_join(
-            F.slice(trimmed, at + 1,
-                    F.coalesce(F.get(starts, k + 1), F.size(trimmed) + 1) - at - 1), "\n").alias("body"),
-    ))
+    def is_header(line: Column) -> Column:
+        return line.endswith(":") & (F.length(line) < MAX_HEADER)
+
+    headers = F.transform("_lines", lambda l, i: F.when(is_header(l), i + 1))
+    end = lambda k: F.coalesce(F.get("_starts", k + 1), F.size("_lines") + 1)
+    parts = F.transform("_starts", lambda at, k: F.struct(
+        F.lower(F.regexp_replace(F.get("_lines", at - 1), ":$", "")).alias("name"),
+        F.array_join(F.slice("_lines", at + 1, end(k) - at - 1), "\n").alias("body")))
+    return (df.withColumn("_lines", F.transform(F.split(F.col(text), "\n", -1), strip))
+            .withColumn("_starts", F.array_compact(headers))
+            .withColumn(out, parts)
+            .drop("_lines", "_starts"))
 
 
 def section(parts: Column, name: str) -> Column:
@@ -84,7 +87,8 @@ def actions(text: Column) -> Column:
 
 def response_sections(responses: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """One row per named section."""
-    return (responses.select(*key, F.posexplode(sections(F.col(text))).alias("section_no", "s"))
+    return (with_sections(responses, text)
+            .select(*key, F.posexplode(F.transform("_parts", lambda p: p)).alias("section_no", "s"))
             .filter(F.col("s.name") != "")
             .select(*key, "section_no", "s.name", "s.body"))
 
@@ -113,15 +117,15 @@ def response_decisions(responses: DataFrame, key: list[str], text: str = "text",
     A missing text is a parse failure: confidence 0 and escalation.  Actions
     are kept only at or above the confidence gate.
     """
-    parsed = (responses.select(*key, F.col(text).alias("_text"))
-              .withColumn("_parts", sections(F.col("_text"))))
+    parsed = (with_sections(responses.select(*key, F.col(text).alias("_text")), "_text")
+              .withColumn("_calls", actions(F.col("_text"))))
     failed = F.col("_text").isNull()
 
     def part(name: str, default: str) -> Column:
         return F.coalesce(section(F.col("_parts"), name), F.lit(default))
 
     sure = F.when(failed, 0.0).otherwise(confidence(part("confidence", DEFAULT_CONFIDENCE_TEXT)))
-    called = actions(F.col("_text"))
+    called = F.col("_calls")
     return (parsed
             .withColumn("confidence", sure)
             .select(
