@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
+from eventwarden.operators.skew import splittable
 from eventwarden.schemas import INCIDENT, INCIDENT_CHANGE
 
 ATTRIBUTES = [f.name for f in INCIDENT.fields if f.name != "id"]
@@ -125,13 +126,18 @@ def recent_incidents(incidents: DataFrame, as_of: Column, days: int = P.INCIDENT
 
 def incident_stats(incidents: DataFrame, as_of: Column,
                    days: int = P.INCIDENT_STATS_DAYS) -> DataFrame:
-    """Totals and counts by type, severity and status in a single pass."""
+    """Totals and counts by type, severity and status in a single pass.
+
+    The grouping sets expand the few distinct combinations, not the incidents.
+    """
     dims = ["incident_type", "severity", "status"]
     recent = incidents.filter(F.col("created_at") >= as_of - F.expr(f"INTERVAL '{int(days)}' DAY"))
-    sets = recent.groupingSets([[], *[[d] for d in dims]], *dims).agg(
+    combos = recent.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"),
+                                       F.count_if("escalated").alias("esc"))
+    sets = combos.groupingSets([[], *[[d] for d in dims]], *dims).agg(
         *[F.grouping(d).alias(f"_g_{d}") for d in dims],
-        F.count(F.lit(1)).alias("incidents"),
-        F.count_if("escalated").alias("escalated_incidents"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("incidents"),
+        F.coalesce(F.sum("esc"), F.lit(0)).alias("escalated_incidents"),
     )
     label, value = F.lit("total"), F.lit("all")
     for d in dims:
@@ -145,17 +151,20 @@ def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """Primary store plus the fallback's incidents it does not hold.
 
     A fallback file may repeat an id; its first record by creation time wins.
+    Repeats collapse before the anti join, so no id is hot in it.
     """
-    extra = fallback.join(primary.select("id"), "id", "left_anti")
-    rest = [c for c in extra.columns if c != "id"]
-    first = (extra.groupBy("id")
+    rest = [c for c in fallback.columns if c != "id"]
+    first = (fallback.groupBy("id")
              .agg(F.min_by(F.struct(*rest), F.struct("created_at", "updated_at")).alias("r"))
              .select("id", "r.*"))
-    return primary.unionByName(first, allowMissingColumns=True)
+    extra = first.join(primary.select("id"), "id", "left_anti")
+    return primary.unionByName(extra, allowMissingColumns=True)
 
 
 def escalation_notices(changes: DataFrame, incidents: DataFrame) -> DataFrame:
     """Each escalation joined with its own incident, ready for a failure alert."""
     raised = changes.filter(F.col("escalated")).select(
-        "id", F.col("escalated_at").alias("at"), F.col("resolution_notes").alias("escalation_notes"))
-    return raised.join(incidents.select("id", "incident_type", "severity", "summary"), "id")
+        splittable("id").alias("_key"), F.col("escalated_at").alias("at"),
+        F.col("resolution_notes").alias("escalation_notes"))
+    owner = incidents.select(splittable("id").alias("_key"), "id", "incident_type", "severity", "summary")
+    return raised.join(owner, "_key").drop("_key")

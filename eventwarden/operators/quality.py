@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
+from eventwarden.operators.skew import splittable
 from eventwarden.policies import Expectation
 
 # Type names that a suite may use -> Spark type names.
@@ -210,14 +211,20 @@ def failed_rows(df: DataFrame, suite: Sequence[Expectation], as_of: Column, keys
 
 def duplicate_rows(df: DataFrame, suite: Sequence[Expectation], as_of: Column,
                    keys: list[str], batch: str) -> DataFrame:
-    """Rows that break a uniqueness check, in the shape of :func:`failed_rows`."""
+    """Rows that break a uniqueness check, in the shape of :func:`failed_rows`.
+
+    The repeated values are joined back, one row each; a value that most rows
+    share is split over tasks by adaptive execution.
+    """
     out = None
     for c in compile_suite(suite, df.schema, as_of):
         if c.kind != "unique":
             continue
         repeated = value_counts(df, c.column, batch).filter("_n > 1 AND _value IS NOT NULL")
-        rows = (df.select(*dict.fromkeys([*keys, batch]), F.col(c.column).alias("_value"))
-                .join(repeated.select(batch, "_value"), [batch, "_value"], "left_semi")
+        rows = (df.select(*keys, F.col(c.column).alias("_value"),
+                          splittable(F.col(batch).alias("b"), F.col(c.column).alias("v")).alias("_key"))
+                .join(repeated.select(splittable(F.col(batch).alias("b"), F.col("_value").alias("v"))
+                                      .alias("_key")), "_key", "left_semi")
                 .select(*keys, F.lit(c.position).alias("position"),
                         F.lit(c.type).alias("expectation_type"),
                         F.lit(c.column).alias("column_name"),
@@ -226,6 +233,15 @@ def duplicate_rows(df: DataFrame, suite: Sequence[Expectation], as_of: Column,
     return out
 
 
+def rows_outside_table(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str) -> DataFrame:
+    """Membership check against a table instead of a literal set; nulls are not judged.
+
+    The planner broadcasts the table while its size is under the threshold.
+    """
+    return (df.filter(F.col(column).isNotNull())
+            .join(allowed.select(F.col(allowed_column).alias(column)), column, "left_anti"))
+
+
 def unexpected_samples(failed: DataFrame, order: str, batch: list[str] | None = None,
                        limit: int = P.SAMPLE_LIMIT) -> DataFrame:
     """The first ``limit`` unexpected values per expectation.

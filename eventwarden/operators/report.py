@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
@@ -44,20 +44,27 @@ def run_rates(reports: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy())
     })
 
 
+def _segments(flagged: DataFrame, by: list[str]) -> DataFrame:
+    """Rows and failures of each (country, plan): all the segment reports need of the events."""
+    return flagged.groupBy(*by, "country", "plan").agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(~F.col("dq_passed")).alias("dq_failures"))
+
+
 def failure_by_segment(flagged: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Quality failures overall, by country, by plan and by both, in one pass.
+    """Quality failures overall, by country, by plan and by both.
 
-    ``segment`` tells a rolled-up null from a null in the data.
+    The grouping sets expand the finest segments, not the events.  ``segment``
+    tells a rolled-up null from a null in the data.
     """
     by = by or []
-    failures = F.count_if(~F.col("dq_passed"))
-    sets = flagged.groupingSets(
+    sets = _segments(flagged, by).groupingSets(
         [[*by], [*by, "country"], [*by, "plan"], [*by, "country", "plan"]],
         *by, "country", "plan",
     ).agg(
         (F.grouping("country") * 2 + F.grouping("plan")).cast("int").alias("_level"),
-        F.count(F.lit(1)).alias("total_records"),
-        failures.alias("dq_failures"),
+        F.sum("total_records").alias("total_records"),
+        F.sum("dq_failures").alias("dq_failures"),
     )
     level = (F.when(F.col("_level") == 3, "all").when(F.col("_level") == 1, "country")
              .when(F.col("_level") == 2, "plan").otherwise("country_plan"))
@@ -69,21 +76,19 @@ def failure_by_segment(flagged: DataFrame, by: list[str] | None = None) -> DataF
 def failure_shares(flagged: DataFrame, by: list[str]) -> DataFrame:
     """Each (country, plan) segment's share of its run's failures.
 
-    Aggregated twice: the segment counts are shuffled once, and the run totals
-    come from those counts rather than from another pass over the events.
+    The run totals come from the segment counts, in a window over the few
+    segments of a run; the events are aggregated once.
     """
-    segments = (flagged.groupBy(*by, "country", "plan")
-                .agg(F.count_if(~F.col("dq_passed")).alias("segment_failures")))
-    totals = segments.groupBy(*by).agg(F.sum("segment_failures").alias("run_failures"))
-    return (segments.join(totals, by)
+    run_failures = F.sum("dq_failures").over(Window.partitionBy(*by))
+    return (_segments(flagged, by)
+            .select(*by, "country", "plan", F.col("dq_failures").alias("segment_failures"),
+                    run_failures.alias("run_failures"))
             .withColumn("failure_share", X.rate("segment_failures", "run_failures")))
 
 
 def worst_segments(flagged: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` country/plan segments with the most failures."""
-    return (flagged.groupBy("country", "plan")
-            .agg(F.count(F.lit(1)).alias("total_records"),
-                 F.count_if(~F.col("dq_passed")).alias("dq_failures"))
+    return (_segments(flagged, [])
             .orderBy(F.desc("dq_failures"), F.asc_nulls_first("country"), F.asc_nulls_first("plan"))
             .limit(k))
 

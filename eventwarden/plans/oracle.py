@@ -662,6 +662,19 @@ SELECT a.*, channel FROM (
   (VALUES ('slack'), ('email')) c(channel)
 """, _REPORT, _REASONS, *_RAW, _DRIFT)
 
+_add("remediation_tables", """
+SELECT 'run_reports' AS table_name, count(*) AS rows FROM rr
+UNION ALL SELECT 'dq_results', count(*) FROM res
+UNION ALL SELECT 'decisions', count(*) FROM rr
+UNION ALL SELECT 'decision_log', count(*) FROM rr
+UNION ALL SELECT 'action_audit', count(*) + count(*) FILTER (WHERE schema_drift_detected) FROM rr
+UNION ALL SELECT 'incident_events', count(*) + count(*) FILTER (WHERE escalated) FROM inc
+UNION ALL SELECT 'alerts', 2 * ((SELECT 2 * count(*) FROM rr) + (SELECT count(*) FROM dc WHERE drift_class <> 'none'))
+""", *_INC, _COPIES, _RESULTS, *_RAW, _DRIFT)
+_add("country_membership", f"""
+SELECT event_id, country FROM ce WHERE country IS NOT NULL AND country NOT IN {_COUNTRIES}
+""")
+
 # -- responses ---------------------------------------------------------------------------------------
 
 _SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"

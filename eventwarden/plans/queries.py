@@ -18,6 +18,7 @@ from eventwarden.operators import (
     quarantine as QU, remap as RM, report as R, responses as RS,
 )
 from eventwarden.plans import fixture as FX
+from eventwarden.plans.remediation import remediate
 from eventwarden.session import work_folder
 from eventwarden.sinks import tables as K
 from eventwarden.sources import documents as DOC, events as SRC
@@ -580,6 +581,27 @@ def alert_outbox(spark, sf):
     return A.fan_out(alerts)
 
 
+@query
+def remediation_tables(spark, sf):
+    """The whole scheduled chain; rows per table it wrote."""
+    paths = remediate(FX.flagged_events(spark, sf), work_folder(spark, "remediation"), F.col(CLOCK),
+                      F.expr(FX.DECODE_FAILED), _raw_text(spark, sf))
+    out = None
+    for name, path in paths.items():
+        part = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def country_membership(spark, sf):
+    """Countries outside the accepted set, checked against a table."""
+    allowed = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in P.COUNTRIES])).alias("code"))
+    return Q.rows_outside_table(FX.customer_events(spark, sf).select("event_id", "country"),
+                                "country", allowed, "code")
+
+
 # -- responses ----------------------------------------------------------------------------------
 
 TURN = ["conv_id", "turn"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventwarden import schemas as S
 from eventwarden.policies import Expectation
@@ -12,14 +12,24 @@ from eventwarden.policies import Expectation
 LOADED, EMPTY, NO_FOLDER = "success", "no_data", "no_output_directory"
 
 
+def _documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One JSON document per file; a missing path is an empty table, not an error."""
+    try:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_reports(spark: SparkSession, path: str) -> DataFrame:
-    """Run reports, one JSON document per file."""
-    return spark.read.schema(S.RUN_REPORT).option("multiLine", True).json(path)
+    """Run reports as JSON documents."""
+    return _documents(spark, path, S.RUN_REPORT)
 
 
 def quality_documents(spark: SparkSession, path: str) -> DataFrame:
     """Validation summaries in the columns :func:`decision_context` joins on."""
-    docs = spark.read.schema(S.DQ_DOCUMENT).option("multiLine", True).json(path)
+    docs = _documents(spark, path, S.DQ_DOCUMENT)
     return docs.select(
         "run_id", "status",
         F.col("summary.total_expectations").alias("evaluated_expectations"),
@@ -35,7 +45,7 @@ def incident_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def suite_rows(spark: SparkSession, path: str) -> DataFrame:
     """An expectation suite as rows; arguments stay a variant."""
-    docs = spark.read.schema(S.SUITE_DOCUMENT).option("multiLine", True).json(path)
+    docs = _documents(spark, path, S.SUITE_DOCUMENT)
     return (docs.select("expectation_suite_name",
                         F.posexplode("expectations").alias("position", "e"))
             .select("expectation_suite_name", "position", "e.expectation_type",

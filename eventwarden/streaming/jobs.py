@@ -13,6 +13,7 @@ from eventwarden import policies as P
 from eventwarden.operators import enrich as E, report as R
 from eventwarden.schemas import RUN_REPORT
 from eventwarden.sinks import tables as K
+from eventwarden.sources import events as SRC
 
 REPORT_METRICS = "run_report"
 
@@ -79,9 +80,23 @@ def windowed_report_stream(flagged: DataFrame, width: str = P.REPORT_WINDOW,
 
 
 def deduplicate_stream(flagged: DataFrame, keys: list[str],
-                       delay: str = P.WATERMARK_DELAY) -> DataFrame:
-    """First delivery of each key; state is kept for the watermark delay only."""
-    return flagged.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(keys)
+                       delay: str = P.WATERMARK_DELAY, spread: Column | None = None) -> DataFrame:
+    """First delivery of each key; state is kept for the watermark delay only.
+
+    Deduplication cannot combine before its shuffle.  ``spread`` takes apart a
+    key that is delivered very often: copies are first dropped within (key,
+    spread), then within the key.
+    """
+    marked = flagged.withWatermark("event_timestamp", delay)
+    if spread is not None:
+        marked = (marked.withColumn("_spread", spread)
+                  .dropDuplicatesWithinWatermark([*keys, "_spread"]).drop("_spread"))
+    return marked.dropDuplicatesWithinWatermark(keys)
+
+
+def drop_batch_duplicates(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Unique keys inside one micro-batch; copies collapse in the task that reads them."""
+    return batch.dropDuplicates(keys)
 
 
 def merge_reports(reports: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -94,6 +109,27 @@ def merge_reports(reports: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.max("end_time").alias("end_time"), F.first("watermark_delay").alias("watermark_delay"))
 
 
+def ingest(raw: DataFrame, path: str, checkpoint: str, seconds: float, codec: str = "json",
+           processing: Column | None = None, every: str | None = P.CURATED_TRIGGER) -> DataFrame:
+    """The whole job: decode, enrich, flag, write for ``seconds``, and report.
+
+    Readable and corrupt records are written alike: a corrupt one carries its
+    text and counts as a processing error of the batch it came in.
+    """
+    spark = raw.sparkSession
+    decoded = SRC.decode(raw, codec)
+    error = F.col(SRC.CORRUPT).isNotNull() if SRC.CORRUPT in decoded.columns else None
+    metrics = RunMetrics()
+    spark.streams.addListener(metrics)
+    try:
+        run_bounded(start_curated(observe_report(curated_stream(decoded, processing), error),
+                                  path, checkpoint, every), seconds)
+        metrics.wait()
+    finally:
+        spark.streams.removeListener(metrics)
+    return metrics.reports(spark)
+
+
 def run_bounded(query: StreamingQuery, seconds: float) -> bool:
     """Wait up to ``seconds``, stop the query, and say whether it had ended by itself.
 
