@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, functions as F
 
 from eventwarden import policies as P
+from eventwarden.functions.literals import literal_map
 
 
 # -- enrichment ---------------------------------------------------------------
@@ -19,8 +20,7 @@ def millis_to_timestamp(millis: str | Column) -> Column:
 def region_of(country: str | Column, mapping: Mapping[str, str] = P.REGION_BY_COUNTRY,
               default: str = P.DEFAULT_REGION) -> Column:
     """Region by country code; null and unmapped codes get ``default``."""
-    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), _col(country)), F.lit(default))
+    return F.coalesce(F.try_element_at(literal_map(mapping), _col(country)), F.lit(default))
 
 
 def email_domain(email: str | Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from eventwarden import policies as P
+from eventwarden.functions.literals import literal_map, literal_rows
 from eventwarden.schemas import CUSTOMER_EVENT_V1
 
 # Variant type name (up to its parameters) -> class of the contract.
@@ -28,7 +29,7 @@ def contract_class(dtype: T.DataType) -> str:
 def payload_shape(raw: Column) -> Column:
     """Top-level ``(field, class)`` pairs of a JSON object; null for anything else."""
     fields = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
-    names = F.create_map(*[F.lit(x) for pair in VARIANT_CLASSES.items() for x in pair])
+    names = literal_map(VARIANT_CLASSES)
 
     def pair(entry: Column) -> Column:
         name = F.regexp_extract(F.schema_of_variant(entry.value), "^[A-Z]+", 0)
@@ -73,10 +74,8 @@ def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
     without one readable payload gives no rows.
     """
     by = by or []
-    markers = F.array(*[F.struct(F.lit(f.name).alias("field"), F.lit("null").alias("class"),
-                                 F.lit(0).cast("bigint").alias("n")) for f in contract.fields])
-    expected = F.create_map(*[F.lit(x) for f in contract.fields
-                              for x in (f.name, contract_class(f.dataType))])
+    markers = literal_rows(["field", "class", "n"], [(f.name, "null", ("0L",)) for f in contract.fields])
+    expected = literal_map({f.name: contract_class(f.dataType) for f in contract.fields})
     required = [f.name for f in contract.fields if not f.nullable]
     own = F.transform("shape", lambda f: F.struct(f["field"].alias("field"), f["class"].alias("class"),
                                                   F.col("n").alias("n")))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
+from eventwarden.functions.literals import literal_rows
 from eventwarden.operators.skew import splittable
 from eventwarden.policies import Expectation
 
@@ -138,7 +139,7 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], as_of: Column, batch:
             if c.kind == "value":
                 aggs += [F.count_if(c.missing).alias(f"_m{c.position}"),
                          F.count_if(c.unexpected).alias(f"_u{c.position}")]
-        rows = F.array(*[_result_struct(c) for c in plain])
+        rows = literal_rows(RESULT_NAMES, [_result_row(c) for c in plain])
         out = (df.groupBy(batch).agg(*aggs)
                .select(batch, F.explode(rows).alias("r")).select(batch, "r.*"))
     for c in checks:
@@ -148,17 +149,17 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], as_of: Column, batch:
     return _finish(out, batch)
 
 
-def _result_struct(c: Check) -> Column:
-    head = [F.lit(c.position).alias("position"), F.lit(c.type).alias("expectation_type"),
-            F.lit(c.column).alias("column_name")]
+RESULT_NAMES = ["position", "expectation_type", "column_name", "success",
+                "element_count", "missing_count", "unexpected_count"]
+
+
+def _result_row(c: Check) -> tuple:
+    """Result of a schema check, or the aggregates that hold a value check's result."""
     if c.kind == "schema":
-        nothing = F.lit(None).cast("bigint")
-        return F.struct(*head, F.lit(c.holds).alias("success"), nothing.alias("element_count"),
-                        nothing.alias("missing_count"), nothing.alias("unexpected_count"))
-    unexpected = F.col(f"_u{c.position}")
-    return F.struct(*head, (unexpected == 0).alias("success"), F.col("element_count"),
-                    F.col(f"_m{c.position}").alias("missing_count"),
-                    unexpected.alias("unexpected_count"))
+        none = ("CAST(NULL AS BIGINT)",)
+        return (c.position, c.type, c.column, c.holds, none, none, none)
+    return (c.position, c.type, c.column, (f"_u{c.position} = 0",),
+            ("element_count",), (f"_m{c.position}",), (f"_u{c.position}",))
 
 
 def value_counts(df: DataFrame, column: str, batch: str) -> DataFrame:
@@ -279,8 +280,8 @@ def result_severity(results: DataFrame, gate: P.SuiteGate = P.SuiteGate()) -> Da
 
 def _small_table(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
     """A literal table, written into the plan rather than shipped as data."""
-    literal = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
-    return df.sparkSession.range(1).select(F.explode(literal).alias("r")).select("r.*")
+    return (df.sparkSession.range(1)
+            .select(F.explode(literal_rows(names, rows)).alias("r")).select("r.*"))
 
 
 def dimension_scores(results: DataFrame, batch: str,

@@ -8,20 +8,23 @@ from eventwarden import policies as P
 from eventwarden.functions import columns as X
 
 
+EVENT_MEASURES = [
+    "count(1) AS total_records",
+    "count_if(is_late_arrival) AS late_records",
+    "count_if(NOT dq_passed) AS dq_failures",
+    "count_if(dq_passed IS NULL) AS dq_unknown",
+    "count_if(schema_drift_detected) AS schema_drift_count",
+]
+
+
 def report_measures(error: Column | None = None) -> list[Column]:
     """The report's aggregates; every one combines map-side."""
-    errors = F.lit(0).cast("bigint") if error is None else F.count_if(error)
-    drifted = F.count_if("schema_drift_detected")
-    return [
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if("is_late_arrival").alias("late_records"),
-        F.count_if(~F.col("dq_passed")).alias("dq_failures"),
-        F.count_if(F.col("dq_passed").isNull()).alias("dq_unknown"),
-        drifted.alias("schema_drift_count"),
-        (drifted > 0).alias("schema_drift_detected"),
+    errors = F.expr("0L") if error is None else F.count_if(error)
+    return [F.expr(m) for m in EVENT_MEASURES] + [
+        F.expr("count_if(schema_drift_detected) > 0 AS schema_drift_detected"),
         errors.alias("processing_errors"),
-        F.min("processing_timestamp").alias("start_time"),
-        F.max("processing_timestamp").alias("end_time"),
+        F.expr("min(processing_timestamp) AS start_time"),
+        F.expr("max(processing_timestamp) AS end_time"),
         F.lit(P.WATERMARK_DELAY).alias("watermark_delay"),
     ]
 
@@ -124,11 +127,7 @@ def latest_run(reports: DataFrame) -> DataFrame:
 def windowed_report(flagged: DataFrame, width: str = P.REPORT_WINDOW) -> DataFrame:
     """The run report per tumbling event-time window; valid on batch and streams."""
     return (flagged.groupBy(F.window("event_timestamp", width).alias("w"))
-            .agg(F.count(F.lit(1)).alias("total_records"),
-                 F.count_if("is_late_arrival").alias("late_records"),
-                 F.count_if(~F.col("dq_passed")).alias("dq_failures"),
-                 F.count_if(F.col("dq_passed").isNull()).alias("dq_unknown"),
-                 F.count_if("schema_drift_detected").alias("schema_drift_count"))
+            .agg(*[F.expr(m) for m in EVENT_MEASURES])
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "total_records", "late_records", "dq_failures", "dq_unknown",
                     "schema_drift_count"))
