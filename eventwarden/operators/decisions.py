@@ -150,27 +150,21 @@ def run_outcomes(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy())
 def failure_streaks(outcomes: DataFrame, keys: list[str], order: str = "run_id",
                     policy: P.DecisionPolicy = P.DecisionPolicy(),
                     chunk: int = RUN_CHUNK) -> DataFrame:
-    """Length of the current run of failures at every run.
+    """Length of the current run of failures at every run, per failure type.
 
-    The streak is the number of failures so far minus that number at the last
-    success.  Runs without data neither extend nor break a streak.
+    Runs without data neither extend nor break a streak.
     """
-    part = F.floor(F.col(order) / chunk)
-    failed = F.coalesce(F.col("failed").cast("bigint"), F.lit(0))
-    counted = R.running(outcomes, keys, order, part, sums={"_failures": failed})
-    based = R.running(counted, keys, order, part,
-                      maxes={"_base": F.when(~F.col("failed"), F.col("_failures"))})
-    streak = F.col("_failures") - F.coalesce("_base", F.lit(0))
-    return (based.withColumn("streak", streak)
-            .withColumn("escalate", F.coalesce("failed", F.lit(False)) & (F.col("streak") >= policy.streak))
-            .drop("_failures", "_base"))
+    counted = R.count_since(outcomes, keys, order, F.expr(f"{order} DIV {chunk}"), "streak",
+                            hit=F.col("failed"), reset=~F.col("failed"))
+    return counted.withColumn(
+        "escalate", F.coalesce("failed", F.lit(False)) & (F.col("streak") >= policy.streak))
 
 
 def last_runs(runs: DataFrame, keys: list[str] | None = None, order: str = "run_id",
               size: int = P.DECISION_WINDOW_RUNS, chunk: int = RUN_CHUNK) -> DataFrame:
     """Each run with its totals over the last ``size`` runs."""
     return R.trailing_rows(
-        runs, keys or [], order, F.floor(F.col(order) / chunk), size,
+        runs, keys or [], order, F.expr(f"{order} DIV {chunk}"), size,
         {"window_runs": ("count", F.lit(1)),
          "window_records": ("sum", F.col("total_records")),
          "window_late": ("sum", F.col("late_records")),

@@ -1,4 +1,4 @@
-"""Running totals and trailing windows over one long ordered history.
+"""Running totals, streaks and trailing windows over one long ordered history.
 
 A plain window over "all runs in order" has no partition key, or one key that
 holds most rows, and so runs in a single task.  Here the order is cut into
@@ -13,39 +13,57 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CHUNK = "_chunk"
 
 
-def running(df: DataFrame, keys: list[str], order: str, chunk: Column,
-            sums: dict[str, Column] | None = None,
-            maxes: dict[str, Column] | None = None) -> DataFrame:
-    """Add inclusive running sums and maxima in ``order`` within ``keys``.
+def _attach(rows: DataFrame, chunks: DataFrame, group: list[str], values: list[str]) -> DataFrame:
+    """Join per-chunk values to the chunk's rows; the rows are already partitioned for it."""
+    renamed = chunks.select(*[F.col(c).alias(f"_o_{c}") for c in group], *values)
+    on = [F.col(c) == F.col(f"_o_{c}") for c in group]
+    return rows.join(renamed, on, "left").drop(CHUNK, *[f"_o_{c}" for c in group])
+
+
+def running_sums(df: DataFrame, keys: list[str], order: str, chunk: Column,
+                 sums: dict[str, Column]) -> DataFrame:
+    """Add inclusive running sums in ``order`` within ``keys``.
 
     ``chunk`` must be non-decreasing in ``order`` and bound the rows that share
-    one value of it; ``order`` must be unique within ``keys``.
+    one value of it; ``order`` must be unique within ``keys`` and, like the
+    keys, never null.
     """
-    sums, maxes = sums or {}, maxes or {}
     group = [*keys, CHUNK]
     local = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = (Window.partitionBy(*keys).orderBy(CHUNK)
                .rowsBetween(Window.unboundedPreceding, -1))
-
     cut = df.withColumn(CHUNK, chunk)
-    totals = cut.groupBy(*group).agg(
-        *[F.sum(v).alias(n) for n, v in sums.items()],
-        *[F.max(v).alias(n) for n, v in maxes.items()],
-    )
-    offsets = totals.select(
-        *[F.col(c).alias(f"_o_{c}") for c in group],
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums],
-        *[F.max(n).over(earlier).alias(f"_off_{n}") for n in maxes],
-    )
-    on = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in group]
-    return (cut
-            .withColumns({n: F.sum(v).over(local) for n, v in sums.items()}
-                         | {n: F.max(v).over(local) for n, v in maxes.items()})
-            .join(offsets, on, "left")
-            .withColumns({n: F.col(n) + F.col(f"_off_{n}") for n in sums}
-                         | {n: F.greatest(F.col(n), F.col(f"_off_{n}")) for n in maxes})
-            .drop(CHUNK, *[f"_o_{c}" for c in group],
-                  *[f"_off_{n}" for n in [*sums, *maxes]]))
+    chunks = (cut.groupBy(*group).agg(*[F.sum(v).alias(f"_off_{n}") for n, v in sums.items()])
+              .withColumns({f"_off_{n}": F.coalesce(F.sum(f"_off_{n}").over(earlier), F.lit(0))
+                            for n in sums}))
+    rows = cut.withColumns({n: F.sum(v).over(local) for n, v in sums.items()})
+    offsets = [f"_off_{n}" for n in sums]
+    return (_attach(rows, chunks, group, offsets)
+            .withColumns({n: F.col(n) + F.col(f"_off_{n}") for n in sums}).drop(*offsets))
+
+
+def count_since(df: DataFrame, keys: list[str], order: str, chunk: Column, out: str,
+                hit: Column, reset: Column) -> DataFrame:
+    """Add the number of ``hit`` rows since the last ``reset`` row, this row included.
+
+    That is the number of hits so far minus that number at the last reset.  A
+    chunk only needs to pass on its hits and its last reset's count, so rows are
+    shuffled once.  Requirements on ``chunk`` and ``order`` as in :func:`running_sums`.
+    """
+    group = [*keys, CHUNK]
+    local = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = (Window.partitionBy(*keys).orderBy(CHUNK)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    hits = F.sum(F.when(hit, 1).otherwise(0)).over(local)
+    at_reset = F.max(F.when(reset, F.col("_hits"))).over(local)
+    rows = df.withColumn(CHUNK, chunk).withColumn("_hits", hits).withColumn("_at_reset", at_reset)
+    chunks = (rows.groupBy(*group).agg(F.max("_hits").alias("_n"), F.max("_at_reset").alias("_r"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+              .withColumn("_base", F.max(F.col("_before") + F.col("_r")).over(earlier)))
+    base = F.coalesce(F.greatest(F.col("_before") + F.col("_at_reset"), F.col("_base")), F.lit(0))
+    return (_attach(rows, chunks, group, ["_before", "_base"])
+            .withColumn(out, F.col("_before") + F.col("_hits") - base)
+            .drop("_hits", "_at_reset", "_before", "_base"))
 
 
 def trailing_rows(df: DataFrame, keys: list[str], order: str, chunk: Column, size: int,
@@ -58,8 +76,8 @@ def trailing_rows(df: DataFrame, keys: list[str], order: str, chunk: Column, siz
     """
     if block < size:
         raise ValueError("block must be at least size")
-    pos = running(df, keys, order, chunk, sums={"_pos": F.lit(1)})
-    home = F.floor((F.col("_pos") - 1) / block)
+    pos = running_sums(df, keys, order, chunk, {"_pos": F.lit(1)})
+    home = F.expr(f"(_pos - 1) DIV {block}")
     spill = (F.col("_pos") - 1) % block >= block - (size - 1)
     halo = pos.withColumn("_home", home).withColumn(
         "_block",
@@ -92,8 +110,8 @@ def trailing_count(points: DataFrame, point: str, events: DataFrame, at: str,
               .select("_at", *[F.lit(0).cast("bigint").alias(n) for n in sums]))
     timeline = (per_instant.unionByName(probes).groupBy("_at")
                 .agg(*[F.sum(n).alias(f"_m_{n}") for n in sums]))
-    totals = running(timeline, [], "_at", F.floor(F.col("_at") / (chunk_seconds * 1000)),
-                     sums={n: F.col(f"_m_{n}") for n in sums}).select("_at", *sums)
+    totals = running_sums(timeline, [], "_at", F.expr(f"_at DIV {chunk_seconds * 1000}"),
+                          {n: F.col(f"_m_{n}") for n in sums}).select("_at", *sums)
 
     def side(suffix: str) -> DataFrame:
         return totals.select(F.col("_at").alias(f"_at_{suffix}"),
