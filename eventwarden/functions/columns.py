@@ -69,7 +69,8 @@ def rate(part: str | Column, whole: str | Column) -> Column:
 
 
 def clamp01(x: Column) -> Column:
-    return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
+    """Clamp to [0, 1]; null stays null, which least and greatest alone would skip."""
+    return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
 
 
 def failed_share_severity(share: Column, gate: P.SuiteGate = P.SuiteGate()) -> Column:

@@ -129,22 +129,27 @@ def incident_stats(incidents: DataFrame, as_of: Column,
     """Totals and counts by type, severity and status in a single pass.
 
     The grouping sets expand the few distinct combinations, not the incidents.
+    An empty marker row keeps the total when there are none at all.
     """
     dims = ["incident_type", "severity", "status"]
     recent = incidents.filter(F.col("created_at") >= as_of - F.expr(f"INTERVAL '{int(days)}' DAY"))
     combos = recent.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"),
                                        F.count_if("escalated").alias("esc"))
-    sets = combos.groupingSets([[], *[[d] for d in dims]], *dims).agg(
+    marker = incidents.sparkSession.range(1).select(
+        *[F.lit(None).cast("string").alias(d) for d in dims],
+        F.expr("0L AS n"), F.expr("0L AS esc"))
+    sets = combos.unionByName(marker).groupingSets([[], *[[d] for d in dims]], *dims).agg(
         *[F.grouping(d).alias(f"_g_{d}") for d in dims],
-        F.coalesce(F.sum("n"), F.lit(0)).alias("incidents"),
-        F.coalesce(F.sum("esc"), F.lit(0)).alias("escalated_incidents"),
+        F.sum("n").alias("incidents"),
+        F.sum("esc").alias("escalated_incidents"),
     )
     label, value = F.lit("total"), F.lit("all")
     for d in dims:
         label = F.when(F.col(f"_g_{d}") == 0, d).otherwise(label)
         value = F.when(F.col(f"_g_{d}") == 0, F.col(d)).otherwise(value)
-    return sets.select(label.alias("grouping"), value.alias("value"),
-                       "incidents", "escalated_incidents")
+    return (sets.select(label.alias("grouping"), value.alias("value"),
+                        "incidents", "escalated_incidents")
+            .filter((F.col("incidents") > 0) | (F.col("grouping") == "total")))
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:

@@ -753,8 +753,9 @@ dec AS (
     coalesce(max(body) FILTER (WHERE name = 'escalation'), 'false') AS escalation
   FROM rsp LEFT JOIN lastsec USING (conv_id, turn) GROUP BY conv_id, turn, text IS NULL),
 sure AS (
-  SELECT *, CASE WHEN failed THEN 0.0 ELSE coalesce(least(greatest(TRY_CAST(nullif(
-      regexp_extract(confidence, '\\d+\\.?\\d*'), '') AS DOUBLE), 0.0), 1.0), 0.5) END AS c FROM dec)
+  SELECT *, CASE WHEN failed THEN 0.0
+      WHEN regexp_extract(confidence, '\\d+\\.?\\d*') = '' THEN 0.5
+      ELSE least(CAST(regexp_extract(confidence, '\\d+\\.?\\d*') AS DOUBLE), 1.0) END AS c FROM dec)
 SELECT conv_id, turn,
   CASE WHEN failed THEN 'Error in decision making - manual review required'
        ELSE regexp_replace(decision, '{_STRIP}', '', 'g') END AS decision,
