@@ -95,7 +95,9 @@ def resolve_incidents(incidents: DataFrame, at: Column, seq: int = 2,
 def _changes(df: DataFrame, at: str, seq: int, values: dict[str, Column]) -> DataFrame:
     stamped = {"change_at": F.col(at), "change_seq": F.lit(seq), "updated_at": F.col(at), **values}
     return df.select(*[
-        stamped.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INCIDENT_CHANGE.fields
+        stamped[f.name].cast(f.dataType).alias(f.name) if f.name in stamped
+        else F.expr(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}")
+        for f in INCIDENT_CHANGE.fields
     ])
 
 
@@ -105,9 +107,9 @@ def fold_incidents(changes: DataFrame) -> DataFrame:
     One aggregation that combines before the shuffle, so an incident with very
     many changes still sends one row per task.
     """
-    order = F.struct("change_at", "change_seq")
     return changes.groupBy("id").agg(*[
-        F.max_by(F.col(a), F.when(F.col(a).isNotNull(), order)).alias(a) for a in ATTRIBUTES
+        F.expr(f"max_by({a}, CASE WHEN {a} IS NOT NULL THEN struct(change_at, change_seq) END) AS {a}")
+        for a in ATTRIBUTES
     ])
 
 

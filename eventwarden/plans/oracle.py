@@ -194,6 +194,10 @@ SELECT event_id, run_id, id AS kafka_key, {_ts('processing_timestamp').replace('
   CASE WHEN NOT is_cut THEN CAST(opt_in AS VARCHAR) END AS marketing_opt_in
 FROM wire
 """, _WIRE)
+_add("readable_records", """
+SELECT event_id, run_id, id, sent_email AS email, sent_country AS country, plan, version
+FROM wire WHERE NOT is_cut AND NOT text_version
+""", _WIRE)
 _add("corrupt_records", """
 SELECT event_id, run_id, is_cut AS unreadable,
   length(concat('{"id":"', id, '"',

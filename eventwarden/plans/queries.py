@@ -189,9 +189,15 @@ def json_decode(spark, sf):
                       *[F.col(c).cast("string").alias(c) for c in text])
 
 
+@query
+def readable_records(spark, sf):
+    good, _ = SRC.decode_split(FX.raw_events(spark, sf), keep=["event_id", "run_id"])
+    return good.select("event_id", "run_id", "id", "email", "country", "plan", "version")
+
+
 @query
 def corrupt_records(spark, sf):
-    _, bad = SRC.split_corrupt(SRC.decode(FX.raw_events(spark, sf), keep=["event_id", "run_id"]))
+    _, bad = SRC.decode_split(FX.raw_events(spark, sf), keep=["event_id", "run_id"])
     return bad.select("event_id", "run_id", (F.col("id").isNull()).alias("unreadable"),
                       F.length(SRC.CORRUPT).cast("bigint").alias("corrupt_chars"))
 

@@ -14,9 +14,9 @@ def write_curated(df: DataFrame, path: str, partitions: list[str] | None = None,
                   mode: str = "append") -> None:
     """Curated Parquet by country and plan.
 
-    A fraction of a task's rows per partition value would leave one file per
-    task and value; the rebalance groups values into files and splits a hot
-    value over several tasks.
+    Written as they come, the rows of every task would leave a small file per
+    partition value; the rebalance gathers a value's rows into few files and
+    still splits a hot value over several tasks.
     """
     parts = partitions or CURATED_PARTITIONS
     normalised = df.withColumns({p: F.nullif(F.col(p).cast("string"), F.lit("")) for p in parts})
@@ -36,14 +36,18 @@ def write_document(df: DataFrame, path: str) -> None:
 
 def write_quarantine(df: DataFrame, path: str, reason: str | Column, at: Column,
                      source_path: str, condition: str) -> None:
-    """Quarantined rows by reason and batch time, each with where it came from."""
+    """Quarantined rows by reason and batch time, each with where it came from.
+
+    Rebalanced by reason for the same reason as the curated table.
+    """
     reason_c = F.lit(reason) if isinstance(reason, str) else reason
     (df.withColumns({
         "reason": reason_c,
         "quarantine_ts": F.date_format(at, "yyyyMMdd_HHmmss"),
         "source_path": F.lit(source_path),
         "filter_condition": F.lit(condition),
-    }).write.mode("append").partitionBy("reason", "quarantine_ts").parquet(path))
+    }).hint("rebalance", F.col("reason"))
+     .write.mode("append").partitionBy("reason", "quarantine_ts").parquet(path))
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:

@@ -39,13 +39,30 @@ def decode(raw: DataFrame, codec: str = "json", schema: T.StructType = CUSTOMER_
     A payload that does not parse, or has a field of the wrong type, keeps its
     text in ``_corrupt_record``; the fields that could be read are filled.
     """
+    return _flatten(raw, _payload(codec, schema), keep)
+
+
+def decode_split(raw: DataFrame, schema: T.StructType = CUSTOMER_EVENT,
+                 keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(readable, corrupt): undecodable records go to a side output.
+
+    Each side is picked inside the expression that parses the payload; a filter
+    on the parsed column would be pushed down and parse every payload twice.
+    """
+    parsed = F.array(_payload("json", schema))
+    good = F.filter(parsed, lambda d: d[CORRUPT].isNull())
+    bad = F.filter(parsed, lambda d: d[CORRUPT].isNotNull())
+    return (_flatten(raw, F.explode(good), keep).drop(CORRUPT), _flatten(raw, F.explode(bad), keep))
+
+
+def _flatten(raw: DataFrame, payload: Column, keep: list[str] | None) -> DataFrame:
     envelope = [
         F.col("key").cast("string").alias("kafka_key"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("offset").alias("kafka_offset"),
         F.col("partition").alias("kafka_partition"),
     ]
-    return (raw.select(*(keep or []), *envelope, _payload(codec, schema).alias("data"))
+    return (raw.select(*(keep or []), *envelope, payload.alias("data"))
             .select(*(keep or []), *ENVELOPE, "data.*"))
 
 
@@ -61,9 +78,3 @@ def _payload(codec: str, schema: T.StructType) -> Column:
         from pyspark.sql.avro.functions import from_avro  # needs the spark-avro package
         return from_avro(F.col("value"), avro_schema(schema), {"mode": "PERMISSIVE"})
     raise ValueError(f"unknown codec: {codec}")
-
-
-def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable, corrupt): undecodable records go to a side output."""
-    bad = F.col(CORRUPT).isNotNull()
-    return decoded.filter(~bad).drop(CORRUPT), decoded.filter(bad)

@@ -34,8 +34,10 @@ def test_decode(spark):
 
 def test_corrupt_side_output(spark):
     typed = json.dumps({**GOOD, "version": "two"})
-    good, bad = SRC.split_corrupt(SRC.decode(envelope(spark, json.dumps(GOOD), "{broken", typed, b"\x00\x01")))
-    assert rows(good.select("kafka_offset")) == [(0,)]
+    good, bad = SRC.decode_split(envelope(spark, json.dumps(GOOD), "{broken", typed, b"\x00\x01", None))
+    assert rows(good.select("kafka_offset", "id")) == [(0, "c1"), (4, None)]
+    assert good.columns == [*SRC.ENVELOPE, *S.CUSTOMER_EVENT.fieldNames()]
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     assert rows(bad.select("kafka_offset", "id")) == [(1, None), (2, "c1"), (3, None)]
 
 
