@@ -27,16 +27,19 @@ def contract_class(dtype: T.DataType) -> str:
 
 
 def payload_shape(raw: Column) -> Column:
-    """Top-level ``(field, class)`` pairs of a JSON object; null for anything else."""
+    """Top-level ``(field, type)`` pairs of a JSON object; null for anything else.
+
+    Types are variant type names without parameters: a shape must not differ by
+    the digits of a number or the inside of a nested value.
+    """
     fields = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
-    names = literal_map(VARIANT_CLASSES)
+    base = lambda t: F.substring_index(F.substring_index(t, "(", 1), "<", 1)
+    return F.transform(F.map_entries(fields), lambda e: F.struct(
+        e.key.alias("field"), base(F.schema_of_variant(e.value)).alias("type")))
 
-    def pair(entry: Column) -> Column:
-        name = F.regexp_extract(F.schema_of_variant(entry.value), "^[A-Z]+", 0)
-        return F.struct(entry.key.alias("field"),
-                        F.coalesce(F.try_element_at(names, name), F.lit("other")).alias("class"))
 
-    return F.transform(F.map_entries(fields), pair)
+def _class_of(type_name: str) -> Column:
+    return F.coalesce(F.try_element_at(literal_map(VARIANT_CLASSES), type_name), F.lit("other"))
 
 
 def payload_shapes(df: DataFrame, raw: str, by: list[str] | None = None) -> DataFrame:
@@ -60,7 +63,8 @@ def observed_fields(df: DataFrame, raw: str, by: list[str] | None = None) -> Dat
     by = by or []
     fields = F.transform("shape", lambda f: f)  # an expression: explode infers no filter from it
     return (payload_shapes(df, raw, by).select(*by, "n", F.explode(fields).alias("f"))
-            .groupBy(*by, "f.field", "f.class").agg(F.sum("n").alias("records")))
+            .groupBy(*by, "f.field", _class_of("f.type").alias("class"))
+            .agg(F.sum("n").alias("records")))
 
 
 def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
@@ -74,16 +78,17 @@ def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
     without one readable payload gives no rows.
     """
     by = by or []
-    markers = literal_rows(["field", "class", "n"], [(f.name, "null", ("0L",)) for f in contract.fields])
+    markers = literal_rows(["field", "type", "n"], [(f.name, "VOID", ("0L",)) for f in contract.fields])
     expected = literal_map({f.name: contract_class(f.dataType) for f in contract.fields})
     required = [f.name for f in contract.fields if not f.nullable]
-    own = F.transform("shape", lambda f: F.struct(f["field"].alias("field"), f["class"].alias("class"),
+    own = F.transform("shape", lambda f: F.struct(f["field"].alias("field"), f["type"].alias("type"),
                                                   F.col("n").alias("n")))
     seen = (payload_shapes(df, raw, by)
             .select(*by, F.explode(F.when(F.col("shape").isNotNull(), F.concat(own, markers))).alias("f"))
-            .groupBy(*by, "f.field")
-            .agg(F.sum("f.n").alias("records"),
-                 F.array_sort(F.collect_set(F.when(F.col("f.class") != "null", F.col("f.class"))))
+            .select(*by, "f.field", "f.n", _class_of("f.type").alias("class"))
+            .groupBy(*by, "field")
+            .agg(F.sum("n").alias("records"),
+                 F.array_sort(F.collect_set(F.when(F.col("class") != "null", F.col("class"))))
                  .alias("classes"))
             .withColumn("expected", F.try_element_at(expected, "field")))
     status = (F.when(F.col("expected").isNull(), "new")

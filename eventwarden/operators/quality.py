@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
-from eventwarden.functions.literals import literal_rows
+from eventwarden.functions.literals import literal_rows, sql_literal
 from eventwarden.operators.skew import splittable
 from eventwarden.policies import Expectation
 
@@ -197,17 +197,22 @@ def failed_rows(df: DataFrame, suite: Sequence[Expectation], as_of: Column, keys
                 params: dict[str, Any] | None = None) -> DataFrame:
     """Key columns of every failing row, once per failed value check.
 
-    A narrow map-side projection: no shuffle, and passing rows emit nothing.
+    A map-side projection without a shuffle, compiled as a whole: the checks are
+    plain columns and the array is exploded with its gaps, which the last filter
+    drops.  Array functions would be interpreted, and an earlier filter would be
+    pushed below the projection and evaluate every check twice.
     """
     checks = [c for c in compile_suite(suite, df.schema, as_of, params) if c.kind == "value"]
-    failed = F.array_compact(F.array(*[
-        F.when(c.unexpected, F.struct(F.lit(c.position).alias("position"),
-                                      F.lit(c.type).alias("expectation_type"),
-                                      F.lit(c.column).alias("column_name"),
-                                      c.value.alias("value")))
-        for c in checks
-    ]))
-    return df.select(*keys, F.explode(failed).alias("f")).select(*keys, "f.*")
+    judged = df.select(*keys, *[
+        col for c in checks for col in (
+            c.unexpected.alias(f"_u{c.position}"),
+            F.when(c.unexpected, c.value).alias(f"_v{c.position}"))])
+    failed = "array(" + ", ".join(
+        f"CASE WHEN _u{c.position} THEN named_struct('position', {c.position}, 'expectation_type', "
+        f"{sql_literal(c.type)}, 'column_name', {sql_literal(c.column)}, 'value', _v{c.position}) END"
+        for c in checks) + ")"
+    return (judged.select(*keys, F.explode(F.expr(failed)).alias("f"))
+            .filter(F.col("f").isNotNull()).select(*keys, "f.*"))
 
 
 def duplicate_rows(df: DataFrame, suite: Sequence[Expectation], as_of: Column,

@@ -21,10 +21,10 @@ def split_quarantine(df: DataFrame, condition: str | Column) -> tuple[DataFrame,
 
 def quarantine_by_rules(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """Rows matching any ``(reason, condition)`` rule, once per matched reason."""
-    matched = F.array_compact(F.array(*[
-        F.when(F.coalesce(F.expr(cond), F.lit(False)), F.lit(reason)) for reason, cond in rules
-    ]))
-    return df.withColumn("reason", F.explode(matched))
+    matched = F.array(*[
+        F.when(F.expr(cond), F.lit(reason)) for reason, cond in rules  # unknown matches nothing
+    ])
+    return df.withColumn("reason", F.explode(matched)).filter(F.col("reason").isNotNull())
 
 
 def retain(df: DataFrame, at: str, as_of: Column, days: int = P.RETENTION_DAYS) -> DataFrame:
