@@ -2,7 +2,7 @@
 
 Each rule votes good (1), bad (-1) or abstains (0).  The corpus is reduced to the counts of
 its vote patterns (at most 3 ** rules rows, whatever the corpus), and expectation-maximisation
-over those counts estimates how often each rule gives each vote on good and on bad documents.
+over those counts estimates how often each rule is right on good and on bad documents.
 The posterior probability that a document is good is a function of its pattern.
 
 Defined cases: a null or empty text has no words, fails the base rule and is never kept; a null
@@ -22,9 +22,12 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 #: A document is kept from this posterior probability of being good.
-KEEP_FROM = 0.5
+KEEP_FROM = 0.8
 ROUNDS = 40
-#: Pseudo-counts as a share of the corpus: what is held against the start values in each round.
+#: Start values: the share of good documents, and how often a rule that votes is right on bad and
+#: on good ones.  Most rules look for one fault, and a bad document may have another.
+START_GOOD, START_BAD, START_RIGHT = 0.85, 0.5, 0.97
+#: Pseudo-votes by which each rule is held to its start, as a share of the corpus.
 ANCHOR = 0.02
 
 # Frequent function words of English, German, French and Spanish.
@@ -102,41 +105,36 @@ def voted(df: DataFrame) -> DataFrame:
     return df.withColumn("pattern", reduce(lambda a, v: a * 3 + F.coalesce(v, F.lit(1)), votes, F.lit(0)).cast("int"))
 
 
-def start_values() -> list[float]:
-    """P(vote | class) before the first round, flat: class (bad, good), rule, vote (bad, none, good)."""
-    return [p for row in ((0.5, 0.3, 0.2), (0.05, 0.25, 0.7)) for _ in RULES for p in row]
-
-
 def posteriors(patterns: DataFrame, rounds: int = ROUNDS, anchor: float = ANCHOR) -> DataFrame:
     """(pattern, quality) from (pattern, n): expectation-maximisation in one row.
 
-    The votes of a class are taken as independent.  All rounds are one higher-order fold over
-    the pattern counts; its state is the posterior of every pattern, and a round first derives
-    the vote probabilities from it and then the posteriors from those.
+    The parameters are how often each rule that votes says bad, on bad and on good documents; an
+    abstention says nothing of either class, and the votes of a class are taken as independent.
+    All rounds are one higher-order fold over the pattern counts; its state is the posterior of
+    every pattern, and a round derives the parameters from it and then the posteriors from those.
     """
     k = len(RULES)
     digits = ", ".join(f"CAST(floor(pattern / {3 ** (k - 1 - i)}) AS INT) % 3" for i in range(k))
     one = patterns.withColumn("v", F.expr(f"array({digits})")).agg(
-        F.array_sort(F.collect_list(F.struct("pattern", "v", F.col("n").cast("double").alias("n")))).alias("ps"))
-    begin = "array(" + ", ".join(f"{p}D" for p in start_values()) + ")"
+        F.array_sort(F.collect_list(F.struct("pattern", "v", F.col("n").cast("double").alias("n")))).alias("ps")).filter("size(ps) > 0")
+    begin = "array(" + ", ".join(f"{START_BAD}D" if x < k else f"{1 - START_RIGHT}D" for x in range(2 * k)) + ")"
 
-    def good(theta: str, prior: str) -> str:
-        """Posterior of good for pattern p under theta."""
-        like = lambda c: (f"aggregate(sequence(0, {k - 1}), 0D, (a, i) -> "
-                          f"a + ln({theta}[{c} * {3 * k} + i * 3 + p.v[i]]))")
+    def good(bad_vote: str, prior: str) -> str:
+        """Posterior of good for pattern p."""
+        like = lambda c: (f"aggregate(sequence(0, {k - 1}), 0D, (a, i) -> a + CASE p.v[i] WHEN 0 THEN ln({bad_vote}[{c * k} + i]) "
+                          f"WHEN 2 THEN ln(1D - {bad_vote}[{c * k} + i]) ELSE 0D END)")
         return f"1D / (1D + exp(({like(0)} + ln(1D - {prior})) - ({like(1)} + ln({prior}))))"
 
     total = "aggregate(ps, 0D, (a, p) -> a + p.n)"
     mass = "aggregate(ps, struct(0D AS t, 0 AS j), (a, p) -> struct(a.t + p.n * r[a.j] AS t, a.j + 1 AS j)).t"
-    share = ("aggregate(ps, struct(0D AS t, 0 AS j), (a, p) -> struct(a.t + IF(p.v[CAST(floor(x / 3) AS INT) % {k}]"
-             " = x % 3, p.n * IF(x < {h}, 1D - r[a.j], r[a.j]), 0D) AS t, a.j + 1 AS j)).t").format(k=k, h=3 * k)
+    weighted = (f"aggregate(ps, struct(0D AS t, 0 AS j), (a, p) -> struct(a.t + IF(p.v[x % {k}] {{}}, "
+                f"p.n * IF(x < {k}, 1D - r[a.j], r[a.j]), 0D) AS t, a.j + 1 AS j)).t")
     held = f"{anchor}D * total"
-    step = (f"transform(array({mass}), g -> transform(array(transform(sequence(0, {6 * k - 1}), x -> "
-            f"({share} + {held} * begin[x]) / (IF(x < {3 * k}, total - g, g) + {held}))), theta -> "
-            f"transform(ps, p -> {good('theta', 'least(greatest(g / total, 0.02D), 0.98D)')}))[0])[0]")
-    first = f"transform(ps, p -> {good('begin', '0.8D')})"
+    step = (f"transform(array({mass}), g -> transform(array(transform(sequence(0, {2 * k - 1}), x -> "
+            f"({weighted.format('= 0')} + {held} * begin[x]) / ({weighted.format('<> 1')} + {held}))), bad_vote -> "
+            f"transform(ps, p -> {good('bad_vote', 'least(greatest(g / total, 0.5D), 0.98D)')}))[0])[0]")
     fitted = one.withColumn("begin", F.expr(begin)).withColumn("total", F.expr(total)) \
-        .withColumn("r0", F.expr(first)) \
+        .withColumn("r0", F.expr(f"transform(ps, p -> {good('begin', f'{START_GOOD}D')})")) \
         .withColumn("r", F.expr(f"aggregate(sequence(1, {rounds}), r0, (r, t) -> {step})"))
     return fitted.select(F.explode(F.arrays_zip(F.col("ps.pattern").alias("pattern"), F.col("r").alias("quality"))).alias("x")) \
         .select("x.pattern", "x.quality")

@@ -7,13 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventwarden.llm import decontaminate, pieces, pii, quality_rules, simhash
+from eventwarden.llm import (
+    decontaminate, language, licenses, pieces, pii, quality_classifier, quality_rules, simhash, substring, token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(fn: Query) -> Query:
@@ -37,6 +40,11 @@ def op2_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "quality")
 
 
+@query
+def op3_quality_classifier(spark, sf_dir):
+    return quality_classifier.classify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
@@ -47,11 +55,31 @@ def op5_simhash(spark, sf_dir):
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+@query
+def op7_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_substring_dedup(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_licenses(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 # Words of lower-cased texts, each ten-word window of an item (or a shorter item whole), and
 # the document words inside any place where one of them occurs.
 ORACLES["op8_decontamination"] = r"""
@@ -80,4 +108,49 @@ named AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
-""".replace("\\\\", "\\")
+"""
+
+# Every window of 50 words, the smallest doc_id that holds it, and the words of each document
+# that no window of a smaller doc_id covers.
+ORACLES["op9_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+lows AS (SELECT s, min(doc_id) AS low FROM wins GROUP BY s),
+gone AS (
+  SELECT DISTINCT r, p FROM (
+    SELECT r, unnest(range(i, i + 50)) AS p FROM wins JOIN lows USING (s) WHERE low < doc_id)),
+cut AS (SELECT r, list(p) AS ps, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN n IS NULL THEN w ELSE [w[k] FOR k IN range(1, len(w) + 1)
+              IF NOT list_contains(ps, k)] END, ' '), '')) AS kept_sha256
+FROM docs LEFT JOIN cut USING (r)
+"""
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical form of a licence text as a DuckDB expression."""
+    body = rf"regexp_replace(lower({text}), '(?m)^\s*(copyright\b|\(c\)|©|all rights reserved)[^\n]*$', ' ', 'g')"
+    body = f"' ' || regexp_replace({body}, '[^a-z0-9]+', ' ', 'g') || ' '"
+    for word, same in licenses.SPELLINGS:
+        body = f"replace({body}, ' {word} ', ' {same} ')"
+    return f"trim({body}, ' ')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLES["op10_licenses"] = f"""
+WITH listed(license, body) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in licenses.KNOWN)}),
+known AS (SELECT sha256({_canonical_sql("body")}) AS digest, min(license) AS license FROM listed GROUP BY 1),
+docs AS (SELECT doc_id, row_number() OVER () AS r, text, sha256({_canonical_sql("text")}) AS digest FROM documents),
+lines AS (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM docs),
+notes AS (
+  SELECT r, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names
+  FROM lines JOIN known ON known.digest = sha256({_canonical_sql("line")}) GROUP BY r)
+SELECT doc_id, docs.digest, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
+FROM docs LEFT JOIN known USING (digest) LEFT JOIN notes USING (r)
+"""
