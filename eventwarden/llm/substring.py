@@ -54,9 +54,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the factor and of its inverse modulo 2 ** 64."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, _STEP)
+        size, tables = max(n, _STEP), []
         inverse = pow(_FACTOR, -1, 1 << 64)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, x, np.uint64)]), dtype=np.uint64) for x in (_FACTOR, inverse)]
+        for x in (_FACTOR, inverse):
+            steps = np.full(size, x, np.uint64)
+            steps[0] = 1
+            tables.append(np.cumprod(steps, dtype=np.uint64))
+        _powers[:] = tables
     return _powers[0][:n], _powers[1][:n]
 
 

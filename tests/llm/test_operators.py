@@ -453,6 +453,24 @@ def test_repeats(spark, rows, many, shard):
     assert got(out, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_repeats(own)
 
 
+def test_runs_follow_their_words():
+    """Word hashes differ by word and not by place; each window is in one run, with one anchor per content."""
+    import pyarrow as pa
+    texts = [r["text"] for r in table("documents")] + [None, "", "a b"]
+    body, offsets = substring.text_bytes(pa.array(texts))
+    hashes, firsts = substring.word_hashes(body, offsets)
+    words = [w for t in texts for w in (t or "").split()]
+    assert len(set(hashes.tolist())) == len(set(words)) == len(set(zip(words, hashes.tolist())))
+    anchors, windows = defaultdict(set), 0
+    for row, anchor, first, last in zip(*(x.tolist() for x in substring.window_runs(body, offsets))):
+        w = texts[row].split()
+        windows += last - first + 1
+        for i in range(first, last + 1):
+            anchors[tuple(w[i:i + 50])].add(anchor)
+    assert windows == sum(max(0, len((t or "").split()) - 49) for t in texts)
+    assert all(len(a) == 1 for a in anchors.values()) and len({x for a in anchors.values() for x in a}) > 500
+
+
 def test_index_finds_all_windows():
     rng = np.random.default_rng(2)
     text = np.concatenate([rng.integers(1, 4, 700), [0], np.tile([1, 2], 100), [0]])
