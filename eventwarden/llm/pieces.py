@@ -33,6 +33,7 @@ from pyspark.sql.functions import arrow_udf
 from eventwarden.llm.common import partitions
 
 SPACE = "▁"
+BREAK = "\n"
 MAX_UNIT = 1024
 BLOCK_BYTES = 32_000_000
 #: What a character without a piece scores below the lowest piece.
@@ -68,6 +69,8 @@ class Model:
             marks = f"(?:[^\\w\\s]|[{also}])" if also else "[^\\w\\s]"
             most = f"{{1,{MAX_UNIT}}}"
             pattern = f" *{letters}{most}| *{marks}{most}| *\\d| +|\\s|\\w"
+            if BREAK in loose:
+                break
             crossed = [p for p in self.pieces if not re.fullmatch(pattern, p.replace(SPACE, " "))]
             if not crossed:
                 return pattern
@@ -101,32 +104,36 @@ def _byte_ids(model: Model, char: Column) -> Column:
                        lambda k: table[F.conv(F.substring(code, (k * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")])
 
 
-def solve(units: DataFrame, model: Model, by: list[str]) -> DataFrame:
-    """(by..., unit, ids): the best path of each distinct unit.  ``units`` is dealt by ``by``.
+def solve(units: DataFrame, model: Model) -> DataFrame:
+    """Adds the best path's ``ids`` to distinct units (bucket, unit, blocks) that are dealt by bucket.
 
-    The piece table has as many rows as the model file has pieces, so it is broadcast.
+    The piece table has as many rows as the model file has pieces, so it is broadcast.  A unit's
+    blocks go along with its first edge, which every unit has.
     """
-    spark = units.sparkSession
+    spark, by = units.sparkSession, ["bucket", "unit", "blocks"]
     marked = units.withColumn("body", F.translate("unit", " ", SPACE)).withColumn("n", F.length("body"))
-    starts = marked.select(*by, "unit", "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
-    subs = starts.select(*by, "unit", "start", "body", F.explode(
+    starts = marked.select(*by, "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
+    subs = starts.select(*by, "start", "body", F.explode(
         F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start") + 1))).alias("size")) \
         .withColumn("piece", F.substring(F.col("body"), F.col("start"), F.col("size")))
     edges = subs.join(F.broadcast(model.table(spark)), "piece", "left").filter("id IS NOT NULL OR size = 1")
     ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_byte_ids(model, F.col("piece")))
     edge = F.struct((F.col("start") + F.col("size") - 1).alias("stop"), "start",
                     F.coalesce("score", F.lit(model.unknown())).alias("score"), ids.alias("ids"))
-    lattice = edges.groupBy(*by, "unit").agg(F.collect_list(edge).alias("edges"))
+    first = F.when((F.col("start") == 1) & (F.col("size") == 1), F.col("blocks"))
+    lattice = edges.groupBy("bucket", "unit").agg(F.collect_list(edge).alias("edges"), F.flatten(F.collect_list(first)).alias("blocks"))
     # of paths with equal scores the one with the earlier start, so the longer last piece, wins
     best = ("aggregate(transform(sequence(1, array_max(edges.stop)), j -> filter(edges, e -> e.stop = j)), "
             "array(struct(0D AS score, 0 AS late, CAST(array() AS array<int>) AS ids)), "
             "(b, g) -> concat(b, array(array_max(transform(g, e -> struct(b[e.start - 1].score + e.score AS score, "
             "-e.start AS late, concat(b[e.start - 1].ids, e.ids) AS ids))))), b -> element_at(b, -1).ids)")
-    return lattice.select(*by, "unit", F.expr(best).alias("ids"))
+    return lattice.select(*by, F.expr(best).alias("ids"))
 
 
 def _block_units(pattern: str, buckets: int):
-    """A block's distinct units, one row per bucket.  A task's blocks are as bounded as its partition."""
+    """A block's distinct units, one row per bucket: sorted, and joined by the one character that
+    is a unit by itself only (written as an empty one).  A task's blocks are as bounded as its partition.
+    """
 
     def run(batches):
         split, seen = re.compile(pattern), {}
@@ -137,7 +144,7 @@ def _block_units(pattern: str, buckets: int):
             rows = in_buckets(units, buckets)
             yield pa.RecordBatch.from_pydict({
                 "bucket": pa.array(list(rows), pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
-                "units": pa.array(list(rows.values()), pa.list_(pa.string()))})
+                "units": pa.array([BREAK.join("" if u == BREAK else u for u in r) for r in rows.values()], pa.string())})
 
     return run
 
@@ -192,10 +199,11 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     buckets = partitions(spark)
     # by id and text, so that copies of one text are dealt to many blocks
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    sent = dealt.mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units array<string>").repartition(buckets, "bucket")
-    where = sent.select("bucket", "block", F.explode("units").alias("unit")).groupBy("bucket", "unit").agg(F.collect_list("block").alias("blocks"))
-    solved = solve(where.filter(F.size("blocks") > 0).select("bucket", "unit"), model, ["bucket"])
-    back = solved.join(where, ["bucket", "unit"]).select("bucket", F.explode("blocks").alias("block"), "unit", "ids") \
+    sent = dealt.mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units string").repartition(buckets, "bucket")
+    units = sent.select("bucket", "block", F.explode(F.split("units", BREAK)).alias("unit")) \
+        .select("bucket", "block", F.when(F.col("unit") == "", BREAK).otherwise(F.col("unit")).alias("unit"))
+    where = units.groupBy("bucket", "unit").agg(F.collect_list("block").alias("blocks"))
+    back = solve(where, model).select("bucket", F.explode("blocks").alias("block"), "unit", "ids") \
         .groupBy("bucket", "block").agg(F.array_sort(F.collect_list(F.struct("unit", "ids"))).alias("x")) \
         .select("bucket", "block", F.transform("x", lambda u: F.size(u["ids"]).cast("smallint")).alias("sizes"),
                 F.flatten("x.ids").alias("ids"))
