@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eventwarden.llm.common import partitions
-
 SPACE = "▁"
 BREAK = "\n"
 MAX_UNIT = 1024
 BLOCK_BYTES = 32_000_000
+#: Buckets of units for each block: a task solves at most this share of a block's text at a time.
+BUCKETS_A_BLOCK = 6
 #: What a character without a piece scores below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 _ENCODED = "doc_id long, n_pieces long, ids array<int>"
@@ -196,7 +196,7 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(-(-size // block_bytes), spark.sparkContext.defaultParallelism)
-    buckets = partitions(spark)
+    buckets = BUCKETS_A_BLOCK * blocks
     # by id and text, so that copies of one text are dealt to many blocks
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
     sent = dealt.mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units string").repartition(buckets, "bucket")
