@@ -24,16 +24,19 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
 SPACE = "▁"
 BREAK = "\n"
 MAX_UNIT = 1024
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 24_000_000
 #: Buckets of units for each block: a task solves at most this share of a block's text at a time.
 BUCKETS_A_BLOCK = 6
 #: What a character without a piece scores below the lowest piece.
@@ -121,7 +124,8 @@ def solve(units: DataFrame, model: Model) -> DataFrame:
     edge = F.struct((F.col("start") + F.col("size") - 1).alias("stop"), "start",
                     F.coalesce("score", F.lit(model.unknown())).alias("score"), ids.alias("ids"))
     first = F.when((F.col("start") == 1) & (F.col("size") == 1), F.col("blocks"))
-    lattice = edges.groupBy("bucket", "unit").agg(F.collect_list(edge).alias("edges"), F.flatten(F.collect_list(first)).alias("blocks"))
+    # the hash comes first: long keys are sorted by their bits, where the bucket is the same for all
+    lattice = edges.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit").agg(F.collect_list(edge).alias("edges"), F.flatten(F.collect_list(first)).alias("blocks"))
     # of paths with equal scores the one with the earlier start, so the longer last piece, wins
     best = ("aggregate(transform(sequence(1, array_max(edges.stop)), j -> filter(edges, e -> e.stop = j)), "
             "array(struct(0D AS score, 0 AS late, CAST(array() AS array<int>) AS ids)), "
@@ -130,18 +134,63 @@ def solve(units: DataFrame, model: Model) -> DataFrame:
     return lattice.select(*by, F.expr(best).alias("ids"))
 
 
+class _Block:
+    """Numbers the tokens of a block's texts, and the units of the distinct tokens only.
+
+    A token is what stands between two spaces, read with the space before it; a text with other
+    spaces than single ones inside is cut into units right away.
+    """
+
+    def __init__(self, pattern: str):
+        self.split = re.compile(pattern)
+        number = count().__next__
+        self.spaced, self.units = defaultdict(number), defaultdict(number)
+
+    def add(self, text: str | None) -> np.ndarray:
+        text = (text or "").replace(SPACE, " ")
+        if not text or "  " in text or text[0] == " " or text[-1] == " ":
+            own, tokens = self.units, split_units(self.split, text)
+        else:
+            own, tokens = self.spaced, text.split(" ")
+        return np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens))
+
+    def token_units(self) -> list[list[str]]:
+        """The units of each token, by number."""
+        out = [[]] * (len(self.spaced) + len(self.units))
+        for token, i in self.spaced.items():
+            out[i] = self.split.findall(" " + token)
+        for unit, i in self.units.items():
+            out[i] = [unit]
+        return out
+
+
+def _compressed(batches):
+    """Texts as zstd frames: a document as a whole packs better than the shuffle's small blocks do."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        texts = [None if t.as_py() is None else pack(t.as_py().encode()) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("block"), pa.array(texts, pa.binary())], ["doc_id", "block", "text"])
+
+
+def _texts(column):
+    unpack = zstandard.ZstdDecompressor().decompress
+    return (None if t is None else unpack(t).decode() for t in column.to_pylist())
+
+
 def _block_units(pattern: str, buckets: int):
     """A block's distinct units, one row per bucket: sorted, and joined by the one character that
     is a unit by itself only (written as an empty one).  A task's blocks are as bounded as its partition.
     """
 
     def run(batches):
-        split, seen = re.compile(pattern), {}
+        blocks: dict[int, _Block] = {}
         for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-                seen.setdefault(block, set()).update(split_units(split, text.as_py()))
-        for block, units in seen.items():
-            rows = in_buckets(units, buckets)
+            for block, text in zip(batch.column("block").to_pylist(), _texts(batch.column("text"))):
+                if block not in blocks:
+                    blocks[block] = _Block(pattern)
+                blocks[block].add(text)
+        for block in list(blocks):
+            rows = in_buckets(set().union(*blocks.pop(block).token_units()), buckets)
             yield pa.RecordBatch.from_pydict({
                 "bucket": pa.array(list(rows), pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
                 "units": pa.array([BREAK.join("" if u == BREAK else u for u in r) for r in rows.values()], pa.string())})
@@ -157,32 +206,38 @@ def in_buckets(units, buckets: int) -> dict[int, list[str]]:
     return rows
 
 
+def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``at`` of ``flat`` one after the other, and their sizes."""
+    n = size[at]
+    return flat[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))], n
+
+
 def _encode_block(pattern: str, buckets: int):
     """Documents of a block and its units' ids, by bucket in the units' order."""
 
     def run(docs: pa.Table, solved: pa.Table) -> pa.Table:
-        split = re.compile(pattern)
-        texts = [split_units(split, t) for t in docs["text"].to_pylist()]
-        mine = in_buckets(set().union(*texts), buckets)
-        number, sizes, flat = {}, [], []
+        block = _Block(pattern)
+        texts = [block.add(t) for t in _texts(docs["text"])]
+        tokens = block.token_units()
+        mine = in_buckets(set().union(*tokens), buckets)
+        number, sizes, flat = {}, [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         for bucket, n, ids in zip(solved["bucket"].to_pylist(), solved["sizes"], solved["ids"]):
             for u in mine[bucket]:
                 number[u] = len(number)
             sizes.append(n.values.to_numpy())
             flat.append(ids.values.to_numpy())
-        size = np.concatenate(sizes).astype(np.int64) if sizes else np.zeros(0, np.int64)
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        size, flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flat).astype(np.int32)
         if len(size) != len(number):
             raise RuntimeError("a block's units and their ids don't match")
-        first = np.cumsum(size) - size
-        ends, out = [0], []
-        for units in texts:
-            at = np.fromiter(map(number.__getitem__, units), np.int64, len(units))
-            n = size[at]
-            total = int(n.sum())
-            out.append(flat[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(total)].astype(np.int32))
-            ends.append(ends[-1] + total)
-        ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
+        # ids by unit, then by token, then by text
+        counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        units = np.fromiter((number[u] for t in tokens for u in t), np.int64, int(counts.sum()))
+        flat, n = _gather(flat, np.cumsum(size) - size, size, units)
+        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])]
+        first, size = ends[:-1], np.diff(ends)
+        parts = [_gather(flat, first, size, at)[0] for at in texts]
+        ends = np.cumsum([0, *map(len, parts)])
+        ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(parts) if parts else flat[:0], pa.int32()))
         return pa.table({"doc_id": docs["doc_id"], "n_pieces": pa.array(np.diff(ends), pa.int64()), "ids": ids.cast(pa.list_(pa.int32()))})
 
     return run
@@ -198,11 +253,12 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     blocks = max(-(-size // block_bytes), spark.sparkContext.defaultParallelism)
     buckets = BUCKETS_A_BLOCK * blocks
     # by id and text, so that copies of one text are dealt to many blocks
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")) \
+        .mapInArrow(_compressed, "doc_id long, block int, text binary").repartition(blocks, "block")
     sent = dealt.mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units string").repartition(buckets, "bucket")
     units = sent.select("bucket", "block", F.explode(F.split("units", BREAK)).alias("unit")) \
         .select("bucket", "block", F.when(F.col("unit") == "", BREAK).otherwise(F.col("unit")).alias("unit"))
-    where = units.groupBy("bucket", "unit").agg(F.collect_list("block").alias("blocks"))
+    where = units.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit").agg(F.collect_list("block").alias("blocks"))
     back = solve(where, model).select("bucket", F.explode("blocks").alias("block"), "unit", "ids") \
         .groupBy("bucket", "block").agg(F.array_sort(F.collect_list(F.struct("unit", "ids"))).alias("x")) \
         .select("bucket", "block", F.transform("x", lambda u: F.size(u["ids"]).cast("smallint")).alias("sizes"),
