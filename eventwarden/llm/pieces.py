@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from itertools import count
 
@@ -36,7 +37,7 @@ from pyspark.sql.functions import arrow_udf
 SPACE = "▁"
 BREAK = "\n"
 MAX_UNIT = 1024
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 16_000_000
 #: Buckets of units for each block: a task solves at most this share of a block's text at a time.
 BUCKETS_A_BLOCK = 6
 #: What a character without a piece scores below the lowest piece.
@@ -143,25 +144,27 @@ class _Block:
 
     def __init__(self, pattern: str):
         self.split = re.compile(pattern)
-        number = count().__next__
-        self.spaced, self.units = defaultdict(number), defaultdict(number)
+        self.spaced, self.units = defaultdict(count().__next__), defaultdict(count().__next__)
 
-    def add(self, text: str | None) -> np.ndarray:
+    def add(self, text: str | None) -> tuple[bool, np.ndarray]:
+        """Whether the tokens are read with a space, and their numbers."""
         text = (text or "").replace(SPACE, " ")
-        if not text or "  " in text or text[0] == " " or text[-1] == " ":
-            own, tokens = self.units, split_units(self.split, text)
-        else:
-            own, tokens = self.spaced, text.split(" ")
-        return np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens))
-
-    def token_units(self) -> list[list[str]]:
-        """The units of each token, by number."""
-        out = [[]] * (len(self.spaced) + len(self.units))
-        for token, i in self.spaced.items():
-            out[i] = self.split.findall(" " + token)
-        for unit, i in self.units.items():
-            out[i] = [unit]
-        return out
+        spaced = not (not text or "  " in text or text[0] == " " or text[-1] == " ")
+        own, tokens = (self.spaced, text.split(" ")) if spaced else (self.units, split_units(self.split, text))
+        return spaced, np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens))
+
+    def token_units(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        """Units by number, the numbers of all tokens' units, and how many each token has: spaced tokens, then units."""
+        number: defaultdict[str, int] = defaultdict(count().__next__)
+        flat, sizes = array("i"), array("i")
+        for token in self.spaced:
+            found = self.split.findall(" " + token)
+            flat.extend([number[u] for u in found])
+            sizes.append(len(found))
+        for unit in self.units:
+            flat.append(number[unit])
+            sizes.append(1)
+        return number, np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.array(sizes, np.int64)
 
 
 def _compressed(batches):
@@ -179,21 +182,26 @@ def _texts(column):
 
 def _block_units(pattern: str, buckets: int):
     """A block's distinct units, one row per bucket: sorted, and joined by the one character that
-    is a unit by itself only (written as an empty one).  A task's blocks are as bounded as its partition.
+    is a unit by itself only (written as an empty one).  Blocks come one after the other.
     """
 
     def run(batches):
-        blocks: dict[int, _Block] = {}
+        block, held = None, None
         for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), _texts(batch.column("text"))):
-                if block not in blocks:
-                    blocks[block] = _Block(pattern)
-                blocks[block].add(text)
-        for block in list(blocks):
-            rows = in_buckets(set().union(*blocks.pop(block).token_units()), buckets)
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array(list(rows), pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
-                "units": pa.array([BREAK.join("" if u == BREAK else u for u in r) for r in rows.values()], pa.string())})
+            for number, text in zip(batch.column("block").to_pylist(), _texts(batch.column("text"))):
+                if number != block:
+                    if held:
+                        yield rows_of(block, held)
+                    block, held = number, _Block(pattern)
+                held.add(text)
+        if held:
+            yield rows_of(block, held)
+
+    def rows_of(block: int, held: _Block) -> pa.RecordBatch:
+        rows = in_buckets(held.token_units()[0], buckets)
+        return pa.RecordBatch.from_pydict({
+            "bucket": pa.array(list(rows), pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
+            "units": pa.array([BREAK.join("" if u == BREAK else u for u in r) for r in rows.values()], pa.string())})
 
     return run
 
@@ -218,24 +226,26 @@ def _encode_block(pattern: str, buckets: int):
     def run(docs: pa.Table, solved: pa.Table) -> pa.Table:
         block = _Block(pattern)
         texts = [block.add(t) for t in _texts(docs["text"])]
-        tokens = block.token_units()
-        mine = in_buckets(set().union(*tokens), buckets)
-        number, sizes, flat = {}, [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        spaced = len(block.spaced)
+        number, units, counts = block.token_units()
+        del block
+        mine = in_buckets(number, buckets)
+        place, sizes, flat = np.zeros(len(number), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        done = 0
         for bucket, n, ids in zip(solved["bucket"].to_pylist(), solved["sizes"], solved["ids"]):
-            for u in mine[bucket]:
-                number[u] = len(number)
+            own = mine.pop(bucket)
+            place[[number[u] for u in own]] = np.arange(done, done + len(own))
+            done += len(own)
             sizes.append(n.values.to_numpy())
             flat.append(ids.values.to_numpy())
         size, flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flat).astype(np.int32)
-        if len(size) != len(number):
+        if len(size) != len(number) or done != len(number):
             raise RuntimeError("a block's units and their ids don't match")
         # ids by unit, then by token, then by text
-        counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        units = np.fromiter((number[u] for t in tokens for u in t), np.int64, int(counts.sum()))
-        flat, n = _gather(flat, np.cumsum(size) - size, size, units)
+        flat, n = _gather(flat, np.cumsum(size) - size, size, place[units])
         ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])]
         first, size = ends[:-1], np.diff(ends)
-        parts = [_gather(flat, first, size, at)[0] for at in texts]
+        parts = [_gather(flat, first, size, at if with_space else at + spaced)[0] for with_space, at in texts]
         ends = np.cumsum([0, *map(len, parts)])
         ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(parts) if parts else flat[:0], pa.int32()))
         return pa.table({"doc_id": docs["doc_id"], "n_pieces": pa.array(np.diff(ends), pa.int64()), "ids": ids.cast(pa.list_(pa.int32()))})
@@ -255,7 +265,7 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     # by id and text, so that copies of one text are dealt to many blocks
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")) \
         .mapInArrow(_compressed, "doc_id long, block int, text binary").repartition(blocks, "block")
-    sent = dealt.mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units string").repartition(buckets, "bucket")
+    sent = dealt.sortWithinPartitions("block").mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units string").repartition(buckets, "bucket")
     units = sent.select("bucket", "block", F.explode(F.split("units", BREAK)).alias("unit")) \
         .select("bucket", "block", F.when(F.col("unit") == "", BREAK).otherwise(F.col("unit")).alias("unit"))
     where = units.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit").agg(F.collect_list("block").alias("blocks"))
