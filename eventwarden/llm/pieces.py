@@ -37,7 +37,7 @@ from pyspark.sql.functions import arrow_udf
 SPACE = "▁"
 BREAK = "\n"
 MAX_UNIT = 1024
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Buckets of units for each block: a task solves at most this share of a block's text at a time.
 BUCKETS_A_BLOCK = 6
 #: What a character without a piece scores below the lowest piece.
