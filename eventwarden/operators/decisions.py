@@ -110,7 +110,7 @@ def decision_matrix(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy
     has_dq = F.col("dq_failures") > 0
     table = [
         # priority, condition, predicate, action, escalate
-        (1, "critical_share", F.greatest(late, dq) > policy.critical_rate, F.lit("escalate_incident"), True),
+        (1, "critical_share", dq > policy.critical_rate, F.lit("escalate_incident"), True),
         (2, "repeated_failures", F.coalesce("streak", F.lit(0)) >= policy.streak,
          F.lit("escalate_incident"), True),
         (3, "breaking_drift", drift == "breaking", drift_action(drift, policy), True),

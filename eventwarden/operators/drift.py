@@ -74,8 +74,8 @@ def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
     Every shape contributes its own fields plus one zero-count marker per
     contract field, so a single aggregation answers the full outer comparison;
     neither the payloads nor the groups are read a second time.  A field that
-    was only ever null is evidence of presence, not of a type, and a group
-    without one readable payload gives no rows.
+    was only ever null is evidence of presence, not of a type.  In a group
+    without one readable payload every field of the contract is missing.
     """
     by = by or []
     markers = literal_rows(["field", "type", "n"], [(f.name, "VOID", ("0L",)) for f in contract.fields])
@@ -84,7 +84,7 @@ def compare_fields(df: DataFrame, raw: str, by: list[str] | None = None,
     own = F.transform("shape", lambda f: F.struct(f["field"].alias("field"), f["type"].alias("type"),
                                                   F.col("n").alias("n")))
     seen = (payload_shapes(df, raw, by)
-            .select(*by, F.explode(F.when(F.col("shape").isNotNull(), F.concat(own, markers))).alias("f"))
+            .select(*by, F.explode(F.when(F.col("shape").isNull(), markers).otherwise(F.concat(own, markers))).alias("f"))
             .select(*by, "f.field", "f.n", _class_of("f.type").alias("class"))
             .groupBy(*by, "field")
             .agg(F.sum("n").alias("records"),

@@ -43,7 +43,7 @@ def run_rates(reports: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy())
         "error_rate": X.rate("processing_errors", "total_records"),
         "late_exceeded": late > policy.late_rate,
         "dq_exceeded": dq > policy.dq_rate,
-        "is_critical": F.greatest(late, dq) > policy.critical_rate,
+        "is_critical": dq > policy.critical_rate,
     })
 
 

@@ -117,7 +117,7 @@ _REPORT_COLUMNS = f"""run_id, total_records, late_records, dq_failures, dq_unkno
 _add("run_report", f"SELECT {_REPORT_COLUMNS} FROM rr", _REPORT)
 _add("run_rates", """
 SELECT run_id, late_rate, dq_failure_rate, error_rate, late_rate > 0.15 AS late_exceeded,
-  dq_failure_rate > 0.05 AS dq_exceeded, greatest(late_rate, dq_failure_rate) > 0.1 AS is_critical FROM ra
+  dq_failure_rate > 0.05 AS dq_exceeded, dq_failure_rate > 0.1 AS is_critical FROM ra
 """, _REPORT)
 _add("latest_run", f"""
 SELECT {_REPORT_COLUMNS} FROM (SELECT * FROM rr ORDER BY rr.end_time DESC, run_id DESC LIMIT 1)
@@ -616,7 +616,7 @@ FROM rr WINDOW w AS (ORDER BY run_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
 """, _REPORT)
 _add("decision_matrix", """
 SELECT run_id, 1 AS priority, 'critical_share' AS condition, 'escalate_incident' AS action, true AS escalate
-  FROM mx WHERE greatest(late_rate, dq_failure_rate) > 0.1
+  FROM mx WHERE dq_failure_rate > 0.1
 UNION ALL SELECT run_id, 2, 'repeated_failures', 'escalate_incident', true FROM mx WHERE streak >= 3
 UNION ALL SELECT run_id, 3, 'breaking_drift', 'quarantine_and_escalate', true FROM mx WHERE drift_class = 'breaking'
 UNION ALL SELECT run_id, 4, 'high_late_rate', 'escalate_incident', true FROM mx WHERE late_rate > 0.15
@@ -633,8 +633,7 @@ UNION ALL SELECT run_id, 10, 'tolerable_dq', 'log_and_continue', false FROM mx
 mx AS (
   SELECT ra.*, drift_class, max_share, coalesce(streak, 0) AS streak FROM ra LEFT JOIN dc USING (run_id)
   LEFT JOIN (SELECT run_id, max(failure_share) AS max_share FROM ss GROUP BY run_id) USING (run_id)
-  LEFT JOIN (SELECT run_id, max(streak) FILTER (WHERE failed) AS streak FROM sk
-             WHERE failure_type <> 'schema_drift' GROUP BY run_id) USING (run_id))
+  LEFT JOIN (SELECT run_id, max(streak) FILTER (WHERE failed) AS streak FROM sk GROUP BY run_id) USING (run_id))
 """)
 
 # -- alerts -----------------------------------------------------------------------------------------

@@ -547,7 +547,6 @@ def decision_matrix(spark, sf):
     share = (R.failure_shares(FX.flagged_events(spark, sf), ["run_id"])
              .groupBy("run_id").agg(F.max("failure_share").alias("max_segment_share")))
     streak = (D.failure_streaks(D.run_outcomes(rates), ["failure_type"])
-              .filter("failure_type <> 'schema_drift'")
               .groupBy("run_id").agg(F.max(F.when(F.col("failed"), F.col("streak"))).alias("streak")))
     runs = (rates.join(drift.select("run_id", "drift_class"), "run_id", "left")
             .join(share, "run_id", "left").join(streak, "run_id", "left"))
@@ -556,8 +555,7 @@ def decision_matrix(spark, sf):
 
 @query
 def failure_streaks(spark, sf):
-    out = D.failure_streaks(D.run_outcomes(FX.staged_rates(spark, sf)), ["failure_type"],
-                            chunk=7)
+    out = D.failure_streaks(D.run_outcomes(FX.staged_rates(spark, sf)), ["failure_type"])
     return out.select("run_id", "failure_type", tri("failed"), "streak", "escalate")
 
 

@@ -6,6 +6,8 @@ import json
 
 from pyspark.sql import types as T
 
+from eventwarden import policies as P
+
 STRING, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
 BOOL, DOUBLE, TS = T.BooleanType(), T.DoubleType(), T.TimestampType()
 
@@ -100,6 +102,8 @@ def avro_schema(contract: T.StructType = CUSTOMER_EVENT, record: str = "Customer
     fields = []
     for f in contract.fields:
         kind = names[f.dataType.simpleString()]
+        if f.name == "plan":  # on the wire an enum's value is its place among the symbols
+            kind = {"type": "enum", "name": "SubscriptionPlan", "symbols": list(P.PLANS)}
         if f.name not in CUSTOMER_EVENT_V1.fieldNames():
             fields.append({"name": f.name, "type": ["null", kind], "default": None})
         else:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+WORK_KEY = "spark.eventwarden.work.dir"
 
 # Runtime settings the operators rely on or profit from; all are public Spark SQL options.
 RUNTIME_CONF = {
@@ -41,17 +41,10 @@ def pin_session(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
-
-    Only a local-mode session may fall back to the machine's own scratch space;
-    on a cluster every executor must see the folder.
-    """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
+    """A fresh folder under the cluster's shared checkpoint folder, or under WORK_KEY where that is unset."""
+    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.conf.get(WORK_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="eventwarden-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        raise ValueError(f"set {CHECKPOINT_KEY} or {WORK_KEY} to a folder all executors share")
     return f"{root.rstrip('/')}/eventwarden/{label}-{uuid.uuid4().hex}"
 
 

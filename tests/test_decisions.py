@@ -70,8 +70,9 @@ def test_decision_table(spark):
     assert matrix(spark, late=0, dq=0) == set()
     assert matrix(spark, late=10, dq=5) == {("tolerable_late", "retrigger_task", False),
                                             ("tolerable_dq", "log_and_continue", False)}
-    assert matrix(spark, late=200, dq=0) == {("critical_share", "escalate_incident", True),
-                                             ("high_late_rate", "escalate_incident", True)}
+    assert matrix(spark, late=200, dq=0) == {("high_late_rate", "escalate_incident", True)}
+    assert matrix(spark, late=0, dq=200) == {("critical_share", "escalate_incident", True),
+                                             ("high_dq_rate", "escalate_incident", True)}
     assert matrix(spark, late=0, dq=60, share=0.9) == {("high_dq_rate", "escalate_incident", True),
                                                        ("localised_dq", "quarantine_records", False)}
     assert matrix(spark, late=0, dq=0, drift="additive") == {("additive_drift", "remap", False)}
@@ -100,7 +101,8 @@ def test_run_rates(spark):
     r = R.run_rates(reports(spark, report(late=75, dq=30, errors=2))).first()
     assert (r.late_rate, r.dq_failure_rate, r.error_rate, r.late_exceeded, r.is_critical) == (
         0.075, 0.03, 0.002, False, False)
-    assert R.run_rates(reports(spark, report(late=101))).first().is_critical
+    assert not R.run_rates(reports(spark, report(late=101))).first().is_critical
+    assert R.run_rates(reports(spark, report(dq=101))).first().is_critical
     assert R.run_rates(reports(spark, report(total=0, late=0, dq=0))).first().late_rate == 0.0
 
 

@@ -43,7 +43,8 @@ def test_drift_class(spark, payload, drift, new, removed, changed):
 def test_drift_is_per_group_and_over_all_its_records(spark):
     got = classify(spark, [("a", BASE), ("a", without("country")), ("b", without("country")),
                            ("c", "not json"), ("c", "[1]"), ("d", BASE), ("d", "{broken")])
-    assert {k: r.drift_class for k, r in got.items()} == {"a": "none", "b": "additive", "d": "none"}
+    assert {k: r.drift_class for k, r in got.items()} == {"a": "none", "b": "additive", "c": "breaking",
+                                                        "d": "none"}
 
 
 def test_field_counts(spark):

@@ -50,6 +50,7 @@ def test_avro_schema_follows_the_contract():
     fields = {f["name"]: f["type"] for f in json.loads(S.avro_schema())["fields"]}
     assert fields["event_ts"] == "long" and fields["version"] == "int"
     assert fields["customer_segment"] == ["null", "string"]
+    assert fields["plan"]["type"] == "enum" and fields["plan"]["symbols"] == ["free", "basic", "premium", "enterprise"]
     assert list(fields) == S.CUSTOMER_EVENT.fieldNames()
 
 
