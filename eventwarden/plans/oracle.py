@@ -804,3 +804,6 @@ SELECT count(*) AS total_records, count(*) FILTER (WHERE is_late_arrival) AS lat
   count(*) FILTER (WHERE NOT dq_passed) AS dq_failures, count(*) FILTER (WHERE dq_passed IS NULL) AS dq_unknown,
   count(*) FILTER (WHERE schema_drift_detected) AS schema_drift_count FROM fl
 """)
+
+# Two calls, one of them repeated, leave the tables of one call.
+ORACLES["remediation_replay"] = ORACLES["remediation_tables"]

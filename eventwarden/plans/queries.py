@@ -598,6 +598,24 @@ def remediation_tables(spark, sf):
     return out
 
 
+@query
+def remediation_replay(spark, sf):
+    """The chain in two calls, the second one repeated: the same rows as in one call."""
+    flagged, raw = FX.flagged_events(spark, sf), _raw_text(spark, sf)
+    half = (flagged.agg(F.max("run_id")).first()[0] + 1) // 2
+    root = work_folder(spark, "remediation")
+    for batch_id, later in ((0, False), (1, True), (1, True)):
+        part = (F.col("run_id") >= half) == F.lit(later)
+        paths = remediate(flagged.filter(part), root, F.col(CLOCK), F.expr(FX.DECODE_FAILED),
+                          raw.filter(part), batch_id=batch_id)
+    out = None
+    for name, path in paths.items():
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def country_membership(spark, sf):
     """Countries outside the accepted set, checked against a table."""

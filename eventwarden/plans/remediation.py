@@ -16,20 +16,22 @@ TABLES = ["run_reports", "dq_results", "decisions", "decision_log", "action_audi
 
 def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None = None,
               raw: DataFrame | None = None,
-              policy: P.DecisionPolicy = P.DecisionPolicy()) -> dict[str, str]:
+              policy: P.DecisionPolicy = P.DecisionPolicy(), batch_id: int = 0) -> dict[str, str]:
     """Report, validate, decide, record and alert for every run in ``flagged``.
 
-    Every step appends to a table and the next one reads that table, so the
-    events are aggregated once for the reports and once for the suite, and a
-    failed step restarts from the tables before it.  ``raw`` (run_id, raw text)
-    adds drift alerts.  Returns the table paths.
+    Every step writes its part of a table, under ``batch_id``, and the next one
+    reads that part, so the events are aggregated once for the reports and once
+    for the suite.  A repeated call with the same ``batch_id`` replaces its parts
+    and leaves those of other calls alone; only the incidents are read from all
+    calls, since a run's context has those of the days before it.  ``raw``
+    (run_id, raw text) adds drift alerts.  Returns the table paths.
     """
     spark = flagged.sparkSession
     paths = {name: f"{out.rstrip('/')}/{name}" for name in TABLES}
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        K.append_log(df, paths[name], "parquet")
-        return spark.read.schema(df.schema).parquet(paths[name])
+        K.write_batch(df, batch_id, paths[name])
+        return spark.read.schema(df.schema).parquet(f"{paths[name]}/batch_id={batch_id}")
 
     reports = store(R.run_report(flagged, error=error), "run_reports")
     rates = R.run_rates(reports, policy)
@@ -37,7 +39,8 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     opened = I.log_incidents(I.raise_from_runs(rates, policy), ["run_id"])
     escalated = I.escalate_incidents(opened.filter(I.needs_escalation()), F.col("created_at"))
     changes = store(opened.unionByName(escalated), "incident_events")
-    context = D.decision_context(reports, Q.suite_stats(results, "run_id"), I.fold_incidents(changes))
+    history = spark.read.parquet(paths["incident_events"]).select(*changes.columns)
+    context = D.decision_context(reports, Q.suite_stats(results, "run_id"), I.fold_incidents(history))
     decisions = store(D.gate_actions(D.rule_decisions(context, policy), policy), "decisions")
     store(D.decision_log(decisions), "decision_log")
     store(D.action_audit(decisions, ["run_id"]), "action_audit")

@@ -161,3 +161,15 @@ def test_remediation_chain(spark, sf_dir, tmp_path):
     assert tables["run_reports"].count() == tables["decisions"].count() == 2
     assert tables["dq_results"].count() == 30
     assert tables["alerts"].count() == 8
+
+
+def test_remediation_in_parts_and_repeated(spark, sf_dir, tmp_path):
+    flagged = FX.flagged_events(spark, sf_dir)
+    args = F.col("processing_timestamp"), F.expr(FX.DECODE_FAILED)
+    whole = remediate(flagged, str(tmp_path / "whole"), *args)
+    for run in (0, 1, 1):
+        parts = remediate(flagged.filter(F.col("run_id") == run), str(tmp_path / "parts"), *args, batch_id=run)
+    for name in ("run_reports", "dq_results", "decisions", "incident_events", "alerts"):
+        a, b = (spark.read.parquet(p[name]).drop("batch_id") for p in (whole, parts))
+        assert rows(a.select([F.to_json(F.struct(*a.columns)).alias("r")])) == rows(
+            b.select(*a.columns).select([F.to_json(F.struct(*a.columns)).alias("r")])), name
