@@ -112,27 +112,37 @@ def solve(units: DataFrame, model: Model) -> DataFrame:
     """Adds the best path's ``ids`` to distinct units (bucket, unit, blocks) that are dealt by bucket.
 
     The piece table has as many rows as the model file has pieces, so it is broadcast.  A unit's
-    blocks go along with its first edge, which every unit has.
+    blocks go along with its first edge, which every unit has.  An edge without an id is a
+    character that has no piece.
     """
     spark, by = units.sparkSession, ["bucket", "unit", "blocks"]
-    marked = units.withColumn("body", F.translate("unit", " ", SPACE)).withColumn("n", F.length("body"))
-    starts = marked.select(*by, "body", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("start"))
-    subs = starts.select(*by, "start", "body", F.explode(
-        F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("start") + 1))).alias("size")) \
-        .withColumn("piece", F.substring(F.col("body"), F.col("start"), F.col("size")))
+    marked = units.withColumn("body", F.translate("unit", " ", SPACE))
+    stops = marked.select(*by, "body", F.explode(F.sequence(F.lit(1), F.length("body"))).alias("stop"))
+    subs = stops.select(*by, "stop", "body", F.explode(
+        F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("stop")))).alias("size")) \
+        .withColumn("piece", F.substring(F.col("body"), F.col("stop") - F.col("size") + 1, F.col("size")))
     edges = subs.join(F.broadcast(model.table(spark)), "piece", "left").filter("id IS NOT NULL OR size = 1")
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_byte_ids(model, F.col("piece")))
-    edge = F.struct((F.col("start") + F.col("size") - 1).alias("stop"), "start",
-                    F.coalesce("score", F.lit(model.unknown())).alias("score"), ids.alias("ids"))
-    first = F.when((F.col("start") == 1) & (F.col("size") == 1), F.col("blocks"))
+    edge = F.struct("stop", "size", F.coalesce("score", F.lit(model.unknown())).alias("score"), "id")
+    first = F.when(F.col("stop") == 1, F.col("blocks"))
     # the hash comes first: long keys are sorted by their bits, where the bucket is the same for all
-    lattice = edges.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit").agg(F.collect_list(edge).alias("edges"), F.flatten(F.collect_list(first)).alias("blocks"))
-    # of paths with equal scores the one with the earlier start, so the longer last piece, wins
-    best = ("aggregate(transform(sequence(1, array_max(edges.stop)), j -> filter(edges, e -> e.stop = j)), "
-            "array(struct(0D AS score, 0 AS late, CAST(array() AS array<int>) AS ids)), "
-            "(b, g) -> concat(b, array(array_max(transform(g, e -> struct(b[e.start - 1].score + e.score AS score, "
-            "-e.start AS late, concat(b[e.start - 1].ids, e.ids) AS ids))))), b -> element_at(b, -1).ids)")
-    return lattice.select(*by, F.expr(best).alias("ids"))
+    lattice = edges.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit") \
+        .agg(F.collect_list(edge).alias("edges"), F.first(first, ignorenulls=True).alias("blocks"))
+    # a stop's edges follow each other by size, and one character is always an edge: a stop begins there
+    marks = "filter(transform(edges, (e, i) -> IF(e.size = 1, i + 1, NULL)), i -> i IS NOT NULL)"
+    stops = "transform(marks, (m, k) -> slice(edges, m, coalesce(get(marks, k + 1), size(edges) + 1) - m))"
+    best = ("aggregate(stops, array(0D), (b, g) -> "
+            "concat(b, array(array_max(transform(g, e -> b[e.stop - e.size] + e.score)))))")
+    # backwards, the last of the edges that reach a stop's best score: the longest piece wins ties
+    back = ("aggregate(stops, struct(size(stops) AS at, CAST(array() AS array<struct<stop: int, size: int, score: double, id: int>>) AS path), "
+            "(p, _) -> IF(p.at = 0, p, transform(array(element_at(filter(stops[p.at - 1], "
+            "e -> best[e.stop - e.size] + e.score = best[e.stop]), -1)), "
+            "e -> struct(p.at - e.size AS at, concat(array(e), p.path) AS path))[0]), p -> p.path)")
+    solved = lattice.withColumn("edges", F.sort_array("edges")).withColumn("marks", F.expr(marks)) \
+        .withColumn("stops", F.expr(stops)).withColumn("best", F.expr(best)).select(*by, F.expr(back).alias("path"))
+    plain = F.transform("path", lambda e: e["id"])
+    spelt = F.flatten(F.transform("path", lambda e: F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(
+        _byte_ids(model, F.substring(F.translate("unit", " ", SPACE), e["stop"], F.lit(1))))))
+    return solved.select(*by, F.when(F.exists("path", lambda e: e["id"].isNull()), spelt).otherwise(plain).alias("ids"))
 
 
 class _Block:
