@@ -56,8 +56,9 @@ def compile_suite(suite: Sequence[Expectation], schema: T.StructType, as_of: Col
                   params: dict[str, Any] | None = None) -> list[Check]:
     """Bind parameters and ``as_of`` and turn each expectation into a check.
 
-    A check on a column that does not exist fails as a schema check, the way a
-    caught exception would, instead of failing the whole suite.
+    A check on a column that does not exist, or a date bound on a column that
+    holds no time, fails as a schema check, the way a caught exception would,
+    instead of failing the whole suite.
     """
     params = {**P.SUITE_PARAMETERS, **(params or {})}
     return [_compile(i, e, schema, as_of, params) for i, e in enumerate(suite)]
@@ -95,12 +96,25 @@ def _compile(i: int, e: Expectation, schema: T.StructType, as_of: Column,
     elif e.type == "expect_column_values_to_be_in_set":
         bad = ~c.isin(list(kw["value_set"]))
     elif e.type == "expect_column_values_to_be_between":
-        bad = _outside(c, kw, as_of, params)
+        judged = _as_time(c, schema[kw["column"]].dataType) if kw.get("parse_strings_as_datetimes") else c
+        if judged is None:
+            return Check(i, e.type, e.column, "schema", holds=False)
+        # what cannot be read as a time is not between the bounds
+        bad = F.coalesce(_outside(judged, kw, as_of, params), c.isNotNull())
     else:
         raise ValueError(f"unknown expectation type: {e.type}")
     return Check(i, e.type, e.column, "value", missing=c.isNull(), unexpected=bad, value=text)
 
 
+def _as_time(c: Column, kind: T.DataType) -> Column | None:
+    """A column as a time: whole numbers are epoch milliseconds; None for types that hold no time."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c
+    if isinstance(kind, T.IntegralType):
+        return F.timestamp_millis(c.cast("long"))
+    return c.try_cast("timestamp") if isinstance(kind, T.StringType) else None
+
+
 def _outside(c: Column, kw: dict[str, Any], as_of: Column, params: dict[str, Any]) -> Column:
     """Out of bounds.  Open date bounds are relative to ``as_of``: an open upper
     bound is ``as_of`` itself, and fully open bounds mean the freshness window."""

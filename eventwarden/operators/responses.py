@@ -24,8 +24,11 @@ MAX_HEADER = 20
 SPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
          "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
-# A brace group with up to one nested level; possessive, so long texts cannot backtrack.
-ACTION = r"\{[^{}]*+(?:\{[^{}]*+\}[^{}]*+)*+\}"
+# A brace opens an object before a quote or a closing brace, a quote opens a text behind a brace,
+# bracket, comma or colon.  Both are marked before the text is cut into tokens.
+OPENING = r"(\{(?=\s*+[\"'}])|[\"'](?<=[\[{,:]\s{0,200}[\"']))"
+MARK = "\x01"
+TOKEN = r"\\.|\x01[{\"']|[{}\"'\n]|[^{}\"'\n\\\x01]++|[\\\x01]"
 
 
 def strip(text: Column) -> Column:
@@ -71,12 +74,44 @@ def escalation(text: Column) -> Column:
     return F.lower(text).contains("true")
 
 
+def objects(text: Column) -> Column:
+    """The outermost balanced brace groups of a text, of any depth.
+
+    Braces inside quoted texts do not count.  A quoted text ends with its line, and a brace
+    that is never closed holds no group, so neither swallows what follows.  One fold over the
+    text's tokens keeps the position, the open braces, the quote and the groups so far.
+    """
+    marked = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("")), OPENING, MARK + "$1")
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("open"), F.lit("").alias("quote"),
+                     F.array().cast("array<struct<first:int,last:int>>").alias("found"))
+
+    def step(s: Column, token: Column) -> Column:
+        free, size = s["quote"] == "", F.length(token)
+        opens, closes = free & (token == MARK + "{"), free & (token == "}") & (F.size(s["open"]) > 0)
+        first = F.try_element_at(s["open"], F.lit(-1))
+        outer = F.filter(s["found"], lambda g: g["first"] < first)
+        return F.struct(
+            (s["at"] + size).alias("at"),
+            F.when(opens, F.concat(s["open"], F.array(s["at"])))
+            .when(closes, F.slice(s["open"], F.lit(1), F.size(s["open"]) - 1)).otherwise(s["open"]).alias("open"),
+            F.when(token == "\n", "")
+            .when(free & ~opens & (F.size(s["open"]) > 0) & token.startswith(MARK), F.substring(token, 2, 1))
+            .when(~free & (size < 3) & ~token.startswith("\\") & token.endswith(s["quote"]), "")
+            .otherwise(s["quote"]).alias("quote"),
+            F.when(closes, F.concat(outer, F.array(F.struct(first.alias("first"), s["at"].alias("last")))))
+            .otherwise(s["found"]).alias("found"))
+
+    groups = F.aggregate(F.regexp_extract_all(marked, F.lit(TOKEN), 0), start, step, lambda s: s["found"])
+    return F.transform(groups, lambda g: F.replace(
+        F.substring(marked, g["first"], g["last"] - g["first"] + 1), F.lit(MARK), F.lit("")))
+
+
 def actions(text: Column) -> Column:
     """Tool calls found anywhere in the text, unreadable ones skipped.
 
-    Single quotes are repaired; parameters may be an object of their own.
+    Single quotes are repaired; parameters may be objects of any depth.
     """
-    found = F.regexp_extract_all(text, F.lit(ACTION), 0)
+    found = objects(text)
     parsed = F.transform(found, lambda m: F.coalesce(
         F.try_parse_json(m), F.try_parse_json(F.replace(m, F.lit("'"), F.lit('"')))))
     calls = F.transform(F.filter(parsed, lambda v: v.isNotNull()), lambda v: F.struct(

@@ -794,10 +794,7 @@ SELECT {_REPORT_COLUMNS.replace('processing_errors', 'CAST(0 AS BIGINT) AS proce
 _add("stream_late_split", """
 SELECT event_id, CASE WHEN is_late_arrival THEN 'late' ELSE 'table' END AS side FROM fl
 """)
-_add("stream_windowed_report", f"""
-SELECT {_WINDOW_COLUMNS} FROM wr
-WHERE wr.window_end <= (SELECT max(event_timestamp) FROM fl) - INTERVAL 15 MINUTE
-""", _WINDOWS)
+_add("stream_windowed_report", f"SELECT {_WINDOW_COLUMNS} FROM wr", _WINDOWS)
 _add("stream_dedup", "SELECT event_id, run_id, id FROM ce")
 _add("stream_metrics", """
 SELECT count(*) AS total_records, count(*) FILTER (WHERE is_late_arrival) AS late_records,

@@ -22,14 +22,21 @@ def _documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def run_reports(spark: SparkSession, path: str) -> DataFrame:
-    """Run reports as JSON documents."""
-    return _documents(spark, path, S.RUN_REPORT)
+def _with_run(docs: DataFrame, run_id: int | None) -> DataFrame:
+    """Documents that name no run belong to the one given."""
+    if run_id is None:
+        return docs
+    return docs.withColumn("run_id", F.coalesce("run_id", F.lit(run_id).cast(docs.schema["run_id"].dataType)))
 
 
-def quality_documents(spark: SparkSession, path: str) -> DataFrame:
+def run_reports(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
+    """Run reports as JSON documents; ``run_id`` is the run of those that name none."""
+    return _with_run(_documents(spark, path, S.RUN_REPORT), run_id)
+
+
+def quality_documents(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
     """Validation summaries in the columns :func:`decision_context` joins on."""
-    docs = _documents(spark, path, S.DQ_DOCUMENT)
+    docs = _with_run(_documents(spark, path, S.DQ_DOCUMENT), run_id)
     return docs.select(
         "run_id", "status",
         F.col("summary.total_expectations").alias("evaluated_expectations"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -50,8 +50,8 @@ def start_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 
 
 def batch_outputs(table: str, late: str | None = None, reports: str | None = None,
-                  by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """A handler writing on-time rows, late rows and the batch's run report.
+                  by: list[str] | None = None, windows: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A handler writing on-time rows, late rows, the batch's run report and its windows' reports.
 
     Each output goes to a folder named after the batch, so a replay after a
     failure replaces rather than repeats.  The batch feeds several outputs and
@@ -68,6 +68,8 @@ def batch_outputs(table: str, late: str | None = None, reports: str | None = Non
                 K.write_batch(batch.filter("is_late_arrival"), batch_id, late)
             if reports is not None:
                 K.write_batch(R.run_report(batch, by), batch_id, reports)
+            if windows is not None:
+                K.write_batch(R.windowed_report(batch), batch_id, windows)
         finally:
             batch.unpersist()
     return handle
@@ -75,7 +77,11 @@ def batch_outputs(table: str, late: str | None = None, reports: str | None = Non
 
 def windowed_report_stream(flagged: DataFrame, width: str = P.REPORT_WINDOW,
                            delay: str = P.WATERMARK_DELAY) -> DataFrame:
-    """Run report per event-time window; a window is emitted once the watermark passes it."""
+    """Run report per event-time window; a window is emitted once the watermark passes it.
+
+    Rows behind the watermark are not in it.  For windows over all rows, write each batch's
+    part with ``batch_outputs(windows=...)`` and add them up with :func:`merge_windows`.
+    """
     return R.windowed_report(flagged.withWatermark("event_timestamp", delay), width)
 
 
@@ -109,12 +115,20 @@ def merge_reports(reports: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.max("end_time").alias("end_time"), F.first("watermark_delay").alias("watermark_delay"))
 
 
+def merge_windows(parts: DataFrame) -> DataFrame:
+    """The windows' parts of several micro-batches as one report per window, late rows included."""
+    counts = [c for c in parts.columns if c not in ("window_start", "window_end", "batch_id")]
+    return parts.groupBy("window_start", "window_end").agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def ingest(raw: DataFrame, path: str, checkpoint: str, seconds: float, codec: str = "json",
-           processing: Column | None = None, every: str | None = P.CURATED_TRIGGER) -> DataFrame:
+           processing: Column | None = None, every: str | None = P.CURATED_TRIGGER,
+           reports: str | None = None) -> DataFrame:
     """The whole job: decode, enrich, flag, write for ``seconds``, and report.
 
     Readable and corrupt records are written alike: a corrupt one carries its
-    text and counts as a processing error of the batch it came in.
+    text and counts as a processing error of the batch it came in.  The reports
+    are also appended to ``reports``, after a failure too.
     """
     spark = raw.sparkSession
     decoded = SRC.decode(raw, codec)
@@ -122,9 +136,15 @@ def ingest(raw: DataFrame, path: str, checkpoint: str, seconds: float, codec: st
     metrics = RunMetrics()
     spark.streams.addListener(metrics)
     try:
-        run_bounded(start_curated(observe_report(curated_stream(decoded, processing), error),
-                                  path, checkpoint, every), seconds)
-        metrics.wait()
+        query = start_curated(observe_report(curated_stream(decoded, processing), error),
+                              path, checkpoint, every)
+        metrics.only(query)
+        try:
+            run_bounded(query, seconds)
+        finally:
+            metrics.wait()
+            if reports is not None:
+                K.append_log(metrics.reports(spark), reports)
     finally:
         spark.streams.removeListener(metrics)
     return metrics.reports(spark)
@@ -142,17 +162,37 @@ def run_bounded(query: StreamingQuery, seconds: float) -> bool:
 
 
 class RunMetrics(StreamingQueryListener):
-    """Per-batch measures and failures of the queries of a session.
+    """Per-batch measures and failures of the queries of a session, or of one of them.
 
     Register with ``spark.streams.addListener``; holds one small record per
-    micro-batch until :meth:`reports` turns them into run-report rows.
+    micro-batch until :meth:`reports` turns them into run-report rows.  After
+    :meth:`only`, the other queries of the session do not count.
     """
 
     def __init__(self, name: str = REPORT_METRICS) -> None:
         self.name = name
-        self.batches: list[tuple[int, dict]] = []
-        self.errors = 0
-        self.finished = 0
+        self.run: str | None = None
+        self._batches: list[tuple[str, int, dict]] = []
+        self._ends: list[tuple[str, bool]] = []
+
+    def only(self, query: StreamingQuery) -> None:
+        """Count this run of this query alone."""
+        self.run = str(query.runId)
+
+    def _counts(self, run: str) -> bool:
+        return self.run is None or run == self.run
+
+    @property
+    def batches(self) -> list[tuple[int, dict]]:
+        return [(batch_id, m) for run, batch_id, m in self._batches if self._counts(run)]
+
+    @property
+    def errors(self) -> int:
+        return sum(failed for run, failed in self._ends if self._counts(run))
+
+    @property
+    def finished(self) -> int:
+        return sum(self._counts(run) for run, _ in self._ends)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -160,15 +200,13 @@ class RunMetrics(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         row = event.progress.observedMetrics.get(self.name)
         if row is not None and row["total_records"]:
-            self.batches.append((event.progress.batchId, row.asDict()))
+            self._batches.append((str(event.progress.runId), event.progress.batchId, row.asDict()))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self.finished += 1
-        if event.exception is not None:
-            self.errors += 1
+        self._ends.append((str(event.runId), event.exception is not None))
 
     def wait(self, finished: int = 1, seconds: float = 30) -> bool:
         """Listener events arrive asynchronously; wait for the end of ``finished`` queries."""
@@ -178,10 +216,16 @@ class RunMetrics(StreamingQueryListener):
         return self.finished >= finished
 
     def reports(self, spark: SparkSession) -> DataFrame:
-        """One report row per micro-batch; the query failures go on the last one."""
+        """One report row per micro-batch; the query failures go on the last one.
+
+        A failure before any batch is a row of its own, without records.
+        """
+        batches, errors = self.batches, self.errors
+        if errors and not batches:
+            batches = [(0, {f.name: 0 if isinstance(f.dataType, T.LongType) else None for f in RUN_REPORT})]
         rows = []
-        for i, (batch_id, m) in enumerate(self.batches):
-            failed = self.errors if i == len(self.batches) - 1 else 0
+        for i, (batch_id, m) in enumerate(batches):
+            failed = errors if i == len(batches) - 1 else 0
             rows.append({**m, "run_id": batch_id, "processing_errors": m["processing_errors"] + failed})
         return spark.createDataFrame(
             [tuple(r[f] for f in RUN_REPORT.fieldNames()) for r in rows], RUN_REPORT)

@@ -302,6 +302,20 @@ def test_action_audit_of_responses(spark):
         (1, "reboot", False, "Unknown tool: reboot")]
 
 
+@pytest.mark.parametrize("text, found", [
+    ('{"tool": "a", "params": {"x": {"y": {"z": [{"w": {}}]}}}}', [("a", '{"x":{"y":{"z":[{"w":{}}]}}}')]),
+    ('{"tool": "a", "params": {"message": "use } here {"}}', [("a", '{"message":"use } here {"}')]),
+    ('{"tool": "a", "params": {"m": "say \\"}\\" it\'s"}} {"tool": "b"}', [("a", '{"m":"say \\"}\\" it\'s"}'), ("b", "{}")]),
+    ("{'tool': 'a', 'params': {'m': 'x } y'}}", [("a", '{"m":"x } y"}')]),
+    ('{ {"open {"tool": "a"} } {don\'t} {"tool": "b"}', [("b", "{}")]),
+    ('{never "closed\n{"tool":\n "a"}', [("a", "{}")]),
+    ('}} {"tool": "a"} {', [("a", "{}")]),
+])
+def test_nested_actions(spark, text, found):
+    got = RS.response_actions(responses(spark, text), ["k"]).orderBy("action_no").collect()
+    assert [(r.tool, r.params) for r in got] == found
+
+
 def test_long_response(spark):
     text = "DECISION:\n" + "word { " * 50_000 + "\nCONFIDENCE:\n1"
     r = RS.response_decisions(responses(spark, text), ["k"]).first()

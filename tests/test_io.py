@@ -164,3 +164,11 @@ def test_stage_table(spark):
 def test_session_is_pinned(spark):
     assert build_session() is spark
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_documents_without_a_run(spark, tmp_path):
+    (tmp_path / "report.json").write_text('{"total_records": 5}')
+    (tmp_path / "quality.json").write_text('{"status": "passed", "summary": {"total_expectations": 3}}')
+    report = DOC.run_reports(spark, str(tmp_path / "report.json"), run_id=7)
+    quality = DOC.quality_documents(spark, str(tmp_path / "quality.json"), run_id=7)
+    assert [r.total_records for r in report.join(quality, "run_id").collect()] == [5]

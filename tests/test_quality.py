@@ -218,3 +218,14 @@ def test_retention_days(spark):
     plan = {r.day: (r.rows, r.expired) for r in QU.retention_plan(df, "at", F.lit(NOW)).collect()}
     assert plan[date(2024, 1, 7)] == (1, True) and plan[date(2024, 1, 8)] == (1, False)
     assert plan[None] == (1, False)
+
+
+def test_date_bounds_by_column_type(spark):
+    bounds = {"min_value": "2024-01-01", "max_value": "2024-12-31", "parse_strings_as_datetimes": True}
+    between = "expect_column_values_to_be_between"
+    df = spark.sql("""SELECT 0 AS batch, * FROM VALUES
+        (1704067200000, '2024-05-01', true), (1, 'no date', true), (NULL, NULL, true) AS t(millis, words, flag)""")
+    suite = [Expectation(between, {"column": c, **bounds}) for c in ("millis", "words", "flag")]
+    got = {r.column_name: (r.success, r.missing_count, r.unexpected_count)
+           for r in Q.run_suite(df, suite, F.lit(NOW), "batch").collect()}
+    assert got == {"millis": (False, 1, 1), "words": (False, 1, 1), "flag": (False, None, None)}

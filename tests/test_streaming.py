@@ -126,6 +126,15 @@ def test_deduplication_over_batches(spark, tmp_path, spread):
     assert rows(got) == [("a",), ("b",), ("c",)]
 
 
+def test_windows_of_all_rows(spark, wire_folder, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("table", "windows")}
+    J.start_batches(flagged_stream(spark, wire_folder), J.batch_outputs(**paths), str(tmp_path / "ckpt"),
+                    every=None).awaitTermination()
+    got = J.merge_windows(spark.read.parquet(paths["windows"]))
+    want = R.windowed_report(flagged_batch(spark, wire_folder)).select(*got.columns)
+    assert rows(got) == rows(want)
+
+
 def test_batch_duplicates(spark):
     assert J.drop_batch_duplicates(spark.createDataFrame([("a",), ("a",)], "id string"), ["id"]).count() == 1
 
@@ -151,6 +160,18 @@ def test_failure_is_counted_and_raised(spark, tmp_path):
     finally:
         spark.streams.removeListener(metrics)
     assert metrics.errors == 1
+    report = metrics.reports(spark).first()
+    assert (report.total_records, report.processing_errors) == (0, 1)
+
+
+def test_failed_run_leaves_a_report_of_its_own(spark, wire_folder, tmp_path):
+    other = J.start_batches(flagged_stream(spark, wire_folder), lambda b, i: None, str(tmp_path / "other"), every=None)
+    with pytest.raises(StreamingQueryException):
+        J.ingest(wire_stream(spark, wire_folder), str(tmp_path / "out"), str(tmp_path / "ckpt"), 60, every=None,
+                 processing=F.raise_error(F.lit("no clock")).cast("timestamp"), reports=str(tmp_path / "reports"))
+    other.awaitTermination()
+    got = spark.read.json(str(tmp_path / "reports")).collect()
+    assert [(r.total_records, r.processing_errors) for r in got] == [(0, 1)]
 
 
 def test_remediation_chain(spark, sf_dir, tmp_path):
