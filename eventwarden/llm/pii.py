@@ -1,12 +1,15 @@
 """Information-theoretic sanitisation of personal data.
 
-Mail addresses, IP addresses, card and phone numbers are the protected entities.  A term near
-an entity reveals it as far as it makes the entity likely: with document counts over the whole
-corpus, its disclosure is the pointwise mutual information of entity and term as a share of the
-entity's own information, PMI(e, t) / -log p(e).  It is 1 if the term never occurs without the
-entity nearby.  From GENERALISE_FROM a term is replaced by a placeholder, from REMOVE_FROM it is
-taken out, in the documents that hold the entity.  Pairs seen in fewer than MIN_SUPPORT
-documents are no evidence.
+Mail addresses, IP addresses, card and phone numbers are the protected entities.  A term in a
+document with an entity reveals it as far as it makes the entity likely: with document counts
+over the whole corpus, its disclosure is the pointwise mutual information of entity and term as
+a share of the entity's own information, PMI(e, t) / -log p(e).  It is 1 if the term never occurs
+in a document without the entity.  From GENERALISE_FROM a term is replaced by a placeholder, from
+REMOVE_FROM it is taken out, wherever it stands in the documents that hold the entity.  Pairs
+seen in fewer than MIN_SUPPORT documents are no evidence.
+
+Entities held by the same documents have the same counts with every term, so they are counted
+as one set.
 
 Defined cases: a null text is an empty one (a sanitised null stays null); a null doc_id stays
 null; repeated rows are documents of their own; ties in place go by kind; an empty table gives
@@ -16,7 +19,8 @@ an empty result; other columns are passed through or ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 import xxhash
@@ -27,9 +31,6 @@ from eventwarden.llm.common import packed, stage, unpacked
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 TERM = KINDS.index("term")
-#: Terms on either side of an entity that can reveal it.
-NEAR_TERMS = 5
-NEAR_CHARS = 100
 MIN_SUPPORT = 3
 GENERALISE_FROM = 0.75
 REMOVE_FROM = 0.95
@@ -46,7 +47,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[^\W\d_]{3,}")
 _SPAN = "struct<start:int,`end`:int,kind:int>"
-_SCAN = f"struct<base:array<{_SPAN}>,near:array<struct<e:bigint,t:string,start:int,`end`:int>>,entities:array<bigint>>"
+_SCAN = f"struct<base:array<{_SPAN}>,terms:array<struct<t:string,places:array<struct<start:int,`end`:int>>>>,entities:array<bigint>>"
 
 
 def _emails(text: str):
@@ -92,36 +93,43 @@ def _entity(text: str, span: tuple[int, int, int]) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _near(text: str, base: list[tuple[int, int, int]]):
-    """(entity, term, start, end) for the terms around each entity, outside of all of them."""
-    for span in base:
-        entity = _entity(text, span)
-        low, high = max(0, span[0] - NEAR_CHARS), min(len(text), span[1] + NEAR_CHARS)
-        before = list(_WORD.finditer(text, low, span[0]))
-        after = list(_WORD.finditer(text, span[1], high))
-        if before and low and before[0].start() == low and text[low - 1].isalpha():
-            before = before[1:]  # cut off by the limit
-        if after and high < len(text) and after[-1].end() == high and text[high].isalpha():
-            after = after[:-1]
-        for m in before[-NEAR_TERMS:] + after[:NEAR_TERMS]:
-            if not any(s < m.end() and m.start() < e for s, e, _ in base):
-                yield entity, m[0].lower(), m.start(), m.end()
+def _terms(text: str, base: list[tuple[int, int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """Each term of the text, with its places outside of all entities."""
+    out, at, reach = defaultdict(list), 0, 0
+    for m in _WORD.finditer(text):
+        while at < len(base) and base[at][0] < m.end():
+            reach, at = max(reach, base[at][1]), at + 1
+        places = out[m[0].lower()]
+        if reach <= m.start():
+            places.append(m.span())
+    return out
+
+
+def _lists(ends: array, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 def _scan(text: Column) -> Column:
     @arrow_udf(_SCAN)
     def run(texts: pa.Array) -> pa.Array:
-        rows = []
+        base, entities, words = [], [], []
+        term_ends, place_ends, starts, ends = array("i", [0]), array("i", [0]), array("i"), array("i")
         for t in texts:
             text = t.as_py() or ""
-            base = base_spans(text)
-            near = list(_near(text, base))
-            rows.append({"base": [{"start": s, "end": e, "kind": k} for s, e, k in base],
-                         "near": [{"e": e, "t": t, "start": a, "end": b} for e, t, a, b in near],
-                         "entities": sorted({_entity(text, s) for s in base})})
+            found = base_spans(text)
+            base.append([{"start": s, "end": e, "kind": k} for s, e, k in found])
+            entities.append(sorted({_entity(text, s) for s in found}))
+            for word, places in (_terms(text, found) if found else {}).items():
+                words.append(word)
+                for s, e in places:
+                    starts.append(s)
+                    ends.append(e)
+                place_ends.append(len(starts))
+            term_ends.append(len(words))
         span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())])
-        near = pa.struct([("e", pa.int64()), ("t", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-        return pa.array(rows, pa.struct([("base", pa.list_(span)), ("near", pa.list_(near)), ("entities", pa.list_(pa.int64()))]))
+        places = _lists(place_ends, pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["start", "end"]))
+        terms = _lists(term_ends, pa.StructArray.from_arrays([pa.array(words, pa.string()), places], ["t", "places"]))
+        return pa.StructArray.from_arrays([pa.array(base, pa.list_(span)), terms, pa.array(entities, pa.list_(pa.int64()))], ["base", "terms", "entities"])
 
     return run(text)
 
@@ -141,45 +149,64 @@ def _term_counts(rows: DataFrame, text: Column, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             seen = Counter()
             for t in batch.column(0):
-                found = _WORD.findall((t.as_py() or "").lower())
-                seen.update(only.value.intersection(found) if only.value is not None else set(found))
+                found = {w.lower() for w in set(_WORD.findall(t.as_py() or ""))}
+                seen.update(only.value & found if only.value is not None else found)
             yield pa.RecordBatch.from_pydict({"t": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
     return rows.select(text).mapInArrow(count, "t string, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
 
 
-def disclosing(scanned: DataFrame, rows: DataFrame, text: Column) -> DataFrame:
-    """(e, t, disclosure) of the pairs that reach GENERALISE_FROM.
+def _held(scanned: DataFrame) -> DataFrame:
+    """(row, words, sets): rows with an entity, their terms, and the sets of entities they hold.
 
-    ``scanned``: the staged scan; ``rows`` and ``text``: the documents it was made from.
+    A set is all entities of the same documents: ``a`` and ``b`` are 128 bits of these, ``n_e`` their number.
     """
-    total = scanned.count()
-    pairs = scanned.select(F.explode(F.array_distinct(F.transform("scan.near", lambda x: F.struct(x["e"].alias("e"), x["t"].alias("t"))))).alias("p")) \
-        .select("p.e", "p.t").groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= MIN_SUPPORT)
+    held = scanned.filter(F.size("scan.entities") > 0)
+    each = held.select("row", F.explode("scan.entities").alias("e"))
+    alike = each.groupBy("e").agg(F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"),
+                                  F.count(F.lit(1)).alias("n_e"))
+    sets = each.join(alike, "e").groupBy("row").agg(F.collect_set(F.struct("a", "b", "n_e")).alias("sets"))
+    return held.select("row", F.col("scan.terms.t").alias("words")).join(sets, "row")
+
+
+def _pairs(held: DataFrame) -> DataFrame:
+    """(row, a, b, n_e, i, t): each term of a row, numbered, with each of the row's sets."""
+    return held.select("row", "words", F.explode("sets").alias("x")).select("row", "x.*", F.posexplode("words").alias("i", "t"))
+
+
+def disclosing(held: DataFrame, total: int, rows: DataFrame, text: Column) -> DataFrame:
+    """(a, b, t, disclosure) of the pairs of set and term that reach GENERALISE_FROM.
+
+    ``held``: the staged rows with an entity, of ``total``; ``rows`` and ``text``: all documents.
+    """
+    pairs = _pairs(held).groupBy("a", "b", "n_e", "t").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= MIN_SUPPORT)
     pairs = stage(pairs, "pii-pairs")
-    entities = scanned.select(F.explode("scan.entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
     terms = _term_counts(rows, text, pairs.select("t").distinct())
     n = F.lit(float(max(total, 1)))
     pmi = F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     share = F.when(F.col("n_e") < n, pmi / F.log(n / F.col("n_e")))
-    return pairs.join(entities, "e").join(terms, "t").select("e", "t", share.alias("disclosure")) \
-        .filter(F.col("disclosure") >= GENERALISE_FROM)
+    return pairs.join(terms, "t").select("a", "b", "t", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE_FROM)
+
+
+def found_terms(scanned: DataFrame, rows: DataFrame, text: Column) -> DataFrame:
+    """(row, found): the numbers of a row's disclosing terms, with their disclosure, of the rows that have any."""
+    held = stage(_held(scanned), "pii-held")
+    hits = _pairs(held).join(disclosing(held, scanned.count(), rows, text), ["a", "b", "t"])
+    return hits.groupBy("row", "i").agg(F.max("disclosure").alias("disclosure")) \
+        .groupBy("row").agg(F.collect_list(F.struct("i", "disclosure")).alias("found"))
 
 
-def found_spans(scanned: DataFrame, rows: DataFrame, text: Column) -> DataFrame:
-    """(row, spans): term spans (start, end, kind, disclosure) of the rows that have any."""
-    near = scanned.filter(F.size("scan.near") > 0).select("row", F.explode("scan.near").alias("x")).select("row", "x.*")
-    hits = near.join(disclosing(scanned, rows, text), ["e", "t"])
-    spans = hits.groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "end", F.lit(TERM).alias("kind"), "disclosure")).alias("terms"))
+def _term_spans() -> Column:
+    """A span for every place of a row's disclosing terms."""
+    found = F.coalesce("found", F.array().cast("array<struct<i:int,disclosure:double>>"))
+    return F.flatten(F.transform(found, lambda x: F.transform(F.col("scan.terms")[x["i"]]["places"], lambda p: F.struct(
+        p["start"].alias("start"), F.lit(TERM).alias("kind"), p["end"].alias("end"), x["disclosure"].alias("disclosure")))))
 
 
 def _all_spans() -> Column:
     """Base and term spans by start, then kind."""
     whole = F.transform("scan.base", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), F.lit(1.0).alias("disclosure")))
-    terms = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,kind:int,disclosure:double>>")),
-                        lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["disclosure"].alias("disclosure")))
-    return F.array_sort(F.concat(whole, terms))
+    return F.array_sort(F.concat(whole, _term_spans()))
 
 
 def _written(spans: Column) -> Column:
@@ -191,30 +218,33 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """One row per document: counts of the four kinds, digest of their spans, all spans."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("body"))
     scanned = stage(rows.select("doc_id", _scan(F.col("body")).alias("scan"), F.monotonically_increasing_id().alias("row")), "pii")
-    terms = found_spans(scanned, rows, F.col("body"))
-    out = scanned.join(terms, "row", "left").withColumn("spans", _all_spans())
+    out = scanned.join(found_terms(scanned, rows, F.col("body")), "row", "left").withColumn("spans", _all_spans())
     count = lambda k: F.size(F.filter("scan.base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return out.select("doc_id", *map(count, range(TERM)), F.sha2(_written(F.col("scan.base")), 256).alias("base_sha256"),
-                      _written(F.col("spans")).alias("spans"), F.size(F.coalesce("terms", F.array())).cast("long").alias("n_term"))
+                      _written(F.col("spans")).alias("spans"), F.size(_term_spans()).cast("long").alias("n_term"))
 
 
-def _masked(text: Column, spans: Column) -> Column:
+def _masked(text: Column) -> Column:
     @arrow_udf("string")
-    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    def run(texts: pa.Array, base: pa.Array, places: pa.Array, found: pa.Array) -> pa.Array:
         out = []
-        for t, found in zip(texts.to_pylist(), spans.to_pylist()):
-            if t is None or not found:
+        for t, whole, places, terms in zip(texts, base, places, found):
+            t = t.as_py()
+            if t is None or not len(whole):
                 out.append(t)
                 continue
+            spans = [(x["start"], x["kind"], x["end"], 1.0) for x in whole.as_py()]
+            for x in terms.as_py() or []:
+                spans += [(p["start"], TERM, p["end"], x["disclosure"]) for p in places[x["i"]].as_py()]
             parts, at = [], 0
-            for x in found:
-                if x["start"] >= at:  # of spans that overlap, the first names the whole
-                    parts += [t[at:x["start"]], "" if x["kind"] == TERM and x["disclosure"] >= REMOVE_FROM else PLACEHOLDERS[x["kind"]]]
-                at = max(at, x["end"])
+            for start, kind, end, disclosure in sorted(spans):
+                if start >= at:  # of spans that overlap, the first names the whole
+                    parts += [t[at:start], "" if kind == TERM and disclosure >= REMOVE_FROM else PLACEHOLDERS[kind]]
+                at = max(at, end)
             out.append("".join(parts) + t[at:])
         return pa.array(out, pa.string())
 
-    return run(text, spans)
+    return run(text, F.col("scan.base"), F.col("scan.terms.places"), F.col("found"))
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -227,6 +257,6 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     scanned = stage(rows.select("doc", _scan(body).alias("scan"), F.monotonically_increasing_id().alias("row")), "pii-docs")
     held = scanned.filter(F.size("scan.base") > 0)
     thin = scanned.select("row", "scan", body.alias("body"))
-    joined = held.join(found_spans(thin, thin.select("body"), F.col("body")), "row", "left")
-    clean = joined.select(F.col("doc").withField(text, _masked(body, _all_spans())).alias("doc"))
+    joined = held.join(found_terms(thin, thin.select("body"), F.col("body")), "row", "left")
+    clean = joined.select(F.col("doc").withField(text, _masked(body)).alias("doc"))
     return unpacked(scanned.filter(F.size("scan.base") == 0).select("doc").unionAll(clean), docs)

@@ -256,6 +256,27 @@ def test_terms_that_disclose_are_found_and_taken_out(spark):
     assert all(clean[100 + i] == texts[100 + i] for i in range(60))
 
 
+def test_a_disclosing_term_goes_wherever_it_stands(spark):
+    far = " ".join(f"between{chr(97 + i)}" for i in range(26))
+    texts = {i: f"Zorblax zq@example.org {far}\nnothing here\nsigned Zorblax and again zorblax, Faraway" for i in range(6)}
+    texts |= {100 + i: f"{far} plain text nothing here signed and again" for i in range(80)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    for i in range(6):
+        spans = [texts[i][int(a):int(b)] for k, a, b in (x.split(":") for x in out[i].spans.split(",")) if k == "term"]
+        assert spans == ["Zorblax", "Zorblax", "zorblax", "Faraway"] and out[i].n_term == 4
+        assert "zorblax" not in clean[i].lower() and "Faraway" not in clean[i] and far in clean[i]
+    assert all(out[100 + i].spans == "" and clean[100 + i] == texts[100 + i] for i in range(80))
+
+
+def test_terms_and_their_places():
+    text = "Zorblax, zorblax@mail.example.com ZORBLAX 1.2.3.4 İstanbul mail"
+    found = pii._terms(text, pii.base_spans(text))
+    assert {t: [text[a:b] for a, b in p] for t, p in found.items()} == {
+        "zorblax": ["Zorblax", "ZORBLAX"], "mail": ["mail"], "example": [], "com": [], "İstanbul".lower(): ["İstanbul"]}
+
+
 # -- 5: SimHash -------------------------------------------------------------------
 
 def plain_fingerprint(text):
