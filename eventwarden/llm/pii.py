@@ -3,10 +3,12 @@
 Mail addresses, IP addresses, card and phone numbers are the protected entities.  A term in a
 document with an entity reveals it as far as it makes the entity likely: with document counts
 over the whole corpus, its disclosure is the pointwise mutual information of entity and term as
-a share of the entity's own information, PMI(e, t) / -log p(e).  It is 1 if the term never occurs
-in a document without the entity.  From GENERALISE_FROM a term is replaced by a placeholder, from
-REMOVE_FROM it is taken out, wherever it stands in the documents that hold the entity.  Pairs
-seen in fewer than MIN_SUPPORT documents are no evidence.
+a share of the entity's own information, PMI(e, t) / -log p(e).  In it p(e | t) is the lower end
+of its Wilson interval, so a pair of any support counts by what it is evidence for: a term that
+never occurs without the entity comes near 1 as its documents become many, and one seen in a
+single document counts as far as the corpus is large.  From GENERALISE_FROM a term is replaced by
+a placeholder, from REMOVE_FROM it is taken out, wherever it stands in the documents that hold
+the entity.
 
 Entities held by the same documents have the same counts with every term, so they are counted
 as one set.
@@ -31,7 +33,8 @@ from eventwarden.llm.common import packed, stage, unpacked
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 TERM = KINDS.index("term")
-MIN_SUPPORT = 3
+#: Width of the interval for p(e | t), in standard deviations.
+WILSON_Z = 1.96
 GENERALISE_FROM = 0.75
 REMOVE_FROM = 0.95
 #: Candidate terms that are sent to all tasks; more are counted by a shuffle of all terms.
@@ -174,18 +177,24 @@ def _pairs(held: DataFrame) -> DataFrame:
     return held.select("row", "words", F.explode("sets").alias("x")).select("row", "x.*", F.posexplode("words").alias("i", "t"))
 
 
+def _disclosure(n: int, n_e: Column, n_t: Column, n_et: Column) -> Column:
+    """The lower bound of PMI(e, t) as a share of -log p(e); null if all documents hold the entity."""
+    p, z = n_et / n_t, WILSON_Z ** 2 / n_t
+    low = (p + z / 2 - F.sqrt(z * (p * (1 - p) + z / 4))) / (1 + z)
+    return F.when(n_e < n, 1 + F.log(low) / F.log(n / n_e))
+
+
 def disclosing(held: DataFrame, total: int, rows: DataFrame, text: Column) -> DataFrame:
     """(a, b, t, disclosure) of the pairs of set and term that reach GENERALISE_FROM.
 
     ``held``: the staged rows with an entity, of ``total``; ``rows`` and ``text``: all documents.
+    Pairs that would not reach it if no other document held the term go without a count of these.
     """
-    pairs = _pairs(held).groupBy("a", "b", "n_e", "t").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= MIN_SUPPORT)
+    share = lambda n_t: _disclosure(total, F.col("n_e"), F.col(n_t), F.col("n_et"))
+    pairs = _pairs(held).groupBy("a", "b", "n_e", "t").agg(F.count(F.lit(1)).alias("n_et")).filter(share("n_et") >= GENERALISE_FROM)
     pairs = stage(pairs, "pii-pairs")
     terms = _term_counts(rows, text, pairs.select("t").distinct())
-    n = F.lit(float(max(total, 1)))
-    pmi = F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    share = F.when(F.col("n_e") < n, pmi / F.log(n / F.col("n_e")))
-    return pairs.join(terms, "t").select("a", "b", "t", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE_FROM)
+    return pairs.join(terms, "t").select("a", "b", "t", share("n_t").alias("disclosure")).filter(F.col("disclosure") >= GENERALISE_FROM)
 
 
 def found_terms(scanned: DataFrame, rows: DataFrame, text: Column) -> DataFrame:

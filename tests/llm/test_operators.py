@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,6 +12,7 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import compare
@@ -270,6 +272,22 @@ def test_a_disclosing_term_goes_wherever_it_stands(spark):
     assert all(out[100 + i].spans == "" and clean[100 + i] == texts[100 + i] for i in range(80))
 
 
+def test_pairs_of_any_support_count(spark):
+    """One document of many is enough for a term of its own; a term that others hold too is none."""
+    texts = {0: "Zorblax writes from zq@example.org", 1: "Quibble writes from one@example.org", 2: "Quibble writes from two@example.org"}
+    texts |= {100 + i: "everybody writes from somewhere" for i in range(1500)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    assert "term:0:7" in out[0] and all("term" not in out[i] for i in texts if i)
+    n, n_e, n_t, n_et = 1503, 1, 1, 1
+    low = n_et / (n_t + pii.WILSON_Z ** 2)  # of the interval when all of a term's documents hold the entity
+    row = spark.range(1).select(pii._disclosure(n, *map(F.lit, (n_e, n_t, n_et))).alias("x"), pii._disclosure(n, F.lit(3), F.lit(6), F.lit(2)).alias("y")).first()
+    assert row.x == pytest.approx(math.log(low * n / n_e) / math.log(n / n_e))
+    z, p = pii.WILSON_Z, 2 / 6
+    low = (p + z * z / 12 - z * math.sqrt(p * (1 - p) / 6 + z * z / 144)) / (1 + z * z / 6)
+    assert row.y == pytest.approx(math.log(low * n / 3) / math.log(n / 3))
+
+
 def test_terms_and_their_places():
     text = "Zorblax, zorblax@mail.example.com ZORBLAX 1.2.3.4 İstanbul mail"
     found = pii._terms(text, pii.base_spans(text))
