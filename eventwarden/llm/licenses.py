@@ -1,7 +1,10 @@
 """License scans by canonical digests, with DataFrame functions only.
 
 A text is brought into canonical form: lower case, copyright lines out, equivalent spellings
-made one, everything but letters and digits as one space.  The form's SHA-256 is joined with
+made one, everything but letters and digits as one space.  A copyright line begins with the word
+and "(c)", the sign or a year after it, or has a year at its end, or begins with the sign or "(c)"
+and a year; "all rights reserved" goes if it is a line of its own.  Other lines that begin with these
+words are licence text that was wrapped there and stay.  The form's SHA-256 is joined with
 the digests of known licences.  Both a document's whole text and each of its lines are looked
 up, so a licence text is found as a document and a notice as a line.
 
@@ -88,9 +91,14 @@ KNOWN = [
 ]
 
 
+#: Lines that name a holder, in lower case.
+_NOTICE = ("(?m)^[ \\t]*(?:copyright[ \\t:]*(?:\\(c\\)|©|[0-9]{4}\\b)[^\\n]*|copyright\\b[^\\n]*\\b(?:19|20)[0-9]{2}[.) \\t\\r]*"
+           "|(?:©|\\(c\\)[ \\t]*(?:copyright\\b|[0-9]{4}\\b))[^\\n]*|all rights reserved[.! \\t\\r]*)$")
+
+
 def canonical(text: Column) -> Column:
     """The form of which digests are made."""
-    body = F.regexp_replace(F.lower(text), "(?m)^\\s*(copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$", " ")
+    body = F.regexp_replace(F.lower(text), _NOTICE, " ")
     body = F.concat(F.lit(" "), F.regexp_replace(body, "[^a-z0-9]+", " "), F.lit(" "))
     for word, same in SPELLINGS:
         body = F.replace(body, F.lit(f" {word} "), F.lit(f" {same} "))

@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -535,6 +536,16 @@ def test_licenses(spark):
                    None: ("CC-BY-NC-4.0", 1, "CC-BY-NC-4.0"), 8: (None, 2, "Apache-2.0,MIT")}
 
 
+def test_licenses_are_found_however_they_are_wrapped(spark):
+    texts = {(k, width): "\n".join(textwrap.wrap(text, width, break_long_words=False)) for k, (_, text) in enumerate(licenses.KNOWN) for width in range(24, 100, 3)}
+    # broken before each place where the text speaks of copyright
+    texts |= {(k, 0): re.sub(r"(?i) (?=copyright|\(c\)|all rights)", "\n  ", text) for k, (_, text) in enumerate(licenses.KNOWN)}
+    heads = ["Copyright (c) 2020 Someone\nAll rights reserved.\n\n", "Copyright 2019-2021 A. B.\n", "  © Someone\n", "(C) 2020 Someone\r\n", "Copyright by Someone, 2020.\n"]
+    rows = [(k, head + text) for (k, width), text in texts.items() for head in ["", *heads[:1 + 4 * (width == 0)]]]
+    out = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "license").distinct().collect()
+    assert {(r.doc_id, r.license) for r in out} == {(k, name) for k, (name, _) in enumerate(licenses.KNOWN)}
+
+
 # -- all --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
