@@ -8,8 +8,9 @@ words are licence text that was wrapped there and stay.  The form's SHA-256 is j
 the digests of known licences.  Both a document's whole text and each of its lines are looked
 up, so a licence text is found as a document and a notice as a line.
 
-The digests come from the texts below, in the same form; their number is that of the list, so
-the table is broadcast.
+The digests come from the texts below and the full texts in ``license_texts``, in the same form;
+their number is that of the list, so the table is broadcast.  A caller can add texts as a table
+of any size, which is joined by digest.
 
 Defined cases: a null text has no digest and no licence; an empty one, or one of copyright lines
 alone, has the digest of the empty form, which no licence has; a null doc_id stays null; repeated
@@ -18,6 +19,8 @@ rows are looked up each by itself; an empty table gives an empty result; other c
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Spellings that licence texts use for the same word.
@@ -105,26 +108,47 @@ def canonical(text: Column) -> Column:
     return F.trim(body)
 
 
-def known_licenses(spark: SparkSession) -> DataFrame:
-    """(digest, license), one row per known text."""
-    rows = spark.createDataFrame(KNOWN, "license string, body string")
-    return rows.select(F.sha2(canonical(F.col("body")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of the full texts, each named by its file, with and without what follows its terms."""
+    out = []
+    for path in sorted(Path(__file__).with_name("license_texts").glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        out += [(path.name.removesuffix(".txt"), t) for t in dict.fromkeys([text, terms + end])]
+    return out
+
+
+def known_licenses(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """(digest, license), one row per known text: those shipped and the rows (license, text) of ``more``."""
+    rows = spark.createDataFrame(KNOWN + full_texts(), "license string, text string")
+    if more is not None:
+        rows = rows.unionByName(more.select(F.col("license").cast("string"), "text").filter("license IS NOT NULL AND text IS NOT NULL"))
+    form = canonical(F.col("text"))
+    return rows.select(form.alias("form"), "license").filter("form <> ''").groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
-def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: DataFrame | None = None) -> DataFrame:
     """One row per document: digest of the whole text, its licence, and the licences of its lines.
 
-    Lines are looked up in the known digests as a literal list, of the list's own length: a
-    join would have to bring the lines of a document together again.
+    ``more``: (license, text) of further known texts.  Without it, lines are looked up in the
+    known digests as a literal list, of the list's own length; with it, they are joined.
     """
     spark = docs.sparkSession
-    known = known_licenses(spark)
+    known = known_licenses(spark, more)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("body"))
-    table = known.collect()  # as many rows as KNOWN at most
-    names = F.create_map(*[F.lit(v) for r in sorted(table) for v in (r.digest, r.license)])
     lines = F.split(F.coalesce("body", F.lit("")), "\n")
-    found = F.filter(F.transform(lines, lambda x: names[F.sha2(canonical(x), 256)]), lambda x: x.isNotNull())
-    whole = rows.select("doc_id", F.sha2(canonical(F.col("body")), 256).alias("digest"), found.alias("lines"))
-    return whole.join(F.broadcast(known), "digest", "left").select(
+    digest = F.sha2(canonical(F.col("body")), 256).alias("digest")
+    if more is None:
+        table = known.collect()  # as many rows as texts are shipped
+        names = F.create_map(*[F.lit(v) for r in sorted(table) for v in (r.digest, r.license)])
+        found = F.filter(F.transform(lines, lambda x: names[F.sha2(canonical(x), 256)]), lambda x: x.isNotNull())
+        whole, known = rows.select("doc_id", digest, found.alias("lines")), F.broadcast(known)
+    else:
+        # what lines hold depends on the text alone, so it comes back by the text's digest
+        key = F.sha2("body", 256).alias("key")
+        notes = rows.select(key, F.posexplode(lines).alias("i", "line")).select("key", "i", F.sha2(canonical(F.col("line")), 256).alias("digest")) \
+            .join(known, "digest").select("key", "i", "license").distinct().groupBy("key").agg(F.collect_list("license").alias("lines"))
+        whole = rows.select("doc_id", digest, key).join(notes, "key", "left").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>")))
+    return whole.join(known, "digest", "left").select(
         "doc_id", "digest", "license", F.size("lines").cast("long").alias("n_notices"),
         F.concat_ws(",", F.array_sort(F.array_distinct("lines"))).alias("notices"))

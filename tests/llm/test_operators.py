@@ -546,6 +546,23 @@ def test_licenses_are_found_however_they_are_wrapped(spark):
     assert {(r.doc_id, r.license) for r in out} == {(k, name) for k, (name, _) in enumerate(licenses.KNOWN)}
 
 
+def test_full_texts_and_a_callers_licenses(spark, docs):
+    full = licenses.full_texts()
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {n for n, _ in full}
+    own = spark.createDataFrame([("House-1", "Use it at home."), ("House-2", "Do\nnot\nuse it."), ("Empty", "Copyright 2020 Nobody"), (None, "no name")], "license string, text string")
+    rows = [(k, "\n".join(x.strip() for x in text.upper().split("\n")) + "\n\n") for k, (_, text) in enumerate(full)]
+    rows += [(100, "head\nuse it at HOME\nReleased under the MIT License.\nUse it at home!"), (100, "do not use it"), (101, "Use it at home."), (102, None), (103, "")]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(k, name) for k, (name, _) in enumerate(full)}
+    assert {(r.doc_id, r.license) for r in licenses.scan_licenses(some).collect() if r.doc_id < 100} == want
+    out = licenses.scan_licenses(some, more=own).collect()
+    assert {(r.doc_id, r.license) for r in out if r.doc_id < 100} == want
+    assert Counter((r.doc_id, r.license, r.n_notices, r.notices) for r in out if r.doc_id >= 100) == Counter(
+        [(100, None, 3, "House-1,MIT"), (100, "House-2", 1, "House-2"), (101, "House-1", 1, "House-1"), (102, None, 0, ""), (103, None, 0, "")])
+    columns = ["doc_id", "digest", "license", "n_notices", "notices"]
+    assert got(licenses.scan_licenses(docs, more=own.limit(0)), *columns) == got(licenses.scan_licenses(docs), *columns)
+
+
 # -- all --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
