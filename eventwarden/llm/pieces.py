@@ -26,20 +26,26 @@ import re
 import zlib
 from array import array
 from collections import defaultdict
+from hashlib import sha256
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from eventwarden.llm.common import chunks
+
 SPACE = "▁"
 BREAK = "\n"
 MAX_UNIT = 1024
 BLOCK_BYTES = 8_000_000
 #: Buckets of units for each block: a task solves at most this share of a block's text at a time.
 BUCKETS_A_BLOCK = 6
+#: Ids that are decoded at a time.
+DECODED_IDS = 200_000
 #: What a character without a piece scores below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 _ENCODED = "doc_id long, n_pieces long, ids array<int>"
@@ -230,8 +236,9 @@ def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarra
     return flat[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))], n
 
 
-def _encode_block(pattern: str, buckets: int):
-    """Documents of a block and its units' ids, by bucket in the units' order."""
+def _encode_block(pattern: str, buckets: int, pieces: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None):
+    """Documents of a block and its units' ids, by bucket in the units' order.  With the bytes of the
+    pieces, the ids are decoded again and the digest of each text goes with them."""
 
     def run(docs: pa.Table, solved: pa.Table) -> pa.Table:
         block = _Block(pattern)
@@ -258,14 +265,23 @@ def _encode_block(pattern: str, buckets: int):
         parts = [_gather(flat, first, size, at if with_space else at + spaced)[0] for with_space, at in texts]
         ends = np.cumsum([0, *map(len, parts)])
         ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(parts) if parts else flat[:0], pa.int32()))
-        return pa.table({"doc_id": docs["doc_id"], "n_pieces": pa.array(np.diff(ends), pa.int64()), "ids": ids.cast(pa.list_(pa.int32()))})
+        del parts, flat, first, size
+        out = {"doc_id": docs["doc_id"], "n_pieces": pa.array(np.diff(ends), pa.int64()), "ids": ids.cast(pa.list_(pa.int32()))}
+        if pieces is not None:
+            digests = [sha256(t.as_buffer()).hexdigest() for texts in _decoded(ids, *pieces) for t in texts]
+            out["decoded_sha256"] = pa.array(digests, pa.string())
+        return pa.table(out)
 
     return run
 
 
 def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_pieces and ids."""
+           block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_pieces and ids.
+
+    ``decoded``: also the SHA-256 of the text that the ids decode to.  It is made where the ids
+    are, as workers of a second function would need an executor's memory beside the first.
+    """
     spark = docs.sparkSession
     model = Model(model_path)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -283,19 +299,46 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
         .groupBy("bucket", "block").agg(F.array_sort(F.collect_list(F.struct("unit", "ids"))).alias("x")) \
         .select("bucket", "block", F.transform("x", lambda u: F.size(u["ids"]).cast("smallint")).alias("sizes"),
                 F.flatten("x.ids").alias("ids"))
-    return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_encode_block(model.pattern, buckets), _ENCODED)
+    return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+        _encode_block(model.pattern, buckets, _piece_bytes(model) if decoded else None), _ENCODED + ", decoded_sha256 string" * decoded)
+
+
+def _piece_bytes(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces, and by id where each begins and its size."""
+    listed = [model.encoded.get(i, b"") for i in range(max(model.encoded) + 1)]
+    size = np.array(list(map(len, listed)))
+    return np.frombuffer(b"".join(listed), np.uint8), np.cumsum(size) - size, size
+
+
+def _decoded(ids: pa.Array, flat: np.ndarray, first: np.ndarray, size: np.ndarray):
+    """The texts of lists of ids, some rows at a time; piece ``i`` is ``size[i]`` bytes of ``flat`` from ``first[i]``."""
+    lists = ids.cast(pa.large_list(pa.int32()))
+    values, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+    for start, end in chunks(ends, DECODED_IDS):
+        some = values[ends[start]:ends[end]]
+        body, n = _gather(flat, first, size, some)
+        if not n.all():
+            raise ValueError("an id that is no piece")
+        at = np.concatenate([[0], np.cumsum(n)])[ends[start:end + 1] - ends[start]]
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), end - start, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(body)])
+        try:
+            texts = texts.cast(pa.large_string())
+        except pa.ArrowInvalid:  # byte pieces that make no characters
+            texts = pa.array([t.decode(errors="replace") for t in texts.to_pylist()], pa.large_string())
+        yield pc.replace_substring_regex(pc.replace_substring(texts, SPACE, " "), r"\A ", "")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """Adds ``text`` to rows with ``ids``; no ids give an empty text, null ids a null.
 
-    The piece table goes with the function, so that rows stay where they are; a join would
+    The pieces' bytes go with the function, so that rows stay where they are; a join would
     shuffle every id to its piece and back.
     """
-    model = Model(model_path)
+    table = _piece_bytes(Model(model_path))
 
     @arrow_udf("string")
     def run(ids: pa.Array) -> pa.Array:
-        return pa.array([None if x.as_py() is None else model.decode(x.as_py()) for x in ids], pa.string())
+        texts = pa.concat_arrays([pa.array([], pa.large_string()), *_decoded(ids, *table)])
+        return pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.large_string())).cast(pa.string())
 
     return encoded.withColumn("text", run("ids"))

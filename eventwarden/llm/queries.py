@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_sentencepiece(spark, sf_dir):
-    return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL, decoded=True)
 
 
 @query

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -107,6 +108,26 @@ def test_encoding_is_the_best_path_and_decodes(spark, docs, rows, model):
     assert got(back, "doc_id", "text") == plain
 
 
+def test_query_decodes_every_document(spark, docs, rows):
+    plain = Counter((r[0], hashlib.sha256((r[1] or "").replace(pieces.SPACE, " ").encode()).hexdigest()) for r in rows)
+    assert got(pieces.encode(docs, MODEL, block_bytes=100_000, decoded=True), "doc_id", "decoded_sha256") == plain
+    out = {r.doc_id: r.decoded_sha256 for r in queries.QUERIES["op1_sentencepiece"](spark, SF).collect()}
+    assert out == {r["doc_id"]: hashlib.sha256(r["text"].replace(pieces.SPACE, " ").encode()).hexdigest() for r in table("documents")}
+
+
+@pytest.mark.parametrize("at_a_time", [1, 500_000])
+def test_decoding_of_any_ids(spark, model, at_a_time, monkeypatch):
+    rng, known = random.Random(8), sorted(model.encoded)
+    lists = [None, [], [model.bytes[0xE2]], [model.bytes[b] for b in "é▁".encode()], [model.pieces["▁"]] * 3, [model.bytes[10], model.pieces["▁"]]]
+    lists += [rng.choices(known, k=rng.randrange(40)) for _ in range(300)]
+    want = [None if x is None else model.decode(x) for x in lists]
+    monkeypatch.setattr(pieces, "DECODED_IDS", at_a_time)
+    found = pieces._decoded(pa.array(lists, pa.list_(pa.int32())), *pieces._piece_bytes(model))
+    assert [t for texts in found for t in texts.to_pylist()] == [x or "" for x in want]
+    some = spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, ids array<int>")
+    assert {r.k: r.text for r in pieces.decode(some, MODEL).collect()} == dict(enumerate(want))
+
+
 def test_paths_are_those_of_the_library_with_the_same_scores(model):
     """The model file with its scores as log-probabilities, read by the library as a unigram model."""
     sentencepiece = pytest.importorskip("sentencepiece")
