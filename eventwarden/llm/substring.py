@@ -8,7 +8,7 @@ runs through a backward search, which gives for every window the suffixes that b
 and so the smallest doc_id that holds it.
 
 Equal runs are sent once per task with their text and are indexed once.  An anchor that more
-than MANY runs share is not brought together: its windows are grouped by a 128-bit digest of
+than MANY runs share, a run counting once for each RUN_WINDOWS begun, is not brought together: its windows are grouped by a 128-bit digest of
 their words instead, with minima that combine before the shuffle.
 
 Defined cases: a null or empty text has no words; a null doc_id counts as larger than any other,
@@ -35,6 +35,8 @@ WINDOW = 50
 GRAM = 8
 #: Runs of one anchor that are brought together; more are compared by digest.
 MANY = 20_000
+#: Windows that count as one run: in a text that repeats a short phrase a run can be as long as the text.
+RUN_WINDOWS = 50
 #: Words of distinct runs in one index.
 SHARD_WORDS = 300_000
 #: Windows of a run that one query of the search covers.
@@ -207,7 +209,7 @@ def _covers(shard_words: int):
             anchors = table["anchor"].to_numpy()
             cut = int(np.searchsorted(anchors != anchors[-1], False)) if anchors[0] == anchors[-1] else int(np.flatnonzero(anchors != anchors[-1])[-1]) + 1
             if anchors[0] == anchors[-1]:
-                cut = 0  # the group may go on; it has MANY runs at most
+                cut = 0  # the group may go on; it has MANY times RUN_WINDOWS windows at most
             if cut:
                 yield shard(table.slice(0, cut))
                 rest = table.slice(cut).combine_chunks()
@@ -258,6 +260,13 @@ def _kept(batches):
                                          ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def shared_anchors(runs: DataFrame, many: int) -> DataFrame:
+    """(anchor, many): the anchors that two documents share, and whether they are too common to be brought together."""
+    size = F.ceil((F.col("last") - F.col("first") + 1) / RUN_WINDOWS)
+    return runs.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.sum(size).alias("n")) \
+        .filter("low < high").select("anchor", (F.col("n") > many).alias("many"))
+
+
 def repeated_ranges(docs: DataFrame, many: int = MANY, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(doc, key, start, stop): word ranges of ``docs`` (doc, key, text) that a smaller ``doc`` holds.
 
@@ -265,9 +274,7 @@ def repeated_ranges(docs: DataFrame, many: int = MANY, shard_words: int = SHARD_
     """
     spark = docs.sparkSession
     runs = docs.select("doc", "key", "text").mapInArrow(_runs, "anchor long, doc long, key long, first int, last int")
-    shared = runs.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n")) \
-        .filter("low < high").select("anchor", (F.col("n") > many).alias("many"))
-    shared = stage(shared, "anchors")
+    shared = stage(shared_anchors(runs, many), "anchors")
     common = bool(shared.filter("many").limit(1).count())
     marks = runs.join(shared, "anchor").groupBy("doc", "key").agg(F.collect_set(F.struct("anchor", "first", "last", "many")).alias("marks"))
     sent = docs.join(marks, ["doc", "key"]).select("doc", "key", "text", "marks").mapInArrow(_sent_runs, _SENT)

@@ -514,6 +514,18 @@ def test_repeats(spark, rows, many, shard):
     assert got(out, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_repeats(own)
 
 
+def test_long_runs_of_a_shared_anchor_are_compared_by_digest(spark):
+    phrase = " ".join(f"p{i}" for i in range(20))
+    texts = [(k, " ".join([f"own{k}", *[phrase] * 60, f"end{k}"])) for k in range(4)] + [(9, "short " * 60), (10, "short " * 55)]
+    runs = spark.createDataFrame([(1, 1, 0, 999), (1, 2, 0, 999), (2, 1, 0, 9), (2, 2, 0, 9), (3, 1, 0, 5000)], "anchor long, doc long, first int, last int")
+    assert {r.anchor: r.many for r in substring.shared_anchors(runs, 20).collect()} == {1: True, 2: False}
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    whole = got(substring.remove_repeats(docs), *columns)
+    assert got(substring.remove_repeats(docs, many=60), *columns) == whole
+    assert {r[0]: r[2] for r in whole} == {0: 0, 1: 1200, 2: 1200, 3: 1200, 9: 0, 10: 55}
+
+
 def test_runs_follow_their_words():
     """Word hashes differ by word and not by place; each window is in one run, with one anchor per content."""
     import pyarrow as pa
