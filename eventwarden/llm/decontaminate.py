@@ -144,13 +144,14 @@ def search_benchmark(rows: DataFrame, text: Column, benchmark: DataFrame, block_
     ``text`` is an expression over ``rows``.  With one block the documents are read twice, to
     count and to search; each further block adds as much, over a written table.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("body")).filter("body IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("body")).filter("body IS NOT NULL").distinct()
     size = items.select(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-size // (6 * block_words)))
     found = F.lit(None).cast(FOUND)
     current = rows.withColumn("found", found)
     for i in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("body"), F.lit(blocks)) == i).collect() if blocks > 1 else items.collect()
+        # by id and text, so that items with one text are dealt to all blocks
+        own = items.filter(F.pmod(F.xxhash64("item_id", "body"), F.lit(blocks)) == i).collect() if blocks > 1 else items.collect()
         block = Block(own)
         prefixes = block.prefixes(_rarity(rows, text, block)) if block.owners else {}
         run = _search(rows.sparkSession, block, prefixes)

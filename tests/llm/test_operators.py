@@ -480,6 +480,18 @@ def test_contamination(spark, docs, rows, block_words, monkeypatch):
     assert nothing.filter("contaminated OR n_items > 0").count() == 0 and nothing.count() == len(rows)
 
 
+def test_items_with_one_text_are_dealt_to_all_blocks(spark, monkeypatch):
+    body = " ".join(f"same{i}" for i in range(15))
+    items = [(f"copy{k}", body) for k in range(300)] + [(None, body)] * 200 + [(f"own{k}", " ".join(f"own{k}x{i}" for i in range(15))) for k in range(100)]
+    sizes, block = [], decontaminate.Block
+    monkeypatch.setattr(decontaminate, "Block", lambda rows: (sizes.append(sum(len(r[1]) for r in rows)), block(rows))[1])
+    monkeypatch.setattr(decontaminate.search_benchmark, "__defaults__", (1200,))
+    own = [(1, "head " + body + " tail"), (2, items[-1][1]), (3, "nothing of it")]
+    out = decontaminate.contamination(spark.createDataFrame(own, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert got(out, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == plain_contamination(own, items)
+    assert len(sizes) > 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 # -- 9: repeated passages ---------------------------------------------------------
 
 def plain_repeats(docs):
