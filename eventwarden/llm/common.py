@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -29,7 +30,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system, as readers outside Spark need it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return re.sub("^file:/+", "file:///", system.makeQualified(place).toString())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete what :func:`stage` wrote for ``table``, which nothing may read afterwards."""
+    remove(table.sparkSession, table.staged_path)
 
 
 def packed(docs: DataFrame, name: str = "doc") -> DataFrame:

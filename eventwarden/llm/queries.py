@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventwarden.llm import (
-    decontaminate, language, licenses, pieces, pii, quality_classifier, quality_rules, simhash, substring, token_counts,
+    decontaminate, hard_negatives, language, lexical_search, licenses, packed_ids, pieces, pii, quality_classifier, quality_rules,
+    simhash, substring, token_counts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,8 @@ ORACLES: dict[str, str] = {}
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
 
 
 def query(fn: Query) -> Query:
@@ -80,6 +83,22 @@ def op10_licenses(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_packed_ids(spark, sf_dir):
+    return packed_ids.packed_digests(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, END_ID)
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # Words of lower-cased texts, each ten-word window of an item (or a shorter item whole), and
 # the document words inside any place where one of them occurs.
 ORACLES["op8_decontamination"] = r"""
@@ -154,3 +173,52 @@ notes AS (
 SELECT doc_id, docs.digest, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
 FROM docs LEFT JOIN known USING (digest) LEFT JOIN notes USING (r)
 """
+
+# Whole components, the five best of the same label, and the five best of other labels in each window.
+ORACLES["op12_hard_negatives"] = """
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+best AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place
+  FROM pairs WHERE same),
+found AS (
+  SELECT best.anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY best.anchor_id, positive_id ORDER BY score DESC, other) AS place
+  FROM best JOIN pairs ON pairs.anchor_id = best.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+  WHERE best.place <= 5)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM found WHERE place <= 5
+"""
+
+# Terms of all documents, their counts, and every document's score for each item.
+ORACLES["op13_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS r, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+asked AS (
+  SELECT i, item_id, t, count(*) AS times FROM (
+    SELECT item_id, row_number() OVER () AS i, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+sizes AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM words GROUP BY r),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+held AS (SELECT r, t, count(*) AS tf FROM words SEMI JOIN asked USING (t) GROUP BY r, t),
+rare AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, whole GROUP BY t, n_docs),
+scores AS (
+  SELECT i, item_id, r, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + ((25 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+  FROM asked JOIN held USING (t) JOIN rare USING (t) JOIN sizes USING (r), whole GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
