@@ -11,13 +11,13 @@ and unpacked as one numpy expression.  A file holds
 all little-endian.  ``first`` is a document's place in its file; the manifest, a Parquet table with a
 row per file, has the place of the file in the whole (``first_id``).
 
-Steps: texts are encoded where they are read, the ids staged, dealt out by range of (doc_id, digest of the
-ids), and written by one streaming pass over each sorted range.  A file is closed at ``FILE_IDS`` ids, so
-memory does not follow a range's size.  Files have names of their own for each attempt of a task, and only
-those of the attempt that Spark commits are in the manifest: a lost executor leaves at most an unnamed file.
+Texts are dealt out by range of (doc_id, digest of the text), and each sorted range is encoded and written in one
+streaming pass.  A file is closed at ``FILE_IDS`` ids, so memory does not follow a range's size.  Files have names
+of their own for each attempt of a task, and only those of the attempt that Spark commits are in the manifest: a
+lost executor leaves at most a file that nothing names.
 
 Defined cases: a null or empty text has the end id alone; a null doc_id comes first; rows of one doc_id stand
-in the order of their ids' digest, and rows alike in both are interchangeable; an empty table gives an empty
+in the order of their text's digest, and rows alike in both are interchangeable; an empty table gives an empty
 manifest and no file; other columns are not read, whatever their names.
 """
 
@@ -34,8 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventwarden.llm.common import discard, partitions, qualified, shared_folder, stage
 
@@ -187,6 +186,7 @@ class Encoder:
         self.heads: dict[bytes, bytes] = {}  # ids of texts' first units
         self.known: dict[bytes, bytes] = {}  # ids of units without the space before them
         self.held = 0
+        self.marks = {m: np.array(self.library.encode(m.decode(), add_special_tokens=False).ids, "<u4").tobytes() for m in (b".", b",")}
         words = self.library.get_vocab(with_added_tokens=True)
         self.sizes = np.zeros(max(words.values()) + 1, np.int64)  # bytes of each token, which has a letter per byte
         self.sizes[list(words.values())] = list(map(len, words))
@@ -216,23 +216,33 @@ class Encoder:
             return self._whole(texts)
         if self.held > MEMORY:
             self.heads, self.known, self.held = {}, {}, 0
-        out, cut, heads, new = [b""] * len(texts), [], set(), set()
+        out, cut, heads, new, get = [b""] * len(texts), [], set(), set(), self.known.get
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self._whole([text])[0]
             elif text:
                 head, *units = BREAK.split(text) if UNSURE.search(text) else text.split(b" ")
-                cut.append((i, head, units))
                 heads.add(head)
-                new.update(units)
-        heads, new = list(heads - self.heads.keys()), list(new - self.known.keys())
+                found = list(map(get, units))
+                if None in found:
+                    new.update([u for u, ids in zip(units, found) if ids is None])
+                    cut.append((i, head, units, None))
+                else:
+                    cut.append((i, head, units, b"".join(found)))
+        heads = list(heads - self.heads.keys())
         self._learn(self.heads, heads, self._whole(heads))
-        self._learn(self.known, new, self._spaced(new))
-        get = self.known.__getitem__
-        for i, head, units in cut:
-            out[i] = self.heads[head] + b"".join(map(get, units))
+        self._learn_spaced(new)
+        for i, head, units, body in cut:
+            out[i] = self.heads[head] + (b"".join(map(get, units)) if body is None else body)
         return out
 
+    def _learn_spaced(self, new: set[bytes]) -> None:
+        """Units that end in a letter and a mark share their word's ids: no token holds both."""
+        marked = {u: u[:-1] for u in new if u[-1:] in self.marks and u[-2:-1].isalpha()}
+        plain = list((new - marked.keys() | set(marked.values())) - self.known.keys())
+        self._learn(self.known, plain, self._spaced(plain))
+        self._learn(self.known, list(marked), [self.known[word] + self.marks[u[-1:]] for u, word in marked.items()])
+
     def _learn(self, known: dict[bytes, bytes], units: list[bytes], found: list[bytes]) -> None:
         known.update(zip(units, found))
         self.held += sum(map(len, units)) + sum(map(len, found)) + 160 * len(units)
@@ -259,66 +269,40 @@ def _runs(sizes: list[int], most: int):
         yield start, len(sizes)
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``tie`` (digest of the ids), ``n`` and ``body`` (ids in whole bytes, the end id last)."""
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType),
-                           *T._parse_datatype_string("tie bigint, n bigint, body binary").fields])
-
-    def run(batches):
-        model = encoder(tokenizer)
-        wide = "<u2" if bits_for(max(model.vocabulary, end_id + 1)) <= 16 else "<u4"
-        end = np.array([end_id], wide).tobytes()
-        for batch in batches:
-            column = batch.column("text")
-            sizes = pc.fill_null(pc.binary_length(column), 0)
-            for a, b in _runs(sizes.to_pylist(), AT_ONCE):
-                texts = [t or b"" for t in column.slice(a, b - a).to_pylist()]
-                bodies = [np.frombuffer(x, "<u4").astype(wide).tobytes() + end for x in model.encode(texts)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(a, b - a),
-                    pa.array(np.array([xxhash.xxh64_intdigest(x) for x in bodies], np.uint64).view(np.int64)),
-                    pa.array([len(x) // int(wide[-1]) for x in bodies], pa.int64()),
-                    pa.array(bodies, pa.binary())], ["doc_id", "tie", "n", "body"])
-
-    return rows.mapInArrow(run, schema)
-
-
 # -- the whole ------------------------------------------------------------------------
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
               file_ids: int = FILE_IDS) -> DataFrame:
     """Write all documents' ids under ``path`` in ascending order of ``doc_id``; returns the manifest."""
     spark = docs.sparkSession
-    rows = stage(encoded(docs, tokenizer, end_id, doc_id, text), "ids")
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    parts = max(partitions(spark), -(-total // file_ids))
     folder, bits = qualified(spark, path), bits_for(max(encoder(tokenizer).vocabulary, end_id + 1))
-    wide = "<u2" if bits <= 16 else "<u4"
+    manifest_type = pa.schema([("part", pa.int32()), ("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()),
+                               ("n_ids", pa.int64()), ("bits", pa.int32())])
 
     def write(batches):
         from pyspark import TaskContext
 
-        part, number, out, id_type = TaskContext.get().partitionId(), 0, None, None
+        part, number, out, model = TaskContext.get().partitionId(), 0, None, encoder(tokenizer)
+        end = np.array([end_id], "<u4").tobytes()
         done = lambda: pa.RecordBatch.from_pylist([{"part": part, "file_no": number, **out.close()}], manifest_type)
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            sizes = batch.column("n").to_numpy()
-            for a, b in _runs((sizes * int(wide[-1])).tolist(), AT_ONCE):
+            doc_ids, column = batch.column("doc_id"), batch.column("text")
+            for a, b in _runs(pc.fill_null(pc.binary_length(column), 0).to_pylist(), AT_ONCE):
                 if out is None:
-                    out = FileWriter(f"{folder}/ids/{part:06d}-{number:04d}-{uuid.uuid4().hex}.ids", bits, id_type)
-                body = b"".join(batch.column("body").slice(a, b - a).to_pylist())
-                out.add(batch.column("doc_id").slice(a, b - a), sizes[a:b], np.frombuffer(body, wide))
+                    out = FileWriter(f"{folder}/ids/{part:06d}-{number:04d}-{uuid.uuid4().hex}.ids", bits, doc_ids.type)
+                bodies = model.encode([t or b"" for t in column.slice(a, b - a).to_pylist()])
+                sizes = np.array([len(x) // 4 + 1 for x in bodies], np.int64)
+                out.add(doc_ids.slice(a, b - a), sizes, np.frombuffer(end.join([*bodies, b""]), "<u4"))
                 if out.n_ids >= file_ids:
                     yield done()
                     out, number = None, number + 1
         if out is not None:
             yield done()
 
-    manifest_type = pa.schema([("part", pa.int32()), ("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()),
-                               ("n_ids", pa.int64()), ("bits", pa.int32())])
-    dealt = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    files = stage(dealt.mapInArrow(write, MANIFEST), "id-files")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    dealt = rows.repartitionByRange(partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    files = stage(dealt.select("doc_id", "text").mapInArrow(write, MANIFEST), "id-files")
     # a number per task that wrote: no more than the scheduler itself keeps of a stage
     sums = sorted((r.part, r.n) for r in files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     before = np.cumsum([0, *[n for _, n in sums]]).tolist()
@@ -327,7 +311,6 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int, doc_id: s
     manifest = files.withColumn("first_id", F.coalesce(earlier, F.lit(0))).join(bases, "part").select(
         "part", "file_no", "path", "n_docs", "n_ids", "bits", (F.col("first_id") + F.col("base")).alias("first_id"))
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
-    discard(rows)
     discard(files)
     return spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
 

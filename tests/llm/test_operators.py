@@ -632,7 +632,7 @@ def test_odd_rows_and_empty_tables(spark, docs, rows, none):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES][1] == "simhash near-dedup"
 
 
