@@ -9,8 +9,6 @@ from eventwarden.functions import columns as X
 from eventwarden.operators import running as R
 from eventwarden.operators.drift import drift_action
 
-RUN_CHUNK = 50_000
-
 REPORT_DEFAULTS = {
     "total_records": 0, "late_records": 0, "dq_failures": 0, "dq_unknown": 0,
     "schema_drift_count": 0, "schema_drift_detected": False, "processing_errors": 0,
@@ -37,14 +35,14 @@ def decision_context(reports: DataFrame, quality: DataFrame, incidents: DataFram
         for name, value in {**REPORT_DEFAULTS, **QUALITY_DEFAULTS}.items()
     })
     return R.trailing_count(
-        filled, "end_time", incidents, "created_at", lookback_days * 86400,
+        filled, "run_id", "end_time", incidents, "created_at", lookback_days * 86400,
         {"recent_incidents": F.lit(1),
          "recent_escalated": F.when(F.col("escalated"), 1).otherwise(0)})
 
 
-def _action(tool: str, message: Column | str) -> Column:
-    text = F.lit(message) if isinstance(message, str) else message
-    return F.struct(F.lit(tool).alias("tool"), F.lit(True).alias("success"), text.alias("message"))
+def _action(tool: str, message: str) -> Column:
+    """Advice: whether it was carried out is known to the ledger (``operators.effects``) alone."""
+    return F.struct(F.lit(tool).alias("tool"), F.lit("advised").alias("status"), F.lit(message).alias("message"))
 
 
 def rule_decisions(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy()) -> DataFrame:
@@ -66,8 +64,8 @@ def rule_decisions(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy(
             .withColumns({
                 "decision": F.lit("Rule-based analysis"),
                 "actions_taken": F.array_compact(F.array(
-                    F.when(remap, _action("apply_schema_remap", "Schema remap applied successfully")),
-                    _action("notify_ops", "Notification sent successfully"))),
+                    F.when(remap, _action("apply_schema_remap", "Schema remap advised")),
+                    _action("notify_ops", "Notification advised"))),
                 "confidence": F.lit(policy.rule_confidence),
                 "escalation_required": (late > policy.late_rate) | (dq > policy.dq_rate),
                 "decided_at": F.col("end_time"),
@@ -91,7 +89,7 @@ def decision_log(decisions: DataFrame) -> DataFrame:
 
 
 def action_audit(decisions: DataFrame, key: list[str]) -> DataFrame:
-    """One row per action taken, in order."""
+    """One row per action advised, in order."""
     return (decisions.select(*key, "decided_at", F.posexplode("actions_taken").alias("action_no", "a"))
             .select(*key, "decided_at", "action_no", "a.*"))
 
@@ -131,8 +129,8 @@ def decision_matrix(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy
     return runs.select("run_id", F.explode(matched).alias("m")).select("run_id", "m.*")
 
 
-def run_outcomes(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy()) -> DataFrame:
-    """(run, failure type, failed): null where the run had no data to judge."""
+def run_outcomes(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy(), keep: list[str] | None = None) -> DataFrame:
+    """(run, failure type, failed): null where the run had no data to judge; ``keep`` are columns to go along."""
     late, dq = X.rate("late_records", "total_records"), X.rate("dq_failures", "total_records")
     verdicts = {
         "late_arrivals": late > policy.late_rate,
@@ -144,29 +142,29 @@ def run_outcomes(runs: DataFrame, policy: P.DecisionPolicy = P.DecisionPolicy())
         F.struct(F.lit(t).alias("failure_type"),
                  F.when(F.col("total_records") > 0, v).alias("failed")) for t, v in verdicts.items()
     ])
-    return runs.select("run_id", F.explode(pairs).alias("v")).select("run_id", "v.*")
+    kept = ["run_id", *(keep or [])]
+    return runs.select(*kept, F.explode(pairs).alias("v")).select(*kept, "v.*")
 
 
-def failure_streaks(outcomes: DataFrame, keys: list[str], order: str = "run_id",
-                    policy: P.DecisionPolicy = P.DecisionPolicy(),
-                    chunk: int = RUN_CHUNK) -> DataFrame:
+def failure_streaks(outcomes: DataFrame, keys: list[str], order: str | list[str] = "run_id",
+                    policy: P.DecisionPolicy = P.DecisionPolicy(), ranges: int | None = None) -> DataFrame:
     """Length of the current run of failures at every run, per failure type.
 
-    Runs without data neither extend nor break a streak.
+    Runs without data neither extend nor break a streak.  ``order`` tells the order of runs; ids that say
+    nothing about it, such as hashes, go with a time before them.
     """
-    counted = R.count_since(outcomes, keys, order, F.expr(f"{order} DIV {chunk}"), "streak",
-                            hit=F.col("failed"), reset=~F.col("failed"))
+    counted = R.count_since(outcomes, keys, order, "streak", hit=F.col("failed"), reset=~F.col("failed"), ranges=ranges)
     return counted.withColumn(
         "escalate", F.coalesce("failed", F.lit(False)) & (F.col("streak") >= policy.streak))
 
 
-def last_runs(runs: DataFrame, keys: list[str] | None = None, order: str = "run_id",
-              size: int = P.DECISION_WINDOW_RUNS, chunk: int = RUN_CHUNK) -> DataFrame:
+def last_runs(runs: DataFrame, keys: list[str] | None = None, order: str | list[str] = "run_id",
+              size: int = P.DECISION_WINDOW_RUNS, ranges: int | None = None) -> DataFrame:
     """Each run with its totals over the last ``size`` runs."""
     return R.trailing_rows(
-        runs, keys or [], order, F.expr(f"{order} DIV {chunk}"), size,
+        runs, keys or [], order, size,
         {"window_runs": ("count", F.lit(1)),
          "window_records": ("sum", F.col("total_records")),
          "window_late": ("sum", F.col("late_records")),
          "window_dq_failures": ("sum", F.col("dq_failures")),
-         "window_max_dq_failures": ("max", F.col("dq_failures"))})
+         "window_max_dq_failures": ("max", F.col("dq_failures"))}, ranges=ranges)

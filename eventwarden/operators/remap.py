@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def merge_remap(history: DataFrame) -> DataFrame:
@@ -41,6 +41,19 @@ def remap_config(history: DataFrame) -> DataFrame:
     )
 
 
+def decode_remapped(df: DataFrame, raw: str, contract: T.StructType, mapping: dict[str, Any]) -> DataFrame:
+    """Decode JSON text under a contract widened by a mapping, then apply the mapping.
+
+    Old names and added fields are read from the payload beside the contract's own, so what earlier decoding
+    dropped as unknown comes back.  The other columns of ``df`` stay.
+    """
+    added = [n for n in mapping if n not in contract.fieldNames()]
+    wide = [T.StructField(f.name, f.dataType) for f in contract] + [T.StructField(n, T.StringType()) for n in added]
+    others = [c for c in df.columns if c != raw]
+    decoded = df.select(*others, F.from_json(raw, T.StructType(wide)).alias("_d")).select(*others, "_d.*")
+    return apply_remap(decoded, mapping)
+
+
 def apply_remap(df: DataFrame, mapping: dict[str, Any]) -> DataFrame:
     """Apply a mapping to a frame, in one projection.
 

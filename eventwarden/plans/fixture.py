@@ -61,6 +61,23 @@ def customer_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                          table(spark, sf_dir, "customer"))
 
 
+def delivered_files(spark: SparkSession, sf_dir: str, folder: str, parts: int = 5) -> DataFrame:
+    """A stream of deliveries, two files to a micro-batch, at least ``parts`` micro-batches.
+
+    Events arrive out of order, every event twice and event 0 in a third of all rows.
+    """
+    once = customer_events(spark, sf_dir)
+    n = once.count()
+    slot = lambda salt: F.pmod(F.xxhash64("event_id", F.lit(salt)), F.lit(parts))
+    twice = once.withColumn("slot", F.explode(F.array(slot(0), slot(1))))
+    hot = (once.filter("event_id = 0").withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))))
+           .withColumn("slot", F.pmod("slot", F.lit(parts)).cast("bigint")))
+    for part in range(parts):
+        (twice.unionByName(hot).filter(F.col("slot") == part).drop("slot")
+         .repartition(2).write.mode("append").parquet(folder))
+    return spark.readStream.schema(once.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+
+
 def clock():
     """The fixture's processing clock."""
     return F.timestamp_millis("processing_ts")

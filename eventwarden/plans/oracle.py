@@ -381,11 +381,11 @@ FROM res WHERE judged
 """, _COPIES, _RESULTS)
 _DIMENSIONS = """
 dm AS (
-  SELECT run_id, CASE WHEN position IN (1, 4, 13) THEN 'completeness' WHEN position IN (5, 6, 8) THEN 'validity'
-      WHEN position = 10 THEN 'consistency' WHEN position = 11 THEN 'timeliness' ELSE 'uniqueness' END AS dimension,
-    CAST(sum(unexpected_count) AS BIGINT) AS failures, CAST(sum(element_count) AS BIGINT) AS total,
+  SELECT run_id, dimension, CAST(sum(unexpected_count) AS BIGINT) AS failures, CAST(sum(element_count) AS BIGINT) AS total,
     1 - sum(unexpected_count) / sum(element_count) AS score
-  FROM res WHERE position IN (1, 2, 4, 5, 6, 8, 10, 11, 13) GROUP BY ALL),
+  FROM res JOIN (VALUES ('completeness', 1), ('completeness', 4), ('completeness', 13), ('validity', 5), ('validity', 6),
+    ('validity', 8), ('validity', 11), ('consistency', 10), ('timeliness', 11), ('uniqueness', 2)) d(dimension, position)
+    USING (position) GROUP BY run_id, dimension),
 ov AS (
   SELECT run_id, avg(score) AS overall_score, CAST(sum(failures) AS BIGINT) AS failures,
     CAST(sum(total) AS BIGINT) AS total, sum(failures) / sum(total) AS overall_failure_rate
@@ -586,11 +586,11 @@ SELECT run_id, strftime(end_time, '%Y-%m-%d %H:%M:%S.%g') AS timestamp, 'Rule-ba
 """, _REPORT, _REASONS)
 _add("action_audit", """
 SELECT run_id, strftime(end_time, '%Y-%m-%d %H:%M:%S.%g') AS decided_at, 0 AS action_no,
-  'apply_schema_remap' AS tool, true AS success, 'Schema remap applied successfully' AS message
+  'apply_schema_remap' AS tool, 'advised' AS status, 'Schema remap advised' AS message
 FROM rd WHERE schema_drift_detected
 UNION ALL
 SELECT run_id, strftime(end_time, '%Y-%m-%d %H:%M:%S.%g'), CASE WHEN schema_drift_detected THEN 1 ELSE 0 END,
-  'notify_ops', true, 'Notification sent successfully' FROM rd
+  'notify_ops', 'advised', 'Notification advised' FROM rd
 """, _REPORT, _REASONS)
 _STREAKS = """
 oc AS (
@@ -614,7 +614,12 @@ SELECT run_id, count(*) OVER w AS window_runs, CAST(sum(total_records) OVER w AS
   max(dq_failures) OVER w AS window_max_dq_failures
 FROM rr WINDOW w AS (ORDER BY run_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
 """, _REPORT)
-_add("decision_matrix", """
+_MATRIX = """
+mx AS (
+  SELECT ra.*, drift_class, max_share, coalesce(streak, 0) AS streak FROM ra LEFT JOIN dc USING (run_id)
+  LEFT JOIN (SELECT run_id, max(failure_share) AS max_share FROM ss GROUP BY run_id) USING (run_id)
+  LEFT JOIN (SELECT run_id, max(streak) FILTER (WHERE failed) AS streak FROM sk GROUP BY run_id) USING (run_id)),
+mt AS (
 SELECT run_id, 1 AS priority, 'critical_share' AS condition, 'escalate_incident' AS action, true AS escalate
   FROM mx WHERE dq_failure_rate > 0.1
 UNION ALL SELECT run_id, 2, 'repeated_failures', 'escalate_incident', true FROM mx WHERE streak >= 3
@@ -628,13 +633,9 @@ UNION ALL SELECT run_id, 8, 'processing_errors', 'retrigger_task', false FROM mx
 UNION ALL SELECT run_id, 9, 'tolerable_late', 'retrigger_task', false FROM mx
   WHERE late_records > 0 AND late_rate < 0.15
 UNION ALL SELECT run_id, 10, 'tolerable_dq', 'log_and_continue', false FROM mx
-  WHERE dq_failures > 0 AND dq_failure_rate < 0.05
-""", _REPORT, _STREAKS, _SHARES, *_RAW, _DRIFT, """
-mx AS (
-  SELECT ra.*, drift_class, max_share, coalesce(streak, 0) AS streak FROM ra LEFT JOIN dc USING (run_id)
-  LEFT JOIN (SELECT run_id, max(failure_share) AS max_share FROM ss GROUP BY run_id) USING (run_id)
-  LEFT JOIN (SELECT run_id, max(streak) FILTER (WHERE failed) AS streak FROM sk GROUP BY run_id) USING (run_id))
-""")
+  WHERE dq_failures > 0 AND dq_failure_rate < 0.05)
+"""
+_add("decision_matrix", "SELECT * FROM mt", _REPORT, _STREAKS, _SHARES, *_RAW, _DRIFT, _MATRIX)
 
 # -- alerts -----------------------------------------------------------------------------------------
 
@@ -665,15 +666,85 @@ SELECT a.*, channel FROM (
   (VALUES ('slack'), ('email')) c(channel)
 """, _REPORT, _REASONS, *_RAW, _DRIFT)
 
-_add("remediation_tables", """
-SELECT 'run_reports' AS table_name, count(*) AS rows FROM rr
-UNION ALL SELECT 'dq_results', count(*) FROM res
-UNION ALL SELECT 'decisions', count(*) FROM rr
-UNION ALL SELECT 'decision_log', count(*) FROM rr
-UNION ALL SELECT 'action_audit', count(*) + count(*) FILTER (WHERE schema_drift_detected) FROM rr
-UNION ALL SELECT 'incident_events', count(*) + count(*) FILTER (WHERE escalated) FROM inc
-UNION ALL SELECT 'alerts', 2 * ((SELECT 2 * count(*) FROM rr) + (SELECT count(*) FROM dc WHERE drift_class <> 'none'))
-""", *_INC, _COPIES, _RESULTS, *_RAW, _DRIFT)
+
+
+def _digest(name: str, columns: list[str], source: str) -> str:
+    """Rows and the sum of their hashes, over the text of the columns' values."""
+    text = ", '|', ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return (f"SELECT '{name}' AS table_name, count(*) AS rows, "
+            f"CAST(sum(CAST(concat('0x', substr(md5(concat({text})), 1, 8)) AS BIGINT)) AS BIGINT) AS digest FROM ({source})")
+
+
+_AUDIT = """
+SELECT run_id, 0 AS action_no, 'apply_schema_remap' AS tool, 'advised' AS status, 'Schema remap advised' AS message
+FROM rd WHERE schema_drift_detected
+UNION ALL SELECT run_id, CASE WHEN schema_drift_detected THEN 1 ELSE 0 END, 'notify_ops', 'advised', 'Notification advised' FROM rd
+"""
+# The chain escalates at once and resolves nothing.
+_EVENTS = """
+SELECT id, incident_type, summary, severity, 'open' AS status, 0 AS change_seq FROM opened
+UNION ALL SELECT id, NULL, NULL, NULL, NULL, 1 FROM opened WHERE severity IN ('high', 'critical')
+"""
+_CONTEXT = """
+SELECT rd.*, (SELECT count(*) FROM opened i WHERE i.created_at BETWEEN rd.end_time - INTERVAL 7 DAY AND rd.end_time) AS recent_incidents,
+  (SELECT count(*) FROM opened i WHERE i.severity IN ('high', 'critical')
+     AND i.created_at BETWEEN rd.end_time - INTERVAL 7 DAY AND rd.end_time) AS recent_escalated FROM rd
+"""
+_ALERTS = ORACLES["alert_outbox"][ORACLES["alert_outbox"].index("SELECT a.*, channel FROM ("):].replace("SELECT a.*, channel", "SELECT *", 1)
+_add("remediation_tables", "\nUNION ALL ".join([
+    _digest("run_reports", ["run_id", "total_records", "late_records", "dq_failures", "dq_unknown", "processing_errors"], "SELECT * FROM rr"),
+    _digest("dq_results", ["run_id", "position", "column_name", "success", "element_count", "missing_count", "unexpected_count"],
+            "SELECT * REPLACE (CASE WHEN judged THEN element_count END AS element_count, "
+            "CASE WHEN judged THEN missing_count END AS missing_count, "
+            "CASE WHEN judged THEN unexpected_count END AS unexpected_count) FROM res"),
+    _digest("decisions", ["run_id", "reasoning", "escalation_required", "recent_incidents", "recent_escalated"], _CONTEXT),
+    _digest("decision_log", ["run_id", "reasoning", "escalation_required", "actions_count"],
+            "SELECT *, CASE WHEN schema_drift_detected THEN 2 ELSE 1 END AS actions_count FROM rd"),
+    _digest("action_audit", ["run_id", "action_no", "tool", "status", "message"], _AUDIT),
+    _digest("incident_events", ["id", "incident_type", "summary", "severity", "status", "change_seq"], _EVENTS),
+    _digest("alerts", ["run_id", "alert_type", "title", "message", "severity", "channel"],
+            f"SELECT * FROM ({_ALERTS}) WHERE alert_type <> 'pipeline_failure'"),
+]), *_INC, _REASONS, _COPIES, _RESULTS, *_RAW, _DRIFT)
+
+# Whole runs of breaking drift and the worst segment's failures of localised ones are held; additive runs add their new fields.
+_EFFECTS = """
+sg AS (
+  SELECT run_id, country, plan FROM (
+    SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY failure_share DESC, country NULLS FIRST, plan NULLS FIRST) AS r FROM ss)
+  WHERE r = 1),
+fd AS (
+  SELECT m.run_id, md5(concat_ws('|', m.run_id, condition, action)) AS call_id, field,
+    CASE observed WHEN 'string' THEN 'string' WHEN 'integer' THEN 'bigint' WHEN 'number' THEN 'double' WHEN 'boolean' THEN 'boolean' END AS spec,
+    end_time FROM mt m JOIN cmp USING (run_id) JOIN rr USING (run_id) WHERE action = 'remap' AND status = 'new'),
+hd AS (
+  SELECT fl.run_id, event_id, first(condition ORDER BY priority) AS reason, first(action ORDER BY priority) AS action
+  FROM fl JOIN mt ON mt.run_id = fl.run_id LEFT JOIN sg ON sg.run_id = fl.run_id
+  WHERE action = 'quarantine_and_escalate' OR (action = 'quarantine_records' AND NOT dq_passed
+    AND fl.country IS NOT DISTINCT FROM sg.country AND fl.plan IS NOT DISTINCT FROM sg.plan)
+  GROUP BY fl.run_id, event_id),
+done AS (
+  SELECT run_id, condition, action, CASE action
+      WHEN 'remap' THEN (SELECT count(*) FROM fd WHERE fd.run_id = mt.run_id AND spec IS NOT NULL)
+      WHEN 'quarantine_records' THEN (SELECT count(*) FROM hd WHERE hd.run_id = mt.run_id AND reason = condition)
+      WHEN 'quarantine_and_escalate' THEN (SELECT count(*) FROM hd WHERE hd.run_id = mt.run_id AND reason = condition) END AS n
+  FROM mt)
+"""
+_add("remediation_effects", """
+SELECT 'ledger' AS kind, run_id, concat_ws(' ', condition, action, CASE WHEN n IS NULL THEN 'advised' WHEN n > 0 THEN 'applied' ELSE 'failed' END) AS name,
+  coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN concat('Advised: ', action)
+    WHEN n > 0 THEN concat(n, CASE WHEN action = 'remap' THEN ' fields' ELSE ' records' END)
+    ELSE concat('Nothing to change: no ', CASE WHEN action = 'remap' THEN 'fields' ELSE 'records' END) END AS detail FROM done
+UNION ALL
+SELECT 'remap', -1, field, 1, max_by(spec, (end_time, call_id)) FROM fd WHERE spec IS NOT NULL GROUP BY field
+UNION ALL SELECT 'quarantine', run_id, reason, count(*), CAST(CAST(sum(event_id) AS BIGINT) AS VARCHAR) FROM hd GROUP BY run_id, reason
+UNION ALL SELECT 'released', -1, 'events', count(*), CAST(CAST(sum(event_id) AS BIGINT) AS VARCHAR) FROM fl WHERE event_id NOT IN (SELECT event_id FROM hd)
+""", _REPORT, _STREAKS, _SHARES, *_RAW, _DRIFT, _MATRIX, _EFFECTS)
+_add("remap_decoded", """
+SELECT event_id, CASE WHEN NOT is_cut THEN id END AS id, CASE WHEN NOT is_cut THEN plan END AS plan,
+  CASE WHEN NOT is_cut THEN sent_email END AS email,
+  CASE WHEN NOT is_cut THEN CAST(opt_in AS VARCHAR) END AS marketing_opt_in,
+  CASE WHEN NOT is_cut THEN customer_segment END AS customer_segment FROM wire
+""", _WIRE)
 _add("country_membership", f"""
 SELECT event_id, country FROM ce WHERE country IS NOT NULL AND country NOT IN {_COUNTRIES}
 """)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eventwarden import policies as P, schemas as S
 from eventwarden.functions import columns as X
 from eventwarden.operators import (
-    alerts as A, decisions as D, drift as DR, enrich as E, incidents as I, quality as Q,
+    alerts as A, decisions as D, drift as DR, effects as EF, enrich as E, incidents as I, quality as Q,
     quarantine as QU, remap as RM, report as R, responses as RS,
 )
 from eventwarden.plans import fixture as FX
@@ -22,7 +22,7 @@ from eventwarden.plans.remediation import remediate
 from eventwarden.session import work_folder
 from eventwarden.sinks import tables as K
 from eventwarden.sources import documents as DOC, events as SRC
-from eventwarden.streaming import jobs as J
+from eventwarden.streaming import history as H, jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -585,19 +585,42 @@ def alert_outbox(spark, sf):
     return A.fan_out(alerts)
 
 
-@query
-def remediation_tables(spark, sf):
-    """The whole scheduled chain; rows per table it wrote."""
-    paths = remediate(FX.flagged_events(spark, sf), work_folder(spark, "remediation"), F.col(CLOCK),
-                      F.expr(FX.DECODE_FAILED), _raw_text(spark, sf))
+# What a table's digest is of: rows in any order, but with these values.
+DIGESTS = {
+    "run_reports": ["run_id", "total_records", "late_records", "dq_failures", "dq_unknown", "processing_errors"],
+    "dq_results": ["run_id", "position", "column_name", "success", "element_count", "missing_count", "unexpected_count"],
+    "decisions": ["run_id", "reasoning", "escalation_required", "recent_incidents", "recent_escalated"],
+    "decision_log": ["run_id", "reasoning", "escalation_required", "actions_count"],
+    "action_audit": ["run_id", "action_no", "tool", "status", "message"],
+    "incident_events": ["id", "incident_type", "summary", "severity", "status", "change_seq"],
+    "alerts": ["run_id", "alert_type", "title", "message", "severity", "channel"],
+}
+
+
+def _digest(columns: list[str]) -> Column:
+    """The sum of the rows' hashes: the same in any order, another one if a row is lost, doubled or mixed up."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"))
+
+
+def _contents(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Rows and digest of each table."""
     out = None
     for name, path in paths.items():
-        part = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows")
+        part = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), _digest(DIGESTS[name]).alias("digest")).select(
+            F.lit(name).alias("table_name"), "rows", "digest")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+@query
+def remediation_tables(spark, sf):
+    """The whole scheduled chain; rows and content of each table it wrote."""
+    paths = remediate(FX.flagged_events(spark, sf), work_folder(spark, "remediation"), F.col(CLOCK),
+                      F.expr(FX.DECODE_FAILED), _raw_text(spark, sf))
+    return _contents(spark, paths)
+
+
 @query
 def remediation_replay(spark, sf):
     """The chain in two calls, the second one repeated: the same rows as in one call."""
@@ -608,12 +631,41 @@ def remediation_replay(spark, sf):
         part = (F.col("run_id") >= half) == F.lit(later)
         paths = remediate(flagged.filter(part), root, F.col(CLOCK), F.expr(FX.DECODE_FAILED),
                           raw.filter(part), batch_id=batch_id)
-    out = None
-    for name, path in paths.items():
-        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return _contents(spark, paths)
+
+
+@query
+def remediation_effects(spark, sf):
+    """What the chain's decisions did to the data, after a second call that finds all of it done.
+
+    The ledger's states, the merged remap, the quarantined records by run and reason, and the records left.
+    """
+    flagged, root = FX.flagged_events(spark, sf), work_folder(spark, "effects")
+    for batch_id in (0, 1):
+        remediate(flagged, root, F.col(CLOCK), F.expr(FX.DECODE_FAILED), _raw_text(spark, sf),
+                  P.DecisionPolicy(localised_share=0.1), batch_id)
+    store = EF.EffectStore(spark, root)
+    rows = lambda df, kind, run, name, n, detail: df.select(
+        F.lit(kind).alias("kind"), run.cast("bigint").alias("run_id"), name.alias("name"), n.cast("bigint").alias("n"),
+        detail.cast("string").alias("detail"))
+    none, count, ids = F.lit(-1), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")
+    held = store.quarantined().groupBy("run_id", "reason").agg(count, ids)
+    free = store.released(flagged.select("event_id"), "event_id").agg(count, ids)
+    return (rows(store.states(), "ledger", F.col("run_id"), F.concat_ws(" ", "condition", "action", "status"), F.col("changed"), F.col("message"))
+            .unionByName(rows(RM.merge_remap(store.remap_history()), "remap", none, F.col("field"), F.lit(1), F.col("spec")))
+            .unionByName(rows(held, "quarantine", F.col("run_id"), F.col("reason"), F.col("n"), F.col("ids")))
+            .unionByName(rows(free, "released", none, F.lit("events"), F.col("n"), F.col("ids"))))
+
+
+@query
+def remap_decoded(spark, sf):
+    """The raw events decoded again under the contract that the applied remaps have widened."""
+    root = work_folder(spark, "effects")
+    remediate(FX.flagged_events(spark, sf), root, F.col(CLOCK), F.expr(FX.DECODE_FAILED), _raw_text(spark, sf))
+    raw = FX.raw_events(spark, sf).select("event_id", F.col("value").cast("string").alias("raw"))
+    out = RM.decode_remapped(raw, "raw", S.CUSTOMER_EVENT_V1, EF.EffectStore(spark, root).mapping())
+    return out.select("event_id", "id", "plan", "email", F.col("marketing_opt_in").cast("string").alias("marketing_opt_in"),
+                      "customer_segment")
 
 
 @query
@@ -704,27 +756,32 @@ def stream_late_split(spark, sf):
     return side("table").unionByName(side("late"))
 
 
+def _deliveries(spark: SparkSession, sf: str, label: str, **outputs: bool) -> tuple[H.WindowHistory, dict[str, str]]:
+    """Drain bounded micro-batches of repeated, unordered deliveries into tables."""
+    root = work_folder(spark, label)
+    stream = J.curated_stream(FX.delivered_files(spark, sf, f"{root}/input"), FX.clock())
+    windows = H.WindowHistory(spark, root)
+    history = H.KeyHistory(spark, f"{root}/seen", {"event_id": "bigint"}, pages=16)
+    paths = {name: f"{root}/{name}" for name in outputs}
+    J.start_batches(stream, H.complete_outputs(history, windows, **paths), f"{root}/state", every=None).awaitTermination()
+    return windows, paths
+
+
 @query
 def stream_windowed_report(spark, sf):
-    """All windows over all rows: each micro-batch writes its part, the parts are added up."""
-    paths = _drain(spark, sf, "stream_windows", windows=True)
-    return J.merge_windows(spark.read.parquet(paths["windows"])).select(
+    """All windows over all first deliveries, whichever micro-batch they came in."""
+    windows, _ = _deliveries(spark, sf, "stream_windows")
+    return windows.reports().select(
         ts("window_start"), ts("window_end"), "total_records", "late_records", "dq_failures",
         "dq_unknown", "schema_drift_count")
 
 
 @query
 def stream_dedup(spark, sf):
-    """Every event delivered twice, kept once."""
-    path, state = work_folder(spark, "stream_dedup"), work_folder(spark, "stream_state")
-    twice = FX.customer_event_stream(spark, sf).withColumn(
-        "delivery", F.explode(F.array(F.lit(0), F.lit(1))))
-    once = J.deduplicate_stream(J.curated_stream(twice, FX.clock()), ["event_id"])
-    query_ = (once.select("event_id", "run_id", "id").writeStream.format("parquet")
-              .outputMode("append").option("path", path).option("checkpointLocation", state)
-              .trigger(availableNow=True).start())
-    query_.awaitTermination()
-    return spark.read.schema("event_id bigint, run_id bigint, id string").parquet(path)
+    """Every event delivered at least twice, one of them in a third of the rows, over bounded micro-batches: kept once."""
+    _, paths = _deliveries(spark, sf, "stream_dedup", table=True, late=True)
+    side = lambda n: spark.read.parquet(paths[n]).select("event_id", "run_id", "id")
+    return side("table").unionAll(side("late"))
 
 
 @query
@@ -735,7 +792,9 @@ def stream_metrics(spark, sf):
     metrics = J.RunMetrics()
     spark.streams.addListener(metrics)
     try:
-        J.start_curated(stream, path, state, every=None).awaitTermination()
+        running = J.start_curated(stream, path, state, every=None)
+        metrics.only(running)
+        running.awaitTermination()
         metrics.wait()
     finally:
         spark.streams.removeListener(metrics)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventwarden import policies as P
 from eventwarden.operators import (
-    alerts as A, decisions as D, drift as DR, incidents as I, quality as Q, report as R,
+    alerts as A, decisions as D, drift as DR, effects as EF, incidents as I, quality as Q, report as R,
 )
 from eventwarden.sinks import tables as K
 
 TABLES = ["run_reports", "dq_results", "decisions", "decision_log", "action_audit",
           "incident_events", "alerts"]
+#: What the effects of the decisions are worked out from, and what they leave.
+EFFECT_TABLES = ["segment_shares", "drift_fields", "decision_matrix", "action_intents", "action_ledger", "remap_history", "quarantine"]
 
 
 def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None = None,
@@ -24,10 +26,11 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     for the suite.  A repeated call with the same ``batch_id`` replaces its parts
     and leaves those of other calls alone; only the incidents are read from all
     calls, since a run's context has those of the days before it.  ``raw``
-    (run_id, raw text) adds drift alerts.  Returns the table paths.
+    (run_id, raw text) adds drift alerts and remaps.  The decision table's remaps and quarantines are carried out
+    and entered in the ledger (``operators.effects``).  Returns the paths of ``TABLES``.
     """
     spark = flagged.sparkSession
-    paths = {name: f"{out.rstrip('/')}/{name}" for name in TABLES}
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in [*TABLES, *EFFECT_TABLES]}
 
     def store(df: DataFrame, name: str) -> DataFrame:
         K.write_batch(df, batch_id, paths[name])
@@ -47,8 +50,28 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     alerts = A.quality_alerts(reports, ["run_id"], F.lit("validation_failure"),
                               F.col("dq_failures"), F.col("total_records"))
     alerts = alerts.unionByName(A.status_alerts(decisions, ["run_id"]))
+    shares = store(R.failure_shares(flagged, ["run_id"]), "segment_shares")
     if raw is not None:
-        drift = DR.drift_class(DR.compare_fields(raw, "raw", ["run_id"]), ["run_id"])
+        compared = store(DR.compare_fields(raw, "raw", ["run_id"]), "drift_fields")
+        drift, mappings = DR.drift_class(compared, ["run_id"]), EF.remap_details(compared)
         alerts = alerts.unionByName(A.drift_alerts(drift, ["run_id"]))
+    else:
+        drift = rates.select("run_id", F.lit("none").alias("drift_class"))
+        mappings = rates.select("run_id", F.lit(None).cast("map<string,string>").alias("mapping"))
     store(A.fan_out(alerts), "alerts")
-    return paths
+    streaks = (D.failure_streaks(D.run_outcomes(_recent(spark, paths["run_reports"], rates, policy)), ["failure_type"], policy=policy)
+               .groupBy("run_id").agg(F.max(F.when(F.col("failed"), F.col("streak"))).alias("streak")))
+    segments = EF.worst_segment(shares)
+    runs = (rates.join(drift.select("run_id", "drift_class"), "run_id", "left")
+            .join(segments.select("run_id", "max_segment_share"), "run_id", "left").join(streaks, "run_id", "left"))
+    matrix = store(D.decision_matrix(runs, policy), "decision_matrix")
+    EF.EffectStore(spark, out).apply(EF.intents(matrix, rates, mappings, segments), flagged, batch_id)
+    return {name: paths[name] for name in TABLES}
+
+
+def _recent(spark: SparkSession, path: str, rates: DataFrame, policy: P.DecisionPolicy) -> DataFrame:
+    """The runs of this call and those of other calls in the days before, once each: a streak may have begun there."""
+    begin = rates.agg(F.min("end_time")).first()[0]
+    stored = spark.read.parquet(path).drop("batch_id").filter(
+        F.col("end_time") >= F.lit(begin).cast("timestamp") - F.expr(f"INTERVAL {P.INCIDENT_LOOKBACK_DAYS} DAY"))
+    return R.run_rates(stored.dropDuplicates(["run_id"]), policy)

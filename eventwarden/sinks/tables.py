@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Options a warehouse connection cannot do without.
 WAREHOUSE_OPTIONS = ["sfUrl", "sfUser", "sfPassword", "sfDatabase", "sfSchema", "sfWarehouse"]
@@ -24,6 +24,12 @@ def write_curated(df: DataFrame, path: str, partitions: list[str] | None = None,
      .write.mode(mode).partitionBy(*parts).parquet(path))
 
 
+def append_rebalanced(df: DataFrame, path: str, partitions: list[str]) -> None:
+    """Append Parquet by partition columns, few files for each value, a large value over several."""
+    (df.hint("rebalance", *[F.col(p) for p in partitions])
+     .write.mode("append").partitionBy(*partitions).parquet(path))
+
+
 def append_log(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Append rows to a log table: decisions, run reports, incidents, results."""
     df.write.mode("append").format(fmt).save(path)
@@ -50,6 +56,12 @@ def write_quarantine(df: DataFrame, path: str, reason: str | Column, at: Column,
      .write.mode("append").partitionBy("reason", "quarantine_ts").parquet(path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table's folder yet, in whatever file system the path is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
     """One micro-batch under its own folder; a replay overwrites just that folder."""
     batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")

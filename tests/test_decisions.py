@@ -57,7 +57,7 @@ def test_log_and_audit(spark):
     assert log.actions_count == 2 and log.context_summary.asDict() == {
         "total_records": 1000, "late_records": 200, "dq_failures": 5, "schema_drift": True}
     audit = D.action_audit(decided, ["run_id"]).orderBy("action_no").collect()
-    assert [(a.tool, a.success) for a in audit] == [("apply_schema_remap", True), ("notify_ops", True)]
+    assert [(a.tool, a.status) for a in audit] == [("apply_schema_remap", "advised"), ("notify_ops", "advised")]
 
 
 def matrix(spark, drift="none", streak=0, share=0.0, policy=P.DecisionPolicy(), **kw):

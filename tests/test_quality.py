@@ -143,7 +143,7 @@ def test_dimension_arithmetic(spark):
 def test_dimension_scores_cover_the_suite(curated):
     got = {r.dimension: (r.failures, r.total)
            for r in Q.dimension_scores(Q.run_suite(curated, P.CUSTOMER_SUITE, F.lit(NOW), "batch"), "batch").collect()}
-    assert got == {"completeness": (2, 15), "validity": (3, 15), "consistency": (1, 5),
+    assert got == {"completeness": (2, 15), "validity": (4, 20), "consistency": (1, 5),
                    "timeliness": (1, 5), "uniqueness": (0, 5)}
 
 

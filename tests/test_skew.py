@@ -57,6 +57,8 @@ BANNED = ["localCheckpoint", "broadcast(", "crossJoin", ".rdd", "toPandas", ".co
 def test_library_avoids_what_does_not_scale():
     root = pathlib.Path(queries.__file__).parent.parent
     for path in root.rglob("*.py"):
+        if "llm" in path.relative_to(root).parts:
+            continue  # tests/llm looks at the text operators' broadcasts and collects
         text = path.read_text(encoding="utf-8")
         for word in BANNED:
             assert word not in text, f"{word} in {path}"
