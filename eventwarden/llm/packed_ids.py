@@ -229,7 +229,7 @@ class Encoder:
                     cut.append((i, head, units, None))
                 else:
                     cut.append((i, head, units, b"".join(found)))
-        heads = list(heads - self.heads.keys())
+        heads = [u for u in heads if u not in self.heads]
         self._learn(self.heads, heads, self._whole(heads))
         self._learn_spaced(new)
         for i, head, units, body in cut:
@@ -239,7 +239,7 @@ class Encoder:
     def _learn_spaced(self, new: set[bytes]) -> None:
         """Units that end in a letter and a mark share their word's ids: no token holds both."""
         marked = {u: u[:-1] for u in new if u[-1:] in self.marks and u[-2:-1].isalpha()}
-        plain = list((new - marked.keys() | set(marked.values())) - self.known.keys())
+        plain = [u for u in new.difference(marked).union(marked.values()) if u not in self.known]
         self._learn(self.known, plain, self._spaced(plain))
         self._learn(self.known, list(marked), [self.known[word] + self.marks[u[-1:]] for u, word in marked.items()])
 
