@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,20 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
+_recorded: ContextVar[list[str] | None] = ContextVar("recorded", default=None)
+
+
+@contextmanager
+def recorded():
+    """The folders that :func:`stage` writes meanwhile, for a caller who knows when they are no longer read."""
+    paths: list[str] = []
+    token = _recorded.set(paths)
+    try:
+        yield paths
+    finally:
+        _recorded.reset(token)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -32,6 +48,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.staged_path = path
+    if (paths := _recorded.get()) is not None:
+        paths.append(path)
     return table
 
 

@@ -150,7 +150,7 @@ def _ranked(batches, items: Items, weights: np.ndarray, n_docs: int, n_terms: in
         table = pa.Table.from_batches(tables).combine_chunks()
         order = pc.sort_indices(table, sort_keys=[("doc_id", "ascending")], null_placement="at_start")
         table = table.take(order).combine_chunks()
-        whole = lambda x: np.concatenate([c.to_numpy(zero_copy_only=False) for c in x.chunks]).astype(np.int64)
+        whole = lambda x: np.concatenate([np.zeros(0, np.int64), *[c.to_numpy(zero_copy_only=False).astype(np.int64) for c in x.chunks]])
         doc = np.repeat(np.arange(len(table)), whole(pc.list_value_length(table["terms"])))
         term, tf = whole(pc.list_flatten(table["terms"])), whole(pc.list_flatten(table["tfs"]))
         n = whole(table["n"])

@@ -14,8 +14,9 @@ from tokenizers import Tokenizer
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from eventwarden.llm import hard_negatives, lexical_search, packed_ids, queries
-from test_operators import SCHEMA, SF, odd_rows, table
+from .test_operators import SCHEMA, SF, odd_rows, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -172,7 +173,7 @@ def test_hard_negatives(spark, grid, tile, gathered, monkeypatch):
     monkeypatch.setattr(hard_negatives, "TILE", tile)
     monkeypatch.setattr(hard_negatives, "GATHERED", gathered)
     rng = random.Random(12)
-    vector = lambda: [rng.choice([-0.25, 0, 0.125, 0.5, 0.503, 1.0]) for _ in range(4)]
+    vector = lambda: [rng.choice([-0.25, 0.0, 0.125, 0.5, 0.503, 1.0]) for _ in range(4)]
     rows = [(i, 0 if rng.random() < 0.4 else rng.randrange(1, 4), vector()) for i in range(260)]
     rows += [(400 + i, 1 + i % 2, [0.5, 0.5, 0.5, 0.5]) for i in range(40)]  # copies: many ties
     rows += [(None, 1, vector()), (501, None, vector()), (502, 1, None), (503, 1, [None, 1.0, 0.0, 0.0]), (504, 1, [math.nan] * 4),
@@ -286,3 +287,35 @@ def test_searches_without_documents_or_items(spark, docs, none):
     items = spark.createDataFrame([(1, "w1")], "item_id long, text string")
     assert lexical_search.search(none, items).count() == 0
     assert lexical_search.search(docs, items.limit(0)).count() == 0
+
+
+# -- the pipeline's tables ------------------------------------------------------------------
+
+def staged(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    return {p.name for p in __import__("pathlib").Path(root.removeprefix("file:")).glob("llm/*")}
+
+
+def test_a_stage_deletes_what_the_one_before_it_staged(spark, docs, tmp_path):
+    before, held = staged(spark), docs
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = stage(spark, held, SF)
+        new = {n.rsplit("-", 1)[0] for n in staged(spark) - before}
+        assert k == 0 or not any(n.startswith(earlier) for n in new)
+        earlier = ("quality-docs", "simhash", "benchmark", "pii")[k]
+        out.write.parquet(str(tmp_path / str(k)))
+        held = spark.read.parquet(str(tmp_path / str(k)))
+    lazy = corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.STAGES[0][1](spark, docs, SF), SF)  # not written in between
+    assert lazy.count() > 0
+
+
+def test_the_pipeline_leaves_its_output_alone(spark):
+    before = staged(spark)
+    out = corpus_pipeline.run(spark, SF)
+    assert len(staged(spark) - before) <= 2 and out.count() > 0  # the output, and what another query may have staged
+
+
+def test_the_pipeline_on_empty_tables(spark, tmp_path):
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
