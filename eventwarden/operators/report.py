@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
+from eventwarden.operators.running import islands
 
 
 EVENT_MEASURES = [
@@ -134,10 +135,22 @@ def windowed_report(flagged: DataFrame, width: str = P.REPORT_WINDOW) -> DataFra
 
 
 def offset_audit(envelope: DataFrame) -> DataFrame:
-    """Offset range and gaps per source partition."""
-    return (envelope.groupBy("kafka_partition")
+    """Offset range, gaps and repeats per source partition; a record delivered again fills no gap."""
+    once = envelope.groupBy("kafka_partition", "kafka_offset").agg(F.count(F.lit(1)).alias("_n"))
+    return (once.groupBy("kafka_partition")
             .agg(F.min("kafka_offset").alias("min_offset"),
                  F.max("kafka_offset").alias("max_offset"),
-                 F.count(F.lit(1)).alias("messages"))
-            .withColumn("missing_offsets",
-                        F.col("max_offset") - F.col("min_offset") + 1 - F.col("messages")))
+                 F.sum("_n").alias("messages"), F.count("kafka_offset").alias("_offsets"))
+            .withColumn("redelivered", F.col("messages") - F.col("_offsets"))
+            .withColumn("missing_offsets", F.col("max_offset") - F.col("min_offset") + 1 - F.col("_offsets"))
+            .drop("_offsets"))
+
+
+def offset_gaps(envelope: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Every missing stretch of offsets as (partition, first, last, size).
+
+    Partitions of the source are cut by ranges of offsets, so one with most of the records is many tasks.
+    """
+    holes = islands(envelope, ["kafka_partition"], "kafka_offset", ranges)
+    return holes.select("kafka_partition", F.col("first").alias("first_missing"), F.col("last").alias("last_missing"),
+                        (F.col("last") - F.col("first") + 1).alias("missing"))

@@ -469,6 +469,14 @@ SELECT reason, '20240131_000000' AS quarantine_ts, 'events' AS source_path, coun
 _add("retention", """
 SELECT event_id FROM fl WHERE event_timestamp >= TIMESTAMP '2024-01-24 00:00:00'
 """)
+_add("retention_apply", """
+SELECT strftime(event_timestamp, '%Y-%m-%d') AS event_date, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids
+FROM fl WHERE event_timestamp >= TIMESTAMP '2024-01-24 10:30:00' GROUP BY 1
+""")
+_add("compaction", """
+SELECT strftime(event_timestamp, '%Y-%m-%d') AS event_date, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids, 1 AS files
+FROM fl GROUP BY 1
+""")
 _add("retention_plan", """
 SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS day, count(*) AS rows,
   CAST(event_timestamp AS DATE) < DATE '2024-01-24' AS expired FROM fl GROUP BY CAST(event_timestamp AS DATE)
@@ -843,11 +851,21 @@ FROM sure
 
 # -- sources, sinks, streams ----------------------------------------------------------------------------
 
+_OFFSETS = """
+off AS (
+  SELECT CAST(event_id % 4 AS INTEGER) AS kafka_partition, event_id // 4 + 3 * (event_id // 1000) AS o, unnest(range(copies)) AS copy
+  FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS copies FROM ce WHERE event_id % 251 <> 17))
+"""
 _add("offset_audit", """
-SELECT CAST(event_id % 4 AS INTEGER) AS kafka_partition, min(o) AS min_offset, max(o) AS max_offset,
-  count(*) AS messages, max(o) - min(o) + 1 - count(*) AS missing_offsets
-FROM (SELECT event_id, event_id // 4 + 3 * (event_id // 1000) AS o FROM ce) GROUP BY 1
-""")
+SELECT kafka_partition, min(o) AS min_offset, max(o) AS max_offset, count(*) AS messages,
+  count(*) - count(DISTINCT o) AS redelivered, max(o) - min(o) + 1 - count(DISTINCT o) AS missing_offsets
+FROM off GROUP BY kafka_partition
+""", _OFFSETS)
+_add("offset_gaps", """
+SELECT kafka_partition, before + 1 AS first_missing, o - 1 AS last_missing, o - before - 1 AS missing
+FROM (SELECT kafka_partition, o, lag(o) OVER (PARTITION BY kafka_partition ORDER BY o) AS before
+      FROM (SELECT DISTINCT kafka_partition, o FROM off)) WHERE o > before + 1
+""", _OFFSETS)
 _add("load_validation", """
 SELECT CASE WHEN count(*) > 0 THEN 'success' ELSE 'no_data' END AS status, count(*) > 0 AS has_files,
   count(*) > 0 AS newest_has_bytes FROM ce

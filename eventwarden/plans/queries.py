@@ -20,7 +20,7 @@ from eventwarden.operators import (
 from eventwarden.plans import fixture as FX
 from eventwarden.plans.remediation import remediate
 from eventwarden.session import work_folder
-from eventwarden.sinks import tables as K
+from eventwarden.sinks import maintenance as MT, tables as K
 from eventwarden.sources import documents as DOC, events as SRC
 from eventwarden.streaming import history as H, jobs as J
 
@@ -415,6 +415,35 @@ def retention_plan(spark, sf):
     return plan.withColumn("day", F.col("day").cast("string"))
 
 
+def _dated_contents(df: DataFrame) -> DataFrame:
+    return df.groupBy(F.col(MT.DATE).cast("string").alias(MT.DATE)).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"))
+
+
+@query
+def retention_apply(spark, sf):
+    """Load the curated table by date, expire it in the middle of a day, expire it again, and read what is left."""
+    path, events = work_folder(spark, "dated"), FX.flagged_events(spark, sf)
+    schema = MT.dated(events).schema
+    MT.write_dated(events, path)
+    at = F.lit(AS_OF).cast("timestamp") + F.expr("INTERVAL '10:30' HOUR TO MINUTE")
+    for _ in range(2):
+        MT.expire(spark, path, schema, at)
+    return _dated_contents(spark.read.schema(schema).parquet(path))
+
+
+@query
+def compaction(spark, sf):
+    """Four loads that each leave a file a day, compacted: the same rows in one file a day."""
+    path, events = work_folder(spark, "small-files"), MT.dated(FX.flagged_events(spark, sf))
+    for part in range(4):
+        K.append_rebalanced(events.filter(F.col("event_id") % 4 == part), path, [MT.DATE])
+    MT.compact(spark, path, events.schema, [MT.DATE], min_files=2)
+    files = MT.table_files(spark, path, [MT.DATE]).select(
+        F.substring_index("folder", "=", -1).alias(MT.DATE), F.col("files"))
+    return _dated_contents(spark.read.schema(events.schema).parquet(path)).join(files, MT.DATE)
+
+
 # -- incidents -------------------------------------------------------------------------------
 
 def _opened(rates: DataFrame) -> DataFrame:
@@ -700,9 +729,21 @@ def response_decisions(spark, sf):
 
 # -- sources, sinks, streams -----------------------------------------------------------------------
 
+def _redelivered(spark: SparkSession, sf: str) -> DataFrame:
+    """The decoded stream with every fifth record delivered twice and every 251st lost."""
+    raw = FX.raw_events(spark, sf).filter("event_id % 251 <> 17")
+    return SRC.decode(raw.unionByName(raw.filter("event_id % 5 = 0")))
+
+
 @query
 def offset_audit(spark, sf):
-    return R.offset_audit(SRC.decode(FX.raw_events(spark, sf)))
+    return R.offset_audit(_redelivered(spark, sf))
+
+
+@query
+def offset_gaps(spark, sf):
+    """Every stretch of offsets that is missing from its source partition."""
+    return R.offset_gaps(_redelivered(spark, sf))
 
 
 @query
