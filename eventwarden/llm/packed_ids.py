@@ -43,8 +43,8 @@ HEAD, TAIL = 16, 32
 #: Ids of a block (a multiple of 8, so that every block ends at a byte) and ids after which a file is closed.
 BLOCK = 1 << 15
 FILE_IDS = 1 << 26
-#: A worker's memory of encoded units, in bytes of units and ids.
-MEMORY = 160 << 20
+#: A worker's memory of encoded units in bytes, two halves of which the older goes when the newer is full.
+MEMORY = 320 << 20
 #: Units that are encoded as one text.
 JOINED = 1 << 13
 MANIFEST = "part int, file_no int, path string, n_docs bigint, n_ids bigint, bits int"
@@ -185,6 +185,7 @@ class Encoder:
             and not spec["normalizer"] and not spec["post_processor"] and not spec["truncation"] and not spec["padding"]
         self.heads: dict[bytes, bytes] = {}  # ids of texts' first units
         self.known: dict[bytes, bytes] = {}  # ids of units without the space before them
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
         self.marks = {m: np.array(self.library.encode(m.decode(), add_special_tokens=False).ids, "<u4").tobytes() for m in (b".", b",")}
         words = self.library.get_vocab(with_added_tokens=True)
@@ -214,28 +215,55 @@ class Encoder:
         """The ids of each UTF-8 text as little-endian 32-bit integers."""
         if not self.cuts:
             return self._whole(texts)
-        if self.held > MEMORY:
-            self.heads, self.known, self.held = {}, {}, 0
-        out, cut, heads, new, get = [b""] * len(texts), [], set(), set(), self.known.get
+        if 2 * self.held > MEMORY:  # what is used again comes back from the older half, the rest goes
+            self.older, self.known, self.held = self.known, {}, 0
+            self.heads = {}
+        out, plain = [b""] * len(texts), []
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self._whole([text])[0]
-            elif text:
-                head, *units = BREAK.split(text) if UNSURE.search(text) else text.split(b" ")
-                heads.add(head)
-                found = list(map(get, units))
-                if None in found:
-                    new.update([u for u, ids in zip(units, found) if ids is None])
-                    cut.append((i, head, units, None))
-                else:
-                    cut.append((i, head, units, b"".join(found)))
-        heads = [u for u in heads if u not in self.heads]
-        self._learn(self.heads, heads, self._whole(heads))
-        self._learn_spaced(new)
-        for i, head, units, body in cut:
-            out[i] = self.heads[head] + (b"".join(map(get, units)) if body is None else body)
+            elif UNSURE.search(text):
+                head, *units = BREAK.split(text)
+                out[i] = b"".join([*self._heads([head]), *self._units(units)])
+            else:
+                plain.append(i)
+        for i, ids in zip(plain, self._plain([texts[i] for i in plain]) if plain else ()):
+            out[i] = ids
         return out
 
+    def _heads(self, heads: list[bytes]) -> list[bytes]:
+        new = list({u for u in heads if u not in self.heads})
+        self._learn(self.heads, new, self._whole(new))
+        return [self.heads[u] for u in heads]
+
+    def _units(self, units: list[bytes]) -> list[bytes]:
+        found = list(map(self.known.get, units))
+        if None in found:
+            new = {u for u, ids in zip(units, found) if ids is None}
+            again = [u for u in new if u in self.older]
+            self._learn(self.known, again, [self.older[u] for u in again])
+            self._learn_spaced(new.difference(again))
+            found = list(map(self.known.__getitem__, units))
+        return found
+
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        """Texts whose every space begins a unit: split, numbered and put together as whole columns."""
+        parts = pc.split_pattern(pa.array(texts, pa.large_binary()).cast(pa.large_string()), " ")
+        bounds = parts.offsets.to_numpy()
+        numbered = parts.values.dictionary_encode()
+        unit = numbered.indices.to_numpy().copy()
+        heads = self._heads([u.encode() for u in parts.values.take(pa.array(bounds[:-1])).to_pylist()])
+        units = self._units(numbered.dictionary.cast(pa.large_binary()).to_pylist())
+        sizes = np.fromiter(map(len, [*units, *heads]), np.int32, len(units) + len(heads)) // 4
+        unit[bounds[:-1]] = np.arange(len(units), len(units) + len(heads))  # a text's first unit has no space before it
+        n = sizes[unit]
+        ends = np.cumsum(n, dtype=np.int32)  # a chunk's ids are fewer than its bytes
+        place = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[unit] - (ends - n), n)
+        place += np.arange(len(place), dtype=np.int32)
+        body = np.frombuffer(b"".join([*units, *heads]), "<u4").take(place).tobytes()
+        at = (4 * np.append(0, ends.astype(np.int64))[bounds]).tolist()
+        return [body[a:b] for a, b in zip(at, at[1:])]
+
     def _learn_spaced(self, new: set[bytes]) -> None:
         """Units that end in a letter and a mark share their word's ids: no token holds both."""
         marked = {u: u[:-1] for u in new if u[-1:] in self.marks and u[-2:-1].isalpha()}
@@ -255,7 +283,7 @@ def encoder(path: str) -> Encoder:
 
 
 #: Bytes of text that are encoded at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 8 << 20
 
 
 def _runs(sizes: list[int], most: int):
