@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from eventwarden import policies as P
 from eventwarden.functions import columns as X
-from eventwarden.functions.literals import literal_rows, sql_literal
+from eventwarden.functions.literals import literal_map, literal_rows, sql_literal
 from eventwarden.operators.skew import splittable
 from eventwarden.policies import Expectation
 
@@ -141,8 +141,8 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], as_of: Column, batch:
               params: dict[str, Any] | None = None) -> DataFrame:
     """One result row per batch and expectation.
 
-    Value and schema checks come from a single aggregate of the frame; each
-    uniqueness check adds one pass over two columns.
+    Value and schema checks come from a single aggregate of the frame, all
+    uniqueness checks together from one more pass over their columns.
     """
     checks = compile_suite(suite, df.schema, as_of, params)
     plain = [c for c in checks if c.kind != "unique"]
@@ -156,10 +156,10 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation], as_of: Column, batch:
         rows = literal_rows(RESULT_NAMES, [_result_row(c) for c in plain])
         out = (df.groupBy(batch).agg(*aggs)
                .select(batch, F.explode(rows).alias("r")).select(batch, "r.*"))
-    for c in checks:
-        if c.kind == "unique":
-            part = _unique_result(df, c, batch)
-            out = part if out is None else out.unionByName(part)
+    unique = [c for c in checks if c.kind == "unique"]
+    if unique:
+        part = _unique_results(df, unique, batch)
+        out = part if out is None else out.unionByName(part)
     return _finish(out, batch)
 
 
@@ -176,21 +176,31 @@ def _result_row(c: Check) -> tuple:
             ("element_count",), (f"_m{c.position}",), (f"_u{c.position}",))
 
 
-def value_counts(df: DataFrame, column: str, batch: str) -> DataFrame:
-    """Rows per (batch, value): the only high-cardinality shuffle of a suite."""
-    return df.groupBy(batch, F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+def value_text(df: DataFrame, column: str) -> Column:
+    """A value as text that is equal where the values are: a negative zero is a zero."""
+    floating = df.schema[column].dataType.simpleString() in ("double", "float")
+    return (F.col(column) + F.lit(0.0) if floating else F.col(column)).cast("string")
 
 
-def _unique_result(df: DataFrame, c: Check, batch: str) -> DataFrame:
+def value_counts(df: DataFrame, checks: Sequence[Check], batch: str) -> DataFrame:
+    """Rows per (batch, check, value): the only high-cardinality shuffle of a suite, and one for all its checks."""
+    pairs = F.array(*[F.struct(F.lit(c.position).alias("position"), value_text(df, c.column).alias("value")) for c in checks])
+    return (df.select(batch, F.explode(pairs).alias("p"))
+            .groupBy(batch, F.col("p.position").alias("position"), F.col("p.value").alias("_value"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _unique_results(df: DataFrame, checks: Sequence[Check], batch: str) -> DataFrame:
     judged = F.col("_value").isNotNull()
     zero = F.lit(0).cast("bigint")
-    sums = value_counts(df, c.column, batch).groupBy(batch).agg(
+    sums = value_counts(df, checks, batch).groupBy(batch, "position").agg(
         F.sum("_n").alias("element_count"),
         F.sum(F.when(~judged, F.col("_n")).otherwise(zero)).alias("missing_count"),
         F.sum(F.when(judged & (F.col("_n") > 1), F.col("_n")).otherwise(zero)).alias("unexpected_count"),
     )
-    return sums.select(batch, F.lit(c.position).alias("position"),
-                       F.lit(c.type).alias("expectation_type"), F.lit(c.column).alias("column_name"),
+    column = literal_map({str(c.position): c.column for c in checks})
+    return sums.select(batch, "position", F.lit(checks[0].type).alias("expectation_type"),
+                       F.element_at(column, F.col("position").cast("string")).alias("column_name"),
                        (F.col("unexpected_count") == 0).alias("success"),
                        "element_count", "missing_count", "unexpected_count")
 
@@ -236,21 +246,16 @@ def duplicate_rows(df: DataFrame, suite: Sequence[Expectation], as_of: Column,
     The repeated values are joined back, one row each; a value that most rows
     share is split over tasks by adaptive execution.
     """
-    out = None
-    for c in compile_suite(suite, df.schema, as_of):
-        if c.kind != "unique":
-            continue
-        repeated = value_counts(df, c.column, batch).filter("_n > 1 AND _value IS NOT NULL")
-        rows = (df.select(*keys, F.col(c.column).alias("_value"),
-                          splittable(F.col(batch).alias("b"), F.col(c.column).alias("v")).alias("_key"))
-                .join(repeated.select(splittable(F.col(batch).alias("b"), F.col("_value").alias("v"))
-                                      .alias("_key")), "_key", "left_semi")
-                .select(*keys, F.lit(c.position).alias("position"),
-                        F.lit(c.type).alias("expectation_type"),
-                        F.lit(c.column).alias("column_name"),
-                        F.col("_value").cast("string").alias("value")))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    checks = [c for c in compile_suite(suite, df.schema, as_of) if c.kind == "unique"]
+    if not checks:
+        return None
+    key = lambda position, value: splittable(F.col(batch).alias("b"), position.alias("p"), value.alias("v"))
+    repeated = value_counts(df, checks, batch).filter("_n > 1 AND _value IS NOT NULL")
+    pairs = F.array(*[F.struct(F.lit(c.position).alias("position"), F.lit(c.type).alias("expectation_type"), F.lit(c.column).alias("column_name"),
+                               value_text(df, c.column).alias("value")) for c in checks])
+    return (df.select(*keys, batch, F.explode(pairs).alias("p")).withColumn("_key", key(F.col("p.position"), F.col("p.value")))
+            .join(repeated.select(key(F.col("position"), F.col("_value")).alias("_key")), "_key", "left_semi")
+            .select(*keys, "p.*"))
 
 
 def rows_outside_table(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str) -> DataFrame:
@@ -370,7 +375,8 @@ def field_summary(flagged: DataFrame, batch: str, countries: Sequence[str] = P.C
         F.count_if(F.col("signup_timestamp") <= F.col("processing_timestamp")).alias("valid_signup_dates"),
         F.count_if(F.col("event_timestamp") >= F.col("signup_timestamp")).alias("valid_event_sequence"),
     )
-    ids = value_counts(flagged, "id", batch).groupBy(batch).agg(
+    per_id = flagged.groupBy(batch, F.col("id").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    ids = per_id.groupBy(batch).agg(
         F.count_if(F.col("_value").isNotNull()).alias("unique_ids"))
     joined = counts.join(ids, batch)
     return joined.withColumns({

@@ -19,6 +19,14 @@ def split_quarantine(df: DataFrame, condition: str | Column) -> tuple[DataFrame,
     return tagged.filter(~F.col("_q")).drop("_q"), tagged.filter("_q").drop("_q")
 
 
+def write_split(df: DataFrame, condition: str | Column, path: str, flag: str = "quarantined") -> tuple[DataFrame, DataFrame]:
+    """(clean, quarantined), from one pass: rows are tagged once and written by their tag, and each side reads its folder."""
+    tag_quarantine(df, condition, flag).write.mode("overwrite").partitionBy(flag).parquet(path)
+    schema = tag_quarantine(df.limit(0), condition, flag).schema
+    both = df.sparkSession.read.schema(schema).parquet(path)
+    return both.filter(~F.col(flag)).drop(flag), both.filter(F.col(flag)).drop(flag)
+
+
 def quarantine_by_rules(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """Rows matching any ``(reason, condition)`` rule, once per matched reason."""
     matched = F.array(*[

@@ -24,10 +24,11 @@ MAX_HEADER = 20
 SPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
          "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
-# A brace opens an object before a quote or a closing brace, a quote opens a text behind a brace,
-# bracket, comma or colon.  Both are marked before the text is cut into tokens.
-OPENING = r"(\{(?=\s*+[\"'}])|[\"'](?<=[\[{,:]\s{0,200}[\"']))"
+# A quote opens a text behind a brace, bracket, comma or colon and any blanks, a brace opens an object before such
+# a quote or a closing brace.  Both are marked before the text is cut into tokens.
 MARK = "\x01"
+OPENING_QUOTE = r"([\[{,:]\s*+)([\"'])"
+OPENING_BRACE = r"(\{)(?=\s*+[\x01}])"
 TOKEN = r"\\.|\x01[{\"']|[{}\"'\n]|[^{}\"'\n\\\x01]++|[\\\x01]"
 
 
@@ -79,9 +80,11 @@ def objects(text: Column) -> Column:
 
     Braces inside quoted texts do not count.  A quoted text ends with its line, and a brace
     that is never closed holds no group, so neither swallows what follows.  One fold over the
-    text's tokens keeps the position, the open braces, the quote and the groups so far.
+    tokens from the first brace on keeps the position, the open braces, the quote and the groups so far.
     """
-    marked = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("")), OPENING, MARK + "$1")
+    body = F.substring(text, F.instr(text, "{"), F.length(text))
+    quoted = F.regexp_replace(F.replace(body, F.lit(MARK), F.lit("")), OPENING_QUOTE, "$1" + MARK + "$2")
+    marked = F.regexp_replace(quoted, OPENING_BRACE, MARK + "$1")
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("open"), F.lit("").alias("quote"),
                      F.array().cast("array<struct<first:int,last:int>>").alias("found"))
 
@@ -102,8 +105,9 @@ def objects(text: Column) -> Column:
             .otherwise(s["found"]).alias("found"))
 
     groups = F.aggregate(F.regexp_extract_all(marked, F.lit(TOKEN), 0), start, step, lambda s: s["found"])
-    return F.transform(groups, lambda g: F.replace(
+    found = F.transform(groups, lambda g: F.replace(
         F.substring(marked, g["first"], g["last"] - g["first"] + 1), F.lit(MARK), F.lit("")))
+    return F.when(text.contains("{"), found).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def actions(text: Column) -> Column:

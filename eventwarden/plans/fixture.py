@@ -130,6 +130,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr("CAST(event_id % 4 AS INT)").alias("partition")))
 
 
+def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as nested payloads; some runs change a type, add a field or leave one out below the top."""
+    return customer_events(spark, sf_dir).selectExpr("event_id", "run_id", """
+        CASE WHEN event_id % 73 = 0 THEN left(id, 4) ELSE concat(
+            '{"id":"', id, '","customer":{"plan":', coalesce(concat('"', plan, '"'), 'null'), ',"place":{',
+            CASE WHEN run_id % 7 = 3 THEN '' ELSE concat('"country":', coalesce(concat('"', country, '"'), 'null'), ',') END,
+            '"zone":', CASE WHEN run_id % 5 = 2 AND event_id % 2 = 0 THEN concat('"', event_id % 9, '"') ELSE cast(event_id % 9 AS string) END, '}},',
+            '"items":[', CASE WHEN event_id % 4 = 0 THEN '' ELSE concat('{"sku":', event_id,
+                CASE WHEN run_id % 3 = 1 THEN ',"price":1.5}' ELSE ',"price":2}' END,
+                CASE WHEN event_id % 4 = 3 THEN ',{"sku":7,"price":3,"gift":true}' ELSE '' END) END, '],',
+            '"tags":[', CASE WHEN run_id % 11 = 5 THEN '1,"a"' ELSE '"a","b"' END, ']}') END AS raw""")
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events; every tenth order uses the drifted field names."""
     pin_session(spark)

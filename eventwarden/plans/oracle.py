@@ -276,6 +276,37 @@ _add("field_difference", """
 SELECT field, 'missing' AS status FROM (SELECT field FROM contract EXCEPT SELECT field FROM seen)
 UNION ALL SELECT field, 'new' FROM (SELECT field FROM seen EXCEPT SELECT field FROM contract)
 """, _WIRE, _SEEN, _CONTRACT_CTE)
+_PATHS = [
+    # path, type when sent, rows that send it
+    ("id", "string", "true"), ("customer", "object", "true"), ("customer.plan", "string", "plan IS NOT NULL"), ("customer.plan", "null", "plan IS NULL"),
+    ("customer.place", "object", "true"), ("customer.place.country", "string", "run_id % 7 <> 3 AND country IS NOT NULL"),
+    ("customer.place.country", "null", "run_id % 7 <> 3 AND country IS NULL"),
+    ("customer.place.zone", "string", "run_id % 5 = 2 AND event_id % 2 = 0"), ("customer.place.zone", "integer", "NOT (run_id % 5 = 2 AND event_id % 2 = 0)"),
+    ("items", "array", "true"), ("items[]", "object", "event_id % 4 <> 0"), ("items[].sku", "integer", "event_id % 4 <> 0"),
+    ("items[].price", "number", "event_id % 4 <> 0 AND run_id % 3 = 1"), ("items[].price", "integer", "event_id % 4 <> 0 AND run_id % 3 <> 1"),
+    ("items[].gift", "boolean", "event_id % 4 = 3"), ("tags", "array", "true"),
+    ("tags[]", "mixed", "run_id % 11 = 5"), ("tags[]", "string", "run_id % 11 <> 5"),
+]
+_NESTED = [("id", "string", True), ("customer", "object", True), ("customer.plan", "string", False), ("customer.place", "object", True),
+           ("customer.place.country", "string", True), ("customer.place.zone", "integer", False), ("items", "array", True),
+           ("items[]", "object", False), ("items[].sku", "integer", True), ("items[].price", "number", True), ("tags", "array", False),
+           ("tags[]", "string", False)]
+_add("drift_paths", """
+SELECT coalesce(e.run_id, s.run_id) AS run_id, coalesce(e.path, s.path) AS path,
+  CASE WHEN expected IS NULL THEN 'new' WHEN records IS NULL THEN 'missing'
+    WHEN s.kind <> 'null' AND s.kind <> expected AND NOT (s.kind = 'integer' AND expected = 'number') THEN 'type_change' ELSE 'ok' END AS status,
+  coalesce(required, false) AS required, coalesce(expected, '') AS expected, coalesce(s.kind, 'null') AS observed, coalesce(records, 0) AS records
+FROM (SELECT run_id, path, expected, required FROM (SELECT DISTINCT run_id FROM paths), nested) e
+FULL JOIN seen_paths s ON e.run_id = s.run_id AND e.path = s.path
+""", "paths AS (" + "\nUNION ALL ".join(
+    f"SELECT run_id, '{p}' AS path, '{kind}' AS kind, count(*) AS n FROM ce WHERE event_id % 73 <> 0 AND {cond} GROUP BY run_id" for p, kind, cond in _PATHS) + ")",
+     "nested AS (SELECT * FROM (VALUES " + ", ".join(f"('{p}', '{k}', {str(r).lower()})" for p, k, r in _NESTED) + ") t(path, expected, required))", """
+seen_paths AS (
+  SELECT run_id, path, CAST(sum(n) AS BIGINT) AS records,
+    CASE count(DISTINCT kind) FILTER (WHERE kind <> 'null') WHEN 0 THEN 'null' WHEN 1 THEN max(kind) FILTER (WHERE kind <> 'null')
+      ELSE CASE WHEN bool_and(kind IN ('null', 'integer', 'number')) THEN 'number' ELSE 'mixed' END END AS kind
+  FROM paths GROUP BY run_id, path)
+""")
 ORACLES["props_fields"] = """
 SELECT event_type, field, CASE json_type(props, concat('$.', field))
     WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number'
@@ -461,6 +492,10 @@ held AS (
   UNION ALL SELECT event_id, 'data_quality_failure' FROM fl WHERE NOT dq_passed
   UNION ALL SELECT event_id, 'late_arrival' FROM fl WHERE is_late_arrival)
 """
+_add("quarantine_written", """
+SELECT CASE WHEN coalesce(country = 'INVALID' OR NOT dq_passed, false) THEN 'quarantined' ELSE 'clean' END AS side,
+  count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids FROM fl GROUP BY 1
+""")
 _add("quarantine_rules", "SELECT event_id, reason FROM held", _HELD)
 _add("quarantine_table", """
 SELECT reason, '20240131_000000' AS quarantine_ts, 'events' AS source_path, count(*) AS rows,
@@ -612,6 +647,44 @@ sk AS (
   FROM (SELECT *, count(*) FILTER (WHERE NOT failed) OVER (PARTITION BY failure_type ORDER BY run_id) AS island
         FROM oc))
 """
+_TEXT = {"country": "concat('country=', coalesce(country, '(none)'))", "plan": "concat('plan=', coalesce(plan, '(none)'))",
+         "version": "concat('version=', coalesce(CAST(version AS VARCHAR), '(none)'))"}
+_SETS = [["country"], ["plan"], ["version"], ["country", "plan"], ["country", "version"], ["plan", "version"],
+         ["country", "plan", "version"]]
+
+
+def _cells(source: str, depth: int) -> str:
+    """Records and failures of every cell of at most ``depth`` attributes, each set of attributes grouped by itself."""
+    return "\nUNION ALL ".join(
+        f"SELECT run_id, concat_ws(' AND ', {', '.join(_TEXT[a] for a in names)}) AS segment, {len(names)} AS size, "
+        f"count(*) AS total_records, count(*) FILTER (WHERE NOT dq_passed) AS failures FROM {source} GROUP BY run_id, {', '.join(names)}"
+        for names in _SETS if len(names) <= depth)
+
+
+_WHOLE = "whole AS (SELECT run_id, count(*) AS all_records, count(*) FILTER (WHERE NOT dq_passed) AS all_failures FROM fl GROUP BY run_id)"
+_add("failure_cube", f"""
+SELECT run_id, segment, total_records, failures, all_records, all_failures FROM ({_cells("fl", 3)}) JOIN whole USING (run_id)
+WHERE failures > 0 AND failures >= 0.1 * all_failures
+""", _WHOLE)
+
+
+def _best(source: str, place: int) -> str:
+    return f"""
+  SELECT * FROM (
+    SELECT run_id, {place} AS place, segment, total_records, failures,
+      round(failures - total_records * all_failures / all_records, 9) AS excess,
+      row_number() OVER (PARTITION BY run_id ORDER BY round(failures - total_records * all_failures / all_records, 9) DESC, size, segment) AS r
+    FROM ({_cells(source, 2)}) JOIN whole USING (run_id)
+    WHERE failures > 0 AND failures >= 0.1 * all_failures)
+  WHERE r = 1 AND excess > 0"""
+
+
+_INSIDE = " OR ".join("b.segment = concat_ws(' AND ', " + ", ".join(_TEXT[a] for a in names) + ")" for names in _SETS if len(names) <= 2)
+_add("decision_segments", """
+SELECT run_id, place, segment, total_records, failures, excess FROM b1
+UNION ALL SELECT run_id, place, segment, total_records, failures, excess FROM b2
+""", _WHOLE, f"b1 AS ({_best('fl', 1)})", f"""
+rest AS (SELECT fl.* FROM fl JOIN b1 b USING (run_id) WHERE NOT coalesce({_INSIDE}, false))""", f"b2 AS ({_best('rest', 2)})")
 _add("failure_streaks", f"""
 SELECT run_id, failure_type, {_tri('failed')}, streak, sk.failed AND streak >= 3 AS escalate FROM sk
 """, _REPORT, _STREAKS)
@@ -885,6 +958,10 @@ SELECT event_id, CASE WHEN is_late_arrival THEN 'late' ELSE 'table' END AS side
 """)
 _add("stream_windowed_report", f"SELECT {_WINDOW_COLUMNS} FROM wr", _WINDOWS)
 _add("stream_dedup", "SELECT event_id, run_id, id FROM ce")
+_add("stream_sketches", """
+SELECT run_id, count(DISTINCT id) AS exact_ids, count(*) AS records, true AS p50_within, true AS p95_within, true AS ids_within
+FROM fl GROUP BY run_id
+""")
 _add("stream_metrics", """
 SELECT count(*) AS total_records, count(*) FILTER (WHERE is_late_arrival) AS late_records,
   count(*) FILTER (WHERE NOT dq_passed) AS dq_failures, count(*) FILTER (WHERE dq_passed IS NULL) AS dq_unknown,

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eventwarden import policies as P, schemas as S
 from eventwarden.functions import columns as X
 from eventwarden.operators import (
-    alerts as A, decisions as D, drift as DR, effects as EF, enrich as E, incidents as I, quality as Q,
-    quarantine as QU, remap as RM, report as R, responses as RS,
+    alerts as A, decisions as D, drift as DR, drift_paths as DP, effects as EF, enrich as E, incidents as I, quality as Q,
+    quarantine as QU, remap as RM, report as R, responses as RS, segments as SG,
+    sketches as SK,
 )
 from eventwarden.plans import fixture as FX
 from eventwarden.plans.remediation import remediate
@@ -232,6 +233,22 @@ def field_difference(spark, sf):
             .unionByName(new.withColumn("status", F.lit("new"))))
 
 
+# path: type, required
+NESTED_CONTRACT = {
+    "id": ("string", True), "customer": ("object", True), "customer.plan": ("string", False), "customer.place": ("object", True),
+    "customer.place.country": ("string", True), "customer.place.zone": ("integer", False), "items": ("array", True),
+    "items[]": ("object", False), "items[].sku": ("integer", True), "items[].price": ("number", True), "tags": ("array", False),
+    "tags[]": ("string", False),
+}
+
+
+@query
+def drift_paths(spark, sf):
+    """Field paths of nested payloads, inside objects and arrays, against their contract, by run."""
+    seen = DP.observed_paths(FX.nested_events(spark, sf), "raw", ["run_id"])
+    return DP.compare_paths(seen, ["run_id"], NESTED_CONTRACT).withColumn("expected", F.coalesce("expected", F.lit("")))
+
+
 @query
 def props_fields(spark, sf):
     """Observed fields of the events table's own JSON column, by event type."""
@@ -388,6 +405,14 @@ def quarantine_split(spark, sf):
             .unionByName(held.select("event_id", F.lit("quarantined").alias("side"))))
 
 
+@query
+def quarantine_written(spark, sf):
+    """The split written from one tagging of the events, both sides read back."""
+    clean, held = QU.write_split(FX.flagged_events(spark, sf), "country = 'INVALID' OR NOT dq_passed", work_folder(spark, "split"))
+    side = lambda df, name: df.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")).withColumn("side", F.lit(name))
+    return side(clean, "clean").unionByName(side(held, "quarantined"))
+
+
 @query
 def quarantine_rules(spark, sf):
     return QU.quarantine_by_rules(FX.flagged_events(spark, sf), QUARANTINE_RULES).select(
@@ -582,6 +607,24 @@ def decision_matrix(spark, sf):
     return D.decision_matrix(runs, P.DecisionPolicy(localised_share=0.1))
 
 
+ATTRIBUTES = ["country", "plan", "version"]
+
+
+@query
+def failure_cube(spark, sf):
+    """Cells of country, plan and version that hold a tenth of their run's failures, whatever their number of attributes."""
+    cells = SG.iceberg_cube(SG.finest_segments(FX.flagged_events(spark, sf), ["run_id"], ATTRIBUTES), ["run_id"])
+    return cells.select("run_id", SG.cell_text().alias("segment"), "total_records", "failures", "all_records", "all_failures")
+
+
+@query
+def decision_segments(spark, sf):
+    """The segments that explain each run's excess of failures, one after the other."""
+    finest = SG.finest_segments(FX.flagged_events(spark, sf), ["run_id"], ATTRIBUTES)
+    found = SG.explaining_segments(finest, ["run_id"], depth=2, rounds=2)
+    return found.select("run_id", "place", SG.cell_text().alias("segment"), "total_records", "failures", "excess")
+
+
 @query
 def failure_streaks(spark, sf):
     out = D.failure_streaks(D.run_outcomes(FX.staged_rates(spark, sf)), ["failure_type"])
@@ -825,6 +868,14 @@ def stream_dedup(spark, sf):
     return side("table").unionAll(side("late"))
 
 
+@query
+def stream_sketches(spark, sf):
+    """Distinct customers and delay quantiles of each run, merged from micro-batches, against the exact figures."""
+    _, paths = _deliveries(spark, sf, "stream_sketches", sketches=True)
+    merged = SK.merge_sketches(spark.read.parquet(paths["sketches"]), ["run_id"])
+    return SK.within_error(SK.estimates(merged), FX.flagged_events(spark, sf), ["run_id"])
+
+
 @query
 def stream_metrics(spark, sf):
     """The report a stream collects on the side, totalled over its micro-batches."""

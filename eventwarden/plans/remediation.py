@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventwarden import policies as P
 from eventwarden.operators import (
@@ -12,6 +12,7 @@ from eventwarden.sinks import tables as K
 
 TABLES = ["run_reports", "dq_results", "decisions", "decision_log", "action_audit",
           "incident_events", "alerts"]
+CHANGE_DATE = "change_date"
 #: What the effects of the decisions are worked out from, and what they leave.
 EFFECT_TABLES = ["segment_shares", "drift_fields", "decision_matrix", "action_intents", "action_ledger", "remap_history", "quarantine"]
 
@@ -32,8 +33,8 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     spark = flagged.sparkSession
     paths = {name: f"{out.rstrip('/')}/{name}" for name in [*TABLES, *EFFECT_TABLES]}
 
-    def store(df: DataFrame, name: str) -> DataFrame:
-        K.write_batch(df, batch_id, paths[name])
+    def store(df: DataFrame, name: str, partitions: list[str] | None = None) -> DataFrame:
+        K.write_batch(df, batch_id, paths[name], partitions=partitions)
         return spark.read.schema(df.schema).parquet(f"{paths[name]}/batch_id={batch_id}")
 
     reports = store(R.run_report(flagged, error=error), "run_reports")
@@ -41,8 +42,9 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     results = store(Q.run_suite(flagged, P.CUSTOMER_SUITE, as_of, "run_id"), "dq_results")
     opened = I.log_incidents(I.raise_from_runs(rates, policy), ["run_id"])
     escalated = I.escalate_incidents(opened.filter(I.needs_escalation()), F.col("created_at"))
-    changes = store(opened.unionByName(escalated), "incident_events")
-    history = spark.read.parquet(paths["incident_events"]).select(*changes.columns)
+    logged = opened.unionByName(escalated)
+    store(logged.withColumn(CHANGE_DATE, F.date_format("change_at", "yyyy-MM-dd")), "incident_events", [CHANGE_DATE])
+    history = recent_changes(spark, paths["incident_events"], logged.schema, rates)
     context = D.decision_context(reports, Q.suite_stats(results, "run_id"), I.fold_incidents(history))
     decisions = store(D.gate_actions(D.rule_decisions(context, policy), policy), "decisions")
     store(D.decision_log(decisions), "decision_log")
@@ -69,6 +71,19 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     return {name: paths[name] for name in TABLES}
 
 
+def recent_changes(spark: SparkSession, path: str, schema: T.StructType, rates: DataFrame) -> DataFrame:
+    """The changes that the runs' contexts can depend on, of all calls.
+
+    A context counts incidents opened within the look-back of a run's end, and an incident's changes are never
+    from before it was opened.  So the log is read from the first such day on, by its partitions, however old it is.
+    """
+    begin = rates.agg(F.min("end_time") - F.expr(f"INTERVAL {P.INCIDENT_LOOKBACK_DAYS} DAY")).first()[0]
+    dated = T.StructType([*schema.fields, T.StructField(CHANGE_DATE, T.StringType())])
+    changes = spark.read.schema(dated).parquet(path)
+    since = F.date_format(F.lit(begin).cast("timestamp"), "yyyy-MM-dd")
+    return changes.filter(F.col(CHANGE_DATE) >= since).select(*schema.fieldNames())
+
+
 def _recent(spark: SparkSession, path: str, rates: DataFrame, policy: P.DecisionPolicy) -> DataFrame:
     """The runs of this call and those of other calls in the days before, once each: a streak may have begun there."""
     begin = rates.agg(F.min("end_time")).first()[0]

@@ -19,11 +19,20 @@ def write_curated(df: DataFrame, path: str, partitions: list[str] | None = None,
     still splits a hot value over several tasks.
     """
     parts = partitions or CURATED_PARTITIONS
-    normalised = df.withColumns({p: F.nullif(F.col(p).cast("string"), F.lit("")) for p in parts})
-    (normalised.hint("rebalance", *[F.col(p) for p in parts])
+    (_normalised(df, parts).hint("rebalance", *[F.col(p) for p in parts])
      .write.mode(mode).partitionBy(*parts).parquet(path))
 
 
+def _normalised(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Empty partition values as null: both would be read back as null."""
+    return df.withColumns({p: F.nullif(F.col(p).cast("string"), F.lit("")) for p in partitions})
+
+
+def write_curated_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """A micro-batch of the curated table: a file or a few for each country and plan, replaced by a replay."""
+    write_batch(_normalised(batch, CURATED_PARTITIONS), batch_id, path, partitions=CURATED_PARTITIONS)
+
+
 def append_rebalanced(df: DataFrame, path: str, partitions: list[str]) -> None:
     """Append Parquet by partition columns, few files for each value, a large value over several."""
     (df.hint("rebalance", *[F.col(p) for p in partitions])
@@ -62,9 +71,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
-    """One micro-batch under its own folder; a replay overwrites just that folder."""
-    batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+def write_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet", partitions: list[str] | None = None) -> None:
+    """One micro-batch under its own folder; a replay overwrites just that folder.
+
+    With ``partitions`` a value's rows are gathered into few files before they are written.
+    """
+    if partitions:
+        batch = batch.hint("rebalance", *[F.col(p) for p in partitions])
+    writer = batch.write.mode("overwrite").format(fmt)
+    (writer.partitionBy(*partitions) if partitions else writer).save(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def warehouse_options(options: dict[str, str], required: list[str] | None = None) -> dict[str, str]:

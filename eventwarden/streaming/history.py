@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventwarden import policies as P
-from eventwarden.operators import report as R
+from eventwarden.operators import report as R, sketches as SK
 from eventwarden.schemas import LONG, TS, struct
 from eventwarden.sinks import tables as K
 
@@ -141,9 +141,11 @@ class WindowHistory:
 
 
 def complete_outputs(history: KeyHistory | None = None, windows: WindowHistory | None = None, table: str | None = None,
-                     late: str | None = None) -> Callable[[DataFrame, int], None]:
+                     late: str | None = None, sketches: str | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` handler: first deliveries to ``table``, those behind the watermark to ``late``, windows corrected.
 
+    ``sketches``: also the runs' distinct counts and quantiles, as sketches to be merged over the batches.
+
     Without a history all rows are written; without ``late`` all rows go to ``table``.  Windows count first
     deliveries.  State is stored last, so a batch that fails on the way is repeated as a whole.
     """
@@ -160,6 +162,8 @@ def complete_outputs(history: KeyHistory | None = None, windows: WindowHistory |
                     K.write_batch(first.filter(~behind), batch_id, table)
                     if late is not None:
                         K.write_batch(first.filter(behind), batch_id, late)
+                if sketches is not None:
+                    K.write_batch(SK.run_sketches(first, ["run_id"]), batch_id, sketches)
                 if windows is not None:
                     windows.add(first, batch_id)
                 if history is not None:

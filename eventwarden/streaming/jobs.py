@@ -35,11 +35,15 @@ def _trigger(writer, every: str | None):
 
 def start_curated(flagged: DataFrame, path: str, checkpoint: str,
                   every: str | None = P.CURATED_TRIGGER) -> StreamingQuery:
-    """Append to Parquet by country and plan; ``every=None`` drains what is there and stops."""
-    writer = (flagged.writeStream.format("parquet").outputMode("append")
-              .option("path", path).option("checkpointLocation", checkpoint)
-              .partitionBy(*K.CURATED_PARTITIONS))
-    return _trigger(writer, every).start()
+    """Append to Parquet by country and plan; ``every=None`` drains what is there and stops.
+
+    Each micro-batch is a folder of its own, rebalanced before it is written: the file sink would leave a file for each
+    country, plan and task at every trigger.  ``sinks.maintenance.fold_batches`` merges the folders.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        K.write_curated_batch(batch, batch_id, path)
+
+    return start_batches(flagged, handle, checkpoint, every)
 
 
 def start_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
@@ -161,16 +165,38 @@ def run_bounded(query: StreamingQuery, seconds: float) -> bool:
         query.stop()
 
 
+def _added(a: dict, b: dict) -> dict:
+    """The measures of two micro-batches as those of one."""
+    out = {}
+    for name, x in a.items():
+        y = b[name]
+        both = [v for v in (x, y) if v is not None]
+        if isinstance(x, bool) or isinstance(y, bool):
+            out[name] = bool(x) or bool(y)
+        elif name == "start_time":
+            out[name] = min(both, default=None)
+        elif name == "end_time":
+            out[name] = max(both, default=None)
+        elif isinstance(x, int):
+            out[name] = x + y
+        else:
+            out[name] = x if x is not None else y
+    return out
+
+
 class RunMetrics(StreamingQueryListener):
     """Per-batch measures and failures of the queries of a session, or of one of them.
 
-    Register with ``spark.streams.addListener``; holds one small record per
-    micro-batch until :meth:`reports` turns them into run-report rows.  After
-    :meth:`only`, the other queries of the session do not count.
+    Register with ``spark.streams.addListener``; holds one small record for each
+    of the last ``keep`` micro-batches until :meth:`reports` turns them into
+    run-report rows.  Earlier ones are added up into one record per query run, so
+    a stream may live for any time.  After :meth:`only`, the other queries of the
+    session do not count.
     """
 
-    def __init__(self, name: str = REPORT_METRICS) -> None:
+    def __init__(self, name: str = REPORT_METRICS, keep: int = 1_000) -> None:
         self.name = name
+        self.keep = keep
         self.run: str | None = None
         self._batches: list[tuple[str, int, dict]] = []
         self._ends: list[tuple[str, bool]] = []
@@ -201,6 +227,18 @@ class RunMetrics(StreamingQueryListener):
         row = event.progress.observedMetrics.get(self.name)
         if row is not None and row["total_records"]:
             self._batches.append((str(event.progress.runId), event.progress.batchId, row.asDict()))
+            self._merge_old()
+
+    def _merge_old(self) -> None:
+        """Add the oldest record to the one before it of the same query run, once there are too many."""
+        if len(self._batches) <= self.keep + len({run for run, _, _ in self._batches}):
+            return
+        for i, (run, batch_id, m) in enumerate(self._batches):
+            before = [j for j in range(i) if self._batches[j][0] == run]
+            if before:
+                self._batches[before[0]] = (run, batch_id, _added(self._batches[before[0]][2], m))
+                del self._batches[i]
+                return
 
     def onQueryIdle(self, event) -> None:
         pass

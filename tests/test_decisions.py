@@ -310,6 +310,9 @@ def test_action_audit_of_responses(spark):
     ('{ {"open {"tool": "a"} } {don\'t} {"tool": "b"}', [("b", "{}")]),
     ('{never "closed\n{"tool":\n "a"}', [("a", "{}")]),
     ('}} {"tool": "a"} {', [("a", "{}")]),
+    ('{"tool":' + " " * 700 + '"a } b", "params": {"x":' + "\n" * 300 + '1}}', [("a } b", '{"x":1}')]),
+    ('{' + "\t" * 900 + '"tool": "a"}', [("a", "{}")]),
+    ("no object at all", []),
 ])
 def test_nested_actions(spark, text, found):
     got = RS.response_actions(responses(spark, text), ["k"]).orderBy("action_no").collect()

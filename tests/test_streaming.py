@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -194,3 +195,33 @@ def test_remediation_in_parts_and_repeated(spark, sf_dir, tmp_path):
         a, b = (spark.read.parquet(p[name]).drop("batch_id") for p in (whole, parts))
         assert rows(a.select([F.to_json(F.struct(*a.columns)).alias("r")])) == rows(
             b.select(*a.columns).select([F.to_json(F.struct(*a.columns)).alias("r")])), name
+
+
+def test_metrics_of_a_long_stream_are_bounded(spark):
+    metrics = J.RunMetrics(keep=3)
+
+    def progress(run, batch_id, **measures):
+        row = type("Row", (dict,), {"asDict": lambda self: dict(self)})(measures)
+        metrics.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(observedMetrics={J.REPORT_METRICS: row}, runId=run, batchId=batch_id)))
+
+    base = dict(late_records=1, dq_failures=2, dq_unknown=0, schema_drift_count=1, processing_errors=0, watermark_delay="15 minutes")
+    for i in range(50):
+        progress("a" if i % 5 else "b", i, total_records=i + 1, schema_drift_detected=i == 7, start_time=datetime(2024, 1, 1) + timedelta(minutes=i),
+                 end_time=datetime(2024, 1, 2) + timedelta(minutes=i), **base)
+    assert len(metrics._batches) <= 3 + 2
+    got = metrics.reports(spark).agg(F.sum("total_records"), F.sum("late_records"), F.sum("dq_failures"), F.min("start_time"), F.max("end_time"),
+                                     F.bool_or("schema_drift_detected")).first()
+    assert tuple(got) == (sum(range(1, 51)), 50, 100, datetime(2024, 1, 1), datetime(2024, 1, 2) + timedelta(minutes=49), True)
+    assert {run for run, _, _ in metrics._batches} == {"a", "b"}
+
+
+def test_a_chain_reads_no_incident_older_than_its_look_back(spark, sf_dir, tmp_path):
+    from eventwarden.plans.remediation import CHANGE_DATE
+    flagged = FX.flagged_events(spark, sf_dir)
+    run = lambda batch_id: remediate(flagged, str(tmp_path), F.col("processing_timestamp"), F.expr(FX.DECODE_FAILED), batch_id=batch_id)
+    run(0)
+    old = tmp_path / "incident_events" / "batch_id=0" / f"{CHANGE_DATE}=2020-01-01"
+    old.mkdir()
+    (old / "part-0.parquet").write_text("no parquet: whoever reads this fails")
+    run(1)
+    assert spark.read.parquet(str(tmp_path / "decisions" / "batch_id=1")).count() == 2
