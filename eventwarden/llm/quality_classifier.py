@@ -41,7 +41,7 @@ _STOP = frozenset(b"the of and to in is that for it was with on be der die und d
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
 _UPPER = bytes(range(65, 91))
 _SIGNS = b"#*$%&|<>"
-MEASURES = ["words", "signs", "upper", "exclaimed", "repeated", "variety", "stop", "length"]
+MEASURES = ["words", "signs", "upper", "exclaimed", "repeated", "variety", "stop", "length", "marked"]
 
 
 def measures(text: bytes) -> list[float]:
@@ -53,14 +53,16 @@ def measures(text: bytes) -> list[float]:
     letters = len(text) - len(text.translate(None, _LETTERS))
     repeats = sum(map(bytes.__eq__, words, words[1:]))
     different = set(words)
+    marked = sum(len(w) != len(w.translate(None, _SIGNS)) for w in words) if signs else 0
     variety = np.log(max(len(different), 1)) / np.log(n) if n > 1 else 1.0
     return [n, signs / max(n, 1), upper / max(letters, 1), text.count(b"!") / max(n, 1), repeats / max(n, 1), variety,
-            len(different & _STOP), letters / max(n, 1)]
+            len(different & _STOP), letters / max(n, 1), marked / max(n, 1)]
 
 
 #: labeller -> vote of a row of measures: 0 bad, 1 abstains, 2 good.
 LABELLERS = {
     "signs": lambda m: 0 if m[1] > 0.1 else 2 if m[1] == 0 and m[0] >= 20 else 1,
+    "marked words": lambda m: 1 if m[0] < 20 else 0 if m[8] > 0.2 else 2 if m[8] < 0.02 else 1,
     "shouting": lambda m: 0 if m[2] > 0.3 else 2 if m[2] < 0.1 and m[0] >= 20 else 1,
     "exclaiming": lambda m: 0 if m[3] > 0.2 else 2 if m[3] < 0.02 and m[0] >= 20 else 1,
     "stutter": lambda m: 0 if m[4] > 0.1 else 2 if m[4] < 0.02 and m[0] >= 20 else 1,
@@ -122,7 +124,7 @@ def _grams(body: np.ndarray) -> np.ndarray:
 
 def _bins(row: list[float]) -> np.ndarray:
     """One bucket per measure, after those of the three-grams; the last one is the bias."""
-    edges = [(10, 20, 60), (0.02, 0.1, 0.5), (0.1, 0.3, 0.6), (0.05, 0.2, 0.5), (0.02, 0.1, 0.3), (0.75, 0.8, 0.85), (1, 2, 4), (2, 3.5, 6.5)]
+    edges = [(10, 20, 60), (0.02, 0.1, 0.5), (0.1, 0.3, 0.6), (0.05, 0.2, 0.5), (0.02, 0.1, 0.3), (0.75, 0.8, 0.85), (1, 2, 4), (2, 3.5, 6.5), (0.02, 0.1, 0.2)]
     return np.array([BUCKETS + 4 * i + sum(x >= e for e in es) for i, (x, es) in enumerate(zip(row, edges))] + [BUCKETS + 4 * len(edges)])
 
 

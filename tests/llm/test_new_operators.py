@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventwarden.llm import hard_negatives, lexical_search, packed_ids, queries
+from eventwarden.llm import hard_negatives, lexical_search, packed_ids, quality_classifier, queries
 from .test_operators import SCHEMA, SF, odd_rows, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -319,3 +319,86 @@ def test_the_pipeline_on_empty_tables(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+# -- 3: the quality classifier against plain loops ------------------------------------------
+
+def plain_measures(text):
+    words, signs = text.split(), b"#*$%&|<>"
+    n, size = max(len(words), 1), max(len(text), 1)
+    letters = sum(65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in text)
+    stop = len(set(words) & quality_classifier._STOP)
+    return [len(words), sum(c in signs for c in text) / n, sum(65 <= c <= 90 for c in text) / max(letters, 1), text.count(b"!") / n,
+            sum(a == b for a, b in zip(words, words[1:])) / n,
+            math.log(max(len(set(words)), 1)) / math.log(len(words)) if len(words) > 1 else 1.0, stop, letters / n,
+            sum(any(c in signs for c in w) for w in words) / n]
+
+
+def plain_posteriors(counts):
+    """Expectation-maximisation over votes per pattern, one number at a time."""
+    k, c = len(quality_classifier.LABELLERS), quality_classifier
+    split = lambda p: [p // 3 ** i % 3 for i in range(k - 1, -1, -1)]
+    total, start = sum(counts.values()), (c.START_BAD, 1 - c.START_RIGHT)
+    rate, good = [[start[0]] * k, [start[1]] * k], c.START_GOOD
+    for _ in range(c.ROUNDS):
+        post = {}
+        for p in counts:
+            odds = [math.log(1 - good), math.log(good)]
+            for i, v in enumerate(split(p)):
+                for side in (0, 1):
+                    odds[side] += 0 if v == 1 else math.log(rate[side][i] if v == 0 else 1 - rate[side][i])
+            post[p] = 1 / (1 + math.exp(odds[0] - odds[1]))
+        share = lambda side, p: (post[p] if side else 1 - post[p]) * counts[p]
+        good = min(max(sum(share(1, p) for p in counts) / total, 0.5), 0.98)
+        rate = [[(sum(share(s, p) for p in counts if split(p)[i] == 0) + c.ANCHOR * total * start[s])
+                 / (sum(share(s, p) for p in counts if split(p)[i] != 1) + c.ANCHOR * total) for i in range(k)] for s in (0, 1)]
+    return post
+
+
+def plain_training(texts, labels):
+    c, weights = quality_classifier, Counter()
+    rng, data = np.random.default_rng(5), []
+    for t in texts:
+        grams = Counter(((t[i] << 16 | t[i + 1] << 8 | t[i + 2]) * 2654435761 % 2 ** 32) >> 18 for i in range(len(t) - 2))
+        n = max(sum(grams.values()), 1)
+        data.append({**{g: c.GRAM_SCALE * m / n for g, m in grams.items()}, **{int(b): 1.0 for b in c._bins(plain_measures(t))}})
+    score = lambda x: 1 / (1 + math.exp(-sum(weights[j] * v for j, v in x.items())))
+    for epoch in range(c.EPOCHS):
+        for i in rng.permutation(len(data)):
+            step = c.RATE * (1 - epoch / c.EPOCHS) * (score(data[i]) - labels[i])
+            for j, v in data[i].items():
+                weights[j] -= step * v
+    return [score(x) for x in data]
+
+
+def test_classifier_is_that_of_plain_loops(spark):
+    docs = [r for r in table("documents")][:80] + [{"doc_id": 1000 + i, "text": t} for i, t in enumerate([None, "", "a b", "#$% " * 40])]
+    texts = sorted(((r["doc_id"], (r["text"] or "").encode()) for r in docs))
+    frame = spark.createDataFrame([(r["doc_id"], r["text"]) for r in docs], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_classifier.classify(frame).collect()}
+    patterns = {d: quality_classifier.pattern(plain_measures(t)) for d, t in texts}
+    post = plain_posteriors(Counter(patterns.values()))
+    assert all(abs(got[d].weak_label - post[p]) < 1e-9 for d, p in patterns.items())
+    placed = frame.select("doc_id", F.xxhash64(F.coalesce("text", F.lit("")), "doc_id").alias("place")).orderBy("place").collect()
+    order = [r.doc_id for r in placed]
+    by_id = dict(texts)
+    scores = plain_training([by_id[d] for d in order], [post[patterns[d]] for d in order])
+    for d, s in zip(order, scores):
+        assert abs(got[d].score - s) < 1e-6 and got[d].kept == (got[d].score >= quality_classifier.KEEP_FROM)
+
+
+# -- what goes through the driver or to all tasks --------------------------------------------
+
+# file: (broadcasts, collects), each with its bound beside it in the code or in the README
+SENT = {
+    "components.py": (0, 0), "decontaminate.py": (2, 3), "language.py": (1, 1), "lexical_search.py": (2, 0), "licenses.py": (1, 1),
+    "packed_ids.py": (0, 1), "pieces.py": (1, 0), "pii.py": (1, 1), "quality_classifier.py": (1, 2), "quality_rules.py": (1, 0),
+}
+
+
+def test_broadcasts_and_collects_are_the_bounded_ones():
+    import pathlib
+    for path in pathlib.Path(queries.__file__).parent.glob("*.py"):
+        text = path.read_text(encoding="utf-8")
+        assert (text.count("broadcast("), text.count(".collect()")) == SENT.get(path.name, (0, 0)), path.name
+        assert not any(word in text for word in ("localCheckpoint", "crossJoin", ".rdd", "toPandas"))
