@@ -483,6 +483,16 @@ SELECT (SELECT count(DISTINCT run_id) FROM cmp WHERE status = 'new') AS version,
 
 # -- quarantine, retention --------------------------------------------------------------------
 
+_RULES = [("customer_data_quality", i, p) for i, p in enumerate([0, 1, 2, 3, 4, 5, 6, 7, 8, 10])] + [("data_freshness", 0, 11)]
+_add("declared_rules", f"""
+SELECT rule_group, run_id, r.position, CASE WHEN res.position = 10 THEN 'expect_column_pair_values_A_to_be_greater_than_B'
+    ELSE expectation_type END AS expectation_type, column_name, success,
+  CASE WHEN judged THEN element_count ELSE 0 END AS element_count, missing_count, unexpected_count
+FROM res JOIN (VALUES {", ".join(f"('{g}', {i}, {p})" for g, i, p in _RULES)}) r(rule_group, position, checked) ON res.position = checked
+UNION ALL
+SELECT 'expectations', -1, position, expectation_type, column_name, success, element_count, missing_count, unexpected_count
+FROM ({ORACLES["order_amounts"]})
+""", _COPIES, _RESULTS)
 _add("quarantine_split", """
 SELECT event_id, CASE WHEN country = 'INVALID' THEN 'quarantined' ELSE 'clean' END AS side FROM fl
 """)

@@ -370,6 +370,20 @@ def order_amounts(spark, sf):
     return _results(Q.run_suite(orders, P.ORDER_SUITE, as_of(), "batch"), "batch")
 
 
+@query
+def declared_rules(spark, sf):
+    """Every declared rule group over the table it is about: orders as one batch, customer events by run."""
+    groups = DOC.declared_rules()
+    events, orders = FX.flagged_events(spark, sf), _orders(spark, sf).withColumn("run_id", F.lit(-1).cast("bigint"))
+    out = None
+    for group, rules in groups.items():
+        table, at = (orders, as_of()) if group == "expectations" else (events, F.col(CLOCK))
+        part = _results(Q.run_suite(table, rules, at, "run_id")).withColumn("rule_group", F.lit(group))
+        out = part if out is None else out.unionByName(part)
+    return out.select("rule_group", "run_id", "position", "expectation_type", "column_name", "success", "element_count",
+                      "missing_count", "unexpected_count")
+
+
 def _remap_history(spark: SparkSession, sf: str) -> DataFrame:
     """Every run that sees a new field asks for it to be added with the type it had."""
     fields = DR.compare_fields(_raw_text(spark, sf), "raw", ["run_id"])

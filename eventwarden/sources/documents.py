@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -83,6 +85,20 @@ def rules_from_yaml(text: str) -> dict[str, list[Expectation]]:
     return out
 
 
+#: The declared rules that ship with the package.
+DECLARED_RULES = pathlib.Path(__file__).parent.parent / "rules.yml"
+#: Rules name the wire's epoch columns; on the curated table the same values are times.
+CURATED_NAMES = {"signup_ts": "signup_timestamp", "event_ts": "event_timestamp"}
+
+
+def declared_rules(names: dict[str, str] | None = None) -> dict[str, list[Expectation]]:
+    """The shipped rule groups, their columns renamed by ``names``."""
+    renamed = CURATED_NAMES if names is None else names
+    columns = ("column", "column_A", "column_B")
+    return {group: [Expectation(e.type, {k: renamed.get(v, v) if k in columns else v for k, v in e.kwargs.items()}) for e in rules]
+            for group, rules in rules_from_yaml(DECLARED_RULES.read_text(encoding="utf-8")).items()}
+
+
 def load_validation(spark: SparkSession, path: str) -> DataFrame:
     """File count, bytes and newest file of a Parquet output, with a status.
 

@@ -43,13 +43,21 @@ def decode(raw: DataFrame, codec: str = "json", schema: T.StructType = CUSTOMER_
 
 
 def decode_split(raw: DataFrame, schema: T.StructType = CUSTOMER_EVENT,
-                 keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                 keep: list[str] | None = None, codec: str = "json") -> tuple[DataFrame, DataFrame]:
     """(readable, corrupt): undecodable records go to a side output.
 
     Each side is picked inside the expression that parses the payload; a filter
     on the parsed column would be pushed down and parse every payload twice.
+    A binary record that cannot be read has no fields at all: its side output
+    carries the bytes in base 64.
     """
-    parsed = F.array(_payload("json", schema))
+    if codec == "avro":
+        record, body = _payload(codec, schema), F.col("value")
+        good = F.filter(F.array(record), lambda d: d.isNotNull())
+        lost = F.filter(F.array(F.struct(record.isNull().alias("unread"), F.base64(body).alias(CORRUPT))),
+                        lambda d: d["unread"] & d[CORRUPT].isNotNull())
+        return _flatten(raw, F.explode(good), keep), _flatten(raw, F.explode(lost), keep).drop("unread")
+    parsed = F.array(_payload(codec, schema))
     good = F.filter(parsed, lambda d: d[CORRUPT].isNull())
     bad = F.filter(parsed, lambda d: d[CORRUPT].isNotNull())
     return (_flatten(raw, F.explode(good), keep).drop(CORRUPT), _flatten(raw, F.explode(bad), keep))

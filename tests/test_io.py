@@ -172,3 +172,24 @@ def test_documents_without_a_run(spark, tmp_path):
     report = DOC.run_reports(spark, str(tmp_path / "report.json"), run_id=7)
     quality = DOC.quality_documents(spark, str(tmp_path / "quality.json"), run_id=7)
     assert [r.total_records for r in report.join(quality, "run_id").collect()] == [5]
+
+
+def test_binary_records_that_cannot_be_read_go_aside(spark, monkeypatch):
+    """The connector's decoder gives null for what it cannot read; its place is taken by JSON here."""
+    record = "CASE WHEN value IS NOT NULL AND cast(value AS string) LIKE '{%' THEN from_json(cast(value AS string), 'id STRING, version INT') END"
+    monkeypatch.setattr(SRC, "_payload", lambda codec, schema: F.expr(record))
+    raw = envelope(spark, '{"id": "a", "version": 1}', "no record", '{"id": "b"}', "")
+    raw = raw.unionByName(raw.limit(1).withColumn("value", F.lit(None).cast("binary")))
+    good, bad = SRC.decode_split(raw, codec="avro")
+    assert sorted(r.id for r in good.collect()) == ["a", "b"]
+    assert sorted(r[SRC.CORRUPT] for r in bad.collect()) == ["", "bm8gcmVjb3Jk"]  # a record without a body is on neither side
+
+
+def test_declared_rules_name_the_columns_of_the_curated_table():
+    from eventwarden.sources import documents as DOC
+    groups = DOC.declared_rules()
+    assert {g: len(r) for g, r in groups.items()} == {"expectations": 1, "customer_data_quality": 10, "data_freshness": 1}
+    assert groups["data_freshness"][0].kwargs["column"] == "event_timestamp"
+    pair = groups["customer_data_quality"][-1].kwargs
+    assert (pair["column_A"], pair["column_B"], pair["or_equal"]) == ("event_timestamp", "signup_timestamp", True)
+    assert DOC.declared_rules({})["data_freshness"][0].kwargs["column"] == "event_ts"
