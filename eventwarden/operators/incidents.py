@@ -92,6 +92,30 @@ def resolve_incidents(incidents: DataFrame, at: Column, seq: int = 2,
                             values if notes is None else {**values, "resolution_notes": notes})
 
 
+def escalation(at: Column, notes: Column | None = None) -> dict[str, Column]:
+    """What an escalation sets."""
+    return {"escalated": F.lit(True), "escalated_at": at, **({} if notes is None else {"resolution_notes": notes})}
+
+
+def resolution(at: Column, notes: Column | None = None) -> dict[str, Column]:
+    """What a resolution sets."""
+    return {"status": F.lit("resolved"), "resolved_at": at, **({} if notes is None else {"resolution_notes": notes})}
+
+
+def change_log(opened: DataFrame, follow: list[tuple[Column, Column, int, dict[str, Column]]]) -> DataFrame:
+    """Openings and the changes that follow from them, in one pass over the openings.
+
+    ``follow`` lists (when, at, sequence number, values to set); a change whose condition is unknown does not happen.
+    """
+    def change(at: Column, seq: int, values: dict[str, Column]) -> Column:
+        stamped = {"change_at": at, "change_seq": F.lit(seq), "id": F.col("id"), "updated_at": at, **values}
+        return F.struct(*[stamped.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INCIDENT_CHANGE.fields])
+
+    own = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INCIDENT_CHANGE.fields])
+    rows = F.array(own, *[F.when(when, change(at, seq, values)) for when, at, seq, values in follow])
+    return opened.select(F.explode(rows).alias("c")).filter(F.col("c").isNotNull()).select("c.*")
+
+
 def _changes(df: DataFrame, at: str, seq: int, values: dict[str, Column]) -> DataFrame:
     stamped = {"change_at": F.col(at), "change_seq": F.lit(seq), "updated_at": F.col(at), **values}
     return df.select(*[

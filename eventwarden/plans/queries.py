@@ -491,16 +491,13 @@ def _opened(rates: DataFrame) -> DataFrame:
 
 def _changes(rates: DataFrame) -> DataFrame:
     """The change log: opened, some escalated, some re-rated, some resolved."""
-    opened = _opened(rates)
     later = lambda minutes: F.col("created_at") + F.expr(f"INTERVAL '{minutes}' MINUTE")
-    escalated = I.escalate_incidents(opened.filter(I.needs_escalation()), later(10), 1,
-                                     F.lit("needs attention"))
-    rerated = I.update_incidents(opened.filter("incident_type = 'data_quality'"), later(60), 2,
-                                 {"severity": F.lit("critical")})
-    resolved = I.resolve_incidents(
-        opened.filter("incident_type IN ('late_arrivals', 'pipeline_failure')"), later(120), 3,
-        F.lit("fixed"))
-    return opened.unionByName(escalated).unionByName(rerated).unionByName(resolved)
+    kind = F.col("incident_type")
+    return I.change_log(_opened(rates), [
+        (I.needs_escalation(), later(10), 1, I.escalation(later(10), F.lit("needs attention"))),
+        (kind == "data_quality", later(60), 2, {"severity": F.lit("critical")}),
+        (kind.isin("late_arrivals", "pipeline_failure"), later(120), 3, I.resolution(later(120), F.lit("fixed"))),
+    ])
 
 
 def _state(rates: DataFrame) -> DataFrame:

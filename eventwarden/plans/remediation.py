@@ -41,8 +41,7 @@ def remediate(flagged: DataFrame, out: str, as_of: Column, error: Column | None
     rates = R.run_rates(reports, policy)
     results = store(Q.run_suite(flagged, P.CUSTOMER_SUITE, as_of, "run_id"), "dq_results")
     opened = I.log_incidents(I.raise_from_runs(rates, policy), ["run_id"])
-    escalated = I.escalate_incidents(opened.filter(I.needs_escalation()), F.col("created_at"))
-    logged = opened.unionByName(escalated)
+    logged = I.change_log(opened, [(I.needs_escalation(), F.col("created_at"), 1, I.escalation(F.col("created_at")))])
     store(logged.withColumn(CHANGE_DATE, F.date_format("change_at", "yyyy-MM-dd")), "incident_events", [CHANGE_DATE])
     history = recent_changes(spark, paths["incident_events"], logged.schema, rates)
     context = D.decision_context(reports, Q.suite_stats(results, "run_id"), I.fold_incidents(history))

@@ -323,3 +323,26 @@ def test_long_response(spark):
     text = "DECISION:\n" + "word { " * 50_000 + "\nCONFIDENCE:\n1"
     r = RS.response_decisions(responses(spark, text), ["k"]).first()
     assert r.confidence == 1.0 and len(r.decision) > 300_000
+
+
+def test_a_change_log_is_that_of_the_single_changes(spark):
+    opened = I.log_incidents(spark.createDataFrame(
+        [(i, datetime(2024, 1, 1 + i), kind, "s", None, severity) for i, (kind, severity) in enumerate(
+            [("a", "high"), ("b", "low"), ("a", None), ("b", "CRITICAL")])],
+        "run_id long, at timestamp, incident_type string, summary string, context string, severity string"), ["run_id"])
+    at = F.col("created_at")
+    got = I.change_log(opened, [(I.needs_escalation(), at, 1, I.escalation(at, F.lit("n"))),
+                                (F.col("incident_type") == "a", at, 2, I.resolution(at)), (F.lit(None).cast("boolean"), at, 3, {})])
+    want = (opened.unionByName(I.escalate_incidents(opened.filter(I.needs_escalation()), at, 1, F.lit("n")))
+            .unionByName(I.resolve_incidents(opened.filter("incident_type = 'a'"), at, 2)))
+    assert got.schema == want.schema or [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 8
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+
+
+def test_context_reads_its_inputs_a_few_times(spark, sf_dir):
+    """Events for the suite's two aggregates, each with its dimension, and run-level tables: no more scans than that."""
+    from eventwarden.plans import queries
+    plan = queries.QUERIES["decision_context"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 7
+    assert queries.QUERIES["incident_state"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
