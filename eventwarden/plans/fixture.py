@@ -72,9 +72,8 @@ def delivered_files(spark: SparkSession, sf_dir: str, folder: str, parts: int =
     twice = once.withColumn("slot", F.explode(F.array(slot(0), slot(1))))
     hot = (once.filter("event_id = 0").withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))))
            .withColumn("slot", F.pmod("slot", F.lit(parts)).cast("bigint")))
-    for part in range(parts):
-        (twice.unionByName(hot).filter(F.col("slot") == part).drop("slot")
-         .repartition(2).write.mode("append").parquet(folder))
+    (twice.unionByName(hot).repartition(2 * parts, F.xxhash64("event_id", "slot")).drop("slot")
+     .write.mode("append").parquet(folder))
     return spark.readStream.schema(once.schema).option("maxFilesPerTrigger", 2).parquet(folder)
 
 

@@ -47,6 +47,7 @@ class KeyHistory:
                  pages: int = PAGES) -> None:
         """``keys``: column names and their SQL types; ``at``: the column of the event time."""
         self.spark, self.names, self.at, self.pages = spark, list(keys), at, pages
+        self._tested: DataFrame | None = None
         self.key_path, self.page_path = f"{path.rstrip('/')}/keys", f"{path.rstrip('/')}/pages"
         kinds = ", ".join(f"`{n}` {kind}" for n, kind in keys.items())
         self.key_schema = f"{kinds}, batch_id bigint, day string"
@@ -63,10 +64,10 @@ class KeyHistory:
             "_bits": F.array(*[F.pmod(hashed(i + 1), F.lit(PAGE_BITS)) for i in range(HASHES)]),
         })
 
-    def _pages_before(self, batch_id: int, touched: DataFrame) -> DataFrame:
+    def _pages_before(self, batch_id: int, touched: DataFrame, days: list[str]) -> DataFrame:
         """The bitmaps of the touched pages, one row each, as of before the batch."""
         stored = self.spark.read.schema(self.page_schema).parquet(self.page_path)
-        stored = stored.filter((F.col("batch_id") < batch_id) & F.col("day").isin(_values(touched, "_day")))
+        stored = stored.filter((F.col("batch_id") < batch_id) & F.col("day").isin(days))
         wanted = touched.select(F.col("_day").alias("day"), F.col("_page").alias("page")).distinct()
         return (stored.join(wanted, ["day", "page"], "left_semi").groupBy("day", "page")
                 .agg(F.bitmap_or_agg("bits").alias("_known")))
@@ -77,19 +78,29 @@ class KeyHistory:
                 .select(*[F.col(n).alias(f"_k_{n}") for n in self.names], F.col("day").alias("_k_day")))
 
     def unseen(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """One row for each key of the batch that no earlier batch had."""
+        """One row for each key of the batch that no earlier batch had.
+
+        Holds the batch's distinct keys until :meth:`release` or the next batch.
+        """
+        self.release()
         once = self._marked(batch).dropDuplicates(["_day", *self.names])
-        known = self._pages_before(batch_id, once)
+        known = self._pages_before(batch_id, once, _values(batch.select(_day(self.at).alias("_day")), "_day"))
         on = [F.col("_day") == F.col("day"), F.col("_page") == F.col("page")]
         byte = lambda b: F.conv(F.hex(F.substring("_known", (b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         hit = F.forall("_bits", lambda b: F.getbit(byte(b), (b % 8).cast("int")) == 1)
         tested = once.join(known, on, "left").withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("day", "page", "_known")
+        self._tested = tested = tested.persist()
         maybe = tested.filter("_maybe")
         stored = self._keys_before(batch_id, _values(maybe, "_day"))
         same = [F.col("_day") == F.col("_k_day"), *[F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in self.names]]
         new = tested.filter(~F.col("_maybe")).unionByName(maybe.join(stored, same, "left_anti"))
         return new.select(*batch.columns)
 
+    def release(self) -> None:
+        if self._tested is not None:
+            self._tested.unpersist()
+            self._tested = None
+
     def remember(self, unseen: DataFrame, batch_id: int) -> None:
         """Store the keys and their bits.  Stored twice after a failure, they say the same."""
         marked = self._marked(unseen)
@@ -171,6 +182,7 @@ def complete_outputs(history: KeyHistory | None = None, windows: WindowHistory |
             finally:
                 if first is not batch:
                     first.unpersist()
+                    history.release()
         finally:
             batch.unpersist()
     return handle
