@@ -61,20 +61,30 @@ def customer_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                          table(spark, sf_dir, "customer"))
 
 
+#: Events whose deliveries fill two files of each micro-batch.
+FILE_EVENTS = 1_000_000
+
+
 def delivered_files(spark: SparkSession, sf_dir: str, folder: str, parts: int = 5) -> DataFrame:
-    """A stream of deliveries, two files to a micro-batch, at least ``parts`` micro-batches.
+    """A stream of deliveries in ``parts`` micro-batches, two files to each, or more where events are many.
 
     Events arrive out of order, every event twice and event 0 in a third of all rows.
     """
     once = customer_events(spark, sf_dir)
     n = once.count()
+    per_batch = 2 * max(-(-n // FILE_EVENTS), 1)
+    files = per_batch * parts
     slot = lambda salt: F.pmod(F.xxhash64("event_id", F.lit(salt)), F.lit(parts))
-    twice = once.withColumn("slot", F.explode(F.array(slot(0), slot(1))))
-    hot = (once.filter("event_id = 0").withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))))
-           .withColumn("slot", F.pmod("slot", F.lit(parts)).cast("bigint")))
-    (twice.unionByName(hot).repartition(2 * parts, F.xxhash64("event_id", "slot")).drop("slot")
+    twice = once.withColumn("slot", F.explode(F.array(slot(0), slot(1)))).withColumn("copy", F.lit(0).cast("bigint"))
+    # the repeats in blocks, so that no task makes all of them
+    repeats, block = max(n, 1), 100_000
+    hot = (once.filter("event_id = 0").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((repeats - 1) // block).cast("bigint"))))
+           .repartition(files, "block")
+           .withColumn("copy", F.explode(F.sequence(F.col("block") * block + 1, F.least((F.col("block") + 1) * block, F.lit(repeats)))))
+           .withColumn("slot", F.pmod("copy", F.lit(parts)).cast("bigint")).drop("block"))
+    (twice.unionByName(hot).repartition(files, F.xxhash64("event_id", "slot", "copy")).drop("slot", "copy")
      .write.mode("append").parquet(folder))
-    return spark.readStream.schema(once.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    return spark.readStream.schema(once.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
 
 
 def clock():

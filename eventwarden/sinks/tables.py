@@ -71,6 +71,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Drop a folder that may not be there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet", partitions: list[str] | None = None) -> None:
     """One micro-batch under its own folder; a replay overwrites just that folder.
 

@@ -19,6 +19,7 @@ the batch, and repeated state rows change nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -47,8 +48,7 @@ class KeyHistory:
                  pages: int = PAGES) -> None:
         """``keys``: column names and their SQL types; ``at``: the column of the event time."""
         self.spark, self.names, self.at, self.pages = spark, list(keys), at, pages
-        self._tested: DataFrame | None = None
-        self.key_path, self.page_path = f"{path.rstrip('/')}/keys", f"{path.rstrip('/')}/pages"
+        self.key_path, self.page_path, self.held_path = (f"{path.rstrip('/')}/{n}" for n in ("keys", "pages", "held"))
         kinds = ", ".join(f"`{n}` {kind}" for n, kind in keys.items())
         self.key_schema = f"{kinds}, batch_id bigint, day string"
         self.page_schema = "page int, bits binary, batch_id bigint, day string"
@@ -80,26 +80,30 @@ class KeyHistory:
     def unseen(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """One row for each key of the batch that no earlier batch had.
 
-        Holds the batch's distinct keys until :meth:`release` or the next batch.
+        A table that holds until :meth:`release` or the next batch.  The distinct keys are written, not cached: a
+        cached plan keeps every partition of its shuffles, however few the rows, and so does all that reads it.
         """
         self.release()
-        once = self._marked(batch).dropDuplicates(["_day", *self.names])
-        known = self._pages_before(batch_id, once, _values(batch.select(_day(self.at).alias("_day")), "_day"))
+        # the day comes last: rows are sorted by their first key's leading bytes, which days share
+        once = self._held(self._marked(batch).dropDuplicates([*self.names, "_day"]), "once")
+        known = self._pages_before(batch_id, once, _values(once, "_day"))
         on = [F.col("_day") == F.col("day"), F.col("_page") == F.col("page")]
         byte = lambda b: F.conv(F.hex(F.substring("_known", (b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         hit = F.forall("_bits", lambda b: F.getbit(byte(b), (b % 8).cast("int")) == 1)
         tested = once.join(known, on, "left").withColumn("_maybe", F.coalesce(hit, F.lit(False))).drop("day", "page", "_known")
-        self._tested = tested = tested.persist()
         maybe = tested.filter("_maybe")
         stored = self._keys_before(batch_id, _values(maybe, "_day"))
         same = [F.col("_day") == F.col("_k_day"), *[F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in self.names]]
         new = tested.filter(~F.col("_maybe")).unionByName(maybe.join(stored, same, "left_anti"))
-        return new.select(*batch.columns)
+        return self._held(new.select(*batch.columns), "unseen")
+
+    def _held(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.held_path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
-        if self._tested is not None:
-            self._tested.unpersist()
-            self._tested = None
+        K.remove(self.spark, self.held_path)
 
     def remember(self, unseen: DataFrame, batch_id: int) -> None:
         """Store the keys and their bits.  Stored twice after a failure, they say the same."""
@@ -161,28 +165,27 @@ def complete_outputs(history: KeyHistory | None = None, windows: WindowHistory |
     deliveries.  State is stored last, so a batch that fails on the way is repeated as a whole.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if history is None:
+            batch.persist()
         try:
             if batch.isEmpty():
                 return
-            first = batch if history is None else history.unseen(batch, batch_id).persist()
-            try:
-                if table is not None:
-                    mark = windows.watermark(batch_id) if windows is not None and late is not None else None
-                    behind = F.coalesce(F.col("event_timestamp") < F.lit(mark).cast("timestamp"), F.lit(False))
-                    K.write_batch(first.filter(~behind), batch_id, table)
-                    if late is not None:
-                        K.write_batch(first.filter(behind), batch_id, late)
-                if sketches is not None:
-                    K.write_batch(SK.run_sketches(first, ["run_id"]), batch_id, sketches)
-                if windows is not None:
-                    windows.add(first, batch_id)
-                if history is not None:
-                    history.remember(first, batch_id)
-            finally:
-                if first is not batch:
-                    first.unpersist()
-                    history.release()
+            first = batch if history is None else history.unseen(batch, batch_id)
+            if table is not None:
+                mark = windows.watermark(batch_id) if windows is not None and late is not None else None
+                behind = F.coalesce(F.col("event_timestamp") < F.lit(mark).cast("timestamp"), F.lit(False))
+                K.write_batch(first.filter(~behind), batch_id, table)
+                if late is not None:
+                    K.write_batch(first.filter(behind), batch_id, late)
+            if sketches is not None:
+                K.write_batch(SK.run_sketches(first, ["run_id"]), batch_id, sketches)
+            if windows is not None:
+                windows.add(first, batch_id)
+            if history is not None:
+                history.remember(first, batch_id)
         finally:
-            batch.unpersist()
+            if history is None:
+                batch.unpersist()
+            else:
+                history.release()
     return handle

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventwarden.operators import report as R
+from eventwarden.plans import fixture as FX
 from eventwarden.streaming import history as H
 
 from conftest import rows
@@ -105,3 +106,27 @@ def test_late_first_deliveries_land_in_their_table(spark, tmp_path):
     sides = {n: spark.read.parquet(p).drop("batch_id").collect() for n, p in paths.items()}
     assert sorted(str(tuple(r)) for side in sides.values() for r in side) == sorted(map(str, made))
     assert len(sides["late"]) > 10 and all(r.event_timestamp is not None for r in sides["late"])
+
+
+def test_a_small_batch_leaves_few_files(spark, tmp_path):
+    made, parts = deliveries()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        handle = H.complete_outputs(H.KeyHistory(spark, str(tmp_path / "s"), {"event_id": "bigint"}), table=str(tmp_path / "table"))
+        for batch_id, part in enumerate(parts[:2]):
+            handle(spark.createDataFrame(part, EVENT), batch_id)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for batch_id in (0, 1):
+        assert len(list((tmp_path / "table" / f"batch_id={batch_id}").glob("*.parquet"))) <= 4
+
+
+def test_deliveries_are_dealt_over_more_files_as_events_grow(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(FX, "FILE_EVENTS", 300)
+    FX.delivered_files(spark, sf_dir, str(tmp_path / "in"))
+    got = spark.read.parquet(str(tmp_path / "in")).groupBy(F.input_file_name()).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("event_id = 0").alias("hot")).collect()
+    assert len(got) == 40 and sum(r.hot for r in got) == 1002 and max(r.hot for r in got) < 60  # four times as many files
+    events = spark.read.parquet(str(tmp_path / "in")).groupBy("event_id").count().collect()
+    assert {r["count"] for r in events if r.event_id} == {2} and len(events) == 1000
