@@ -126,7 +126,7 @@ def test_deliveries_are_dealt_over_more_files_as_events_grow(spark, sf_dir, tmp_
     monkeypatch.setattr(FX, "FILE_EVENTS", 300)
     FX.delivered_files(spark, sf_dir, str(tmp_path / "in"))
     got = spark.read.parquet(str(tmp_path / "in")).groupBy(F.input_file_name()).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("event_id = 0").alias("hot")).collect()
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_id") == 0).alias("hot")).collect()
     assert len(got) == 40 and sum(r.hot for r in got) == 1002 and max(r.hot for r in got) < 60  # four times as many files
     events = spark.read.parquet(str(tmp_path / "in")).groupBy("event_id").count().collect()
     assert {r["count"] for r in events if r.event_id} == {2} and len(events) == 1000
