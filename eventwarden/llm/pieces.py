@@ -24,10 +24,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from array import array
 from collections import defaultdict
 from hashlib import sha256
-from itertools import count
+from itertools import chain, count, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -115,72 +115,82 @@ def _byte_ids(model: Model, char: Column) -> Column:
 
 
 def solve(units: DataFrame, model: Model) -> DataFrame:
-    """Adds the best path's ``ids`` to distinct units (bucket, unit, blocks) that are dealt by bucket.
+    """Adds the best path's ``ids`` to distinct units (bucket, unit, places) that are dealt by bucket.
 
-    The piece table has as many rows as the model file has pieces, so it is broadcast.  A unit's
-    blocks go along with its first edge, which every unit has.  An edge without an id is a
-    character that has no piece.
+    The piece table has as many rows as the model file has pieces, so it is broadcast.  Edges carry
+    the unit's number in its task; the unit and its places go along with its first edge only, which
+    every unit has.  An edge without an id is a character that has no piece.
     """
-    spark, by = units.sparkSession, ["bucket", "unit", "blocks"]
-    marked = units.withColumn("body", F.translate("unit", " ", SPACE))
-    stops = marked.select(*by, "body", F.explode(F.sequence(F.lit(1), F.length("body"))).alias("stop"))
-    subs = stops.select(*by, "stop", "body", F.explode(
+    numbered = units.select("bucket", F.monotonically_increasing_id().alias("number"), F.translate("unit", " ", SPACE).alias("body"),
+                            F.struct("unit", "places").alias("own"))
+    stops = numbered.select("bucket", "number", "body", "own", F.explode(F.sequence(F.lit(1), F.length("body"))).alias("stop"))
+    subs = stops.select("bucket", "number", "body", "own", "stop", F.explode(
         F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("stop")))).alias("size")) \
-        .withColumn("piece", F.substring(F.col("body"), F.col("stop") - F.col("size") + 1, F.col("size")))
-    edges = subs.join(F.broadcast(model.table(spark)), "piece", "left").filter("id IS NOT NULL OR size = 1")
+        .select("bucket", "number", "stop", "size", F.when(F.col("stop") == 1, F.col("own")).alias("own"),
+                F.substring(F.col("body"), F.col("stop") - F.col("size") + 1, F.col("size")).alias("piece"))
+    edges = subs.join(F.broadcast(model.table(units.sparkSession)), "piece", "left").filter("id IS NOT NULL OR size = 1")
     edge = F.struct("stop", "size", F.coalesce("score", F.lit(model.unknown())).alias("score"), "id")
-    first = F.when(F.col("stop") == 1, F.col("blocks"))
-    # the hash comes first: long keys are sorted by their bits, where the bucket is the same for all
-    lattice = edges.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit") \
-        .agg(F.collect_list(edge).alias("edges"), F.first(first, ignorenulls=True).alias("blocks"))
-    # a stop's edges follow each other by size, and one character is always an edge: a stop begins there
-    marks = "filter(transform(edges, (e, i) -> IF(e.size = 1, i + 1, NULL)), i -> i IS NOT NULL)"
-    stops = "transform(marks, (m, k) -> slice(edges, m, coalesce(get(marks, k + 1), size(edges) + 1) - m))"
-    best = ("aggregate(stops, array(0D), (b, g) -> "
-            "concat(b, array(array_max(transform(g, e -> b[e.stop - e.size] + e.score)))))")
-    # backwards, the last of the edges that reach a stop's best score: the longest piece wins ties
-    back = ("aggregate(stops, struct(size(stops) AS at, CAST(array() AS array<struct<stop: int, size: int, score: double, id: int>>) AS path), "
-            "(p, _) -> IF(p.at = 0, p, transform(array(element_at(filter(stops[p.at - 1], "
-            "e -> best[e.stop - e.size] + e.score = best[e.stop]), -1)), "
-            "e -> struct(p.at - e.size AS at, concat(array(e), p.path) AS path))[0]), p -> p.path)")
-    solved = lattice.withColumn("edges", F.sort_array("edges")).withColumn("marks", F.expr(marks)) \
-        .withColumn("stops", F.expr(stops)).withColumn("best", F.expr(best)).select(*by, F.expr(back).alias("path"))
-    plain = F.transform("path", lambda e: e["id"])
-    spelt = F.flatten(F.transform("path", lambda e: F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(
-        _byte_ids(model, F.substring(F.translate("unit", " ", SPACE), e["stop"], F.lit(1))))))
-    return solved.select(*by, F.when(F.exists("path", lambda e: e["id"].isNull()), spelt).otherwise(plain).alias("ids"))
+    lattice = edges.groupBy("number", "bucket").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first("own", ignorenulls=True).alias("own"))
+    # one character is always an edge, and a stop's edges begin with it: the stop before it is done by then.
+    # Each stop keeps the last of the edges with its best score: the longest piece wins ties
+    kind = "struct<stop: int, size: int, score: double, id: int>"
+    kept = (f"aggregate(edges, named_struct('done', CAST(array() AS array<struct<score: double, edge: {kind}>>), 'score', 0D, 'edge', CAST(NULL AS {kind})), "
+            "(p, e) -> IF(e.size = 1, "
+            "named_struct('done', concat(p.done, array(named_struct('score', p.score, 'edge', p.edge))), 'score', p.score + e.score, 'edge', e), "
+            "IF(p.done[e.stop - e.size].score + e.score >= p.score, "
+            "named_struct('done', p.done, 'score', p.done[e.stop - e.size].score + e.score, 'edge', e), p)), "
+            "p -> concat(p.done.edge, array(p.edge)))")
+    # backwards from the end; a character without a piece is its place below zero
+    path = ("aggregate(reverse(kept), named_struct('at', length(own.unit), 'path', CAST(array() AS array<int>)), "
+            "(p, e) -> IF(e.stop = p.at, named_struct('at', p.at - e.size, 'path', concat(p.path, array(coalesce(e.id, -e.stop)))), p), "
+            "p -> reverse(p.path))")
+    solved = lattice.withColumn("kept", F.expr(kept)).select("bucket", "own", F.expr(path).alias("path"))
+    spelt = F.flatten(F.transform("path", lambda i: F.when(i >= 0, F.array(i)).otherwise(
+        _byte_ids(model, F.substring(F.translate("own.unit", " ", SPACE), -i, F.lit(1))))))
+    return solved.select("bucket", "own.*", F.when(F.array_min("path") < 0, spelt).otherwise(F.col("path")).alias("ids"))
 
 
 class _Block:
     """Numbers the tokens of a block's texts, and the units of the distinct tokens only.
 
     A token is what stands between two spaces, read with the space before it; a text with other
-    spaces than single ones inside is cut into units right away.
+    spaces than single ones inside is cut into units right away, which are its tokens.
     """
 
-    def __init__(self, pattern: str):
-        self.split = re.compile(pattern)
-        self.spaced, self.units = defaultdict(count().__next__), defaultdict(count().__next__)
-
-    def add(self, text: str | None) -> tuple[bool, np.ndarray]:
-        """Whether the tokens are read with a space, and their numbers."""
-        text = (text or "").replace(SPACE, " ")
-        spaced = not (not text or "  " in text or text[0] == " " or text[-1] == " ")
-        own, tokens = (self.spaced, text.split(" ")) if spaced else (self.units, split_units(self.split, text))
-        return spaced, np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens))
-
-    def token_units(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-        """Units by number, the numbers of all tokens' units, and how many each token has: spaced tokens, then units."""
-        number: defaultdict[str, int] = defaultdict(count().__next__)
-        flat, sizes = array("i"), array("i")
-        for token in self.spaced:
-            found = self.split.findall(" " + token)
-            flat.extend([number[u] for u in found])
-            sizes.append(len(found))
-        for unit in self.units:
-            flat.append(number[unit])
-            sizes.append(1)
-        return number, np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.array(sizes, np.int64)
+    def __init__(self, pattern: str, texts):
+        split, own = re.compile(pattern), defaultdict(count().__next__)
+        parts: list[np.ndarray | None] = []
+        spaced = []
+        for text in texts:
+            text = (text or "").replace(SPACE, " ")
+            if not text or "  " in text or text[0] == " " or text[-1] == " ":
+                found = split_units(split, text)
+                parts.append(np.fromiter(map(own.__getitem__, found), np.int32, len(found)))
+            else:
+                parts.append(None)
+                spaced.append(text)
+        lists = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+        del spaced
+        coded = lists.flatten().dictionary_encode()
+        tokens, numbers, ends = coded.dictionary, coded.indices.to_numpy(), lists.offsets.to_numpy()
+        at = iter(zip(ends, ends[1:]))
+        #: The numbers of each text's tokens: those between spaces come first, then units.
+        self.parts = [numbers[slice(*next(at))] if p is None else p + len(tokens) for p in parts]
+        # letters alone are one unit
+        whole = pc.and_(pc.ascii_is_alpha(tokens), pc.less_equal(pc.binary_length(tokens), MAX_UNIT))
+        found = [split.findall(" " + t) for t in tokens.filter(pc.invert(whole)).to_numpy(zero_copy_only=False)]
+        space, empty = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        units = pa.concat_arrays([pc.binary_join_element_wise(empty, tokens.filter(whole), space),
+                                  pa.array(chain.from_iterable(found), pa.large_string()), pa.array(list(own), pa.large_string())]).dictionary_encode()
+        whole = whole.to_numpy(zero_copy_only=False)
+        #: How many units each token has, all tokens' units by number, and the units.
+        self.counts = np.ones(len(tokens) + len(own), np.int64)
+        self.counts[:len(tokens)][~whole] = list(map(len, found))
+        single = (np.cumsum(self.counts) - self.counts)[:len(tokens)][whole]
+        self.flat, other = np.empty(len(units), np.int32), np.ones(len(units), bool)
+        other[single] = False
+        self.flat[single], self.flat[other] = units.indices[:len(single)].to_numpy(), units.indices[len(single):].to_numpy()
+        self.units = units.dictionary
 
 
 def _compressed(batches):
@@ -191,43 +201,44 @@ def _compressed(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("block"), pa.array(texts, pa.binary())], ["doc_id", "block", "text"])
 
 
-def _texts(column):
+def _texts(packed):
     unpack = zstandard.ZstdDecompressor().decompress
-    return (None if t is None else unpack(t).decode() for t in column.to_pylist())
+    return (None if t is None else unpack(t).decode() for t in packed)
 
 
 def _block_units(pattern: str, buckets: int):
-    """A block's distinct units, one row per bucket: sorted, and joined by the one character that
+    """A block's distinct units, one row per bucket: in order, and joined by the one character that
     is a unit by itself only (written as an empty one).  Blocks come one after the other.
     """
 
     def run(batches):
-        block, held = None, None
-        for batch in batches:
-            for number, text in zip(batch.column("block").to_pylist(), _texts(batch.column("text"))):
-                if number != block:
-                    if held:
-                        yield rows_of(block, held)
-                    block, held = number, _Block(pattern)
-                held.add(text)
-        if held:
-            yield rows_of(block, held)
-
-    def rows_of(block: int, held: _Block) -> pa.RecordBatch:
-        rows = in_buckets(held.token_units()[0], buckets)
+        packed = ((number, text) for batch in batches for number, text in
+                  zip(batch.column("block").to_pylist(), batch.column("text").to_pylist()))
+        for block, of_block in groupby(packed, itemgetter(0)):
+            yield rows_of(block, _Block(pattern, _texts(t for _, t in of_block)).units)
+
+    def rows_of(block: int, units: pa.Array) -> pa.RecordBatch:
+        used, order, ends = in_buckets(units, buckets)
+        written = pc.if_else(pc.equal(units, BREAK), pa.scalar("", pa.large_string()), units).to_numpy(zero_copy_only=False)[order]
         return pa.RecordBatch.from_pydict({
-            "bucket": pa.array(list(rows), pa.int32()), "block": pa.array([block] * len(rows), pa.int32()),
-            "units": pa.array([BREAK.join("" if u == BREAK else u for u in r) for r in rows.values()], pa.string())})
+            "bucket": pa.array(used, pa.int32()), "block": pa.array([block] * len(used), pa.int32()),
+            "units": pa.array([BREAK.join(written[start:end]) for start, end in zip(ends, ends[1:])], pa.string())})
 
     return run
 
 
-def in_buckets(units, buckets: int) -> dict[int, list[str]]:
-    """bucket -> its units, sorted."""
-    rows: dict[int, list[str]] = {}
-    for u in sorted(units):
-        rows.setdefault(zlib.crc32(u.encode()) % buckets, []).append(u)
-    return rows
+def in_buckets(units: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets of distinct units, the units' numbers by bucket in an order that depends on nothing
+    but the units, and where each bucket's begin, and the end."""
+    raw = units.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    code = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw))
+    key = code % buckets << 32 | code
+    order = np.argsort(key)
+    same = np.flatnonzero(np.diff(key[order]) == 0)
+    for run in np.split(same, np.flatnonzero(np.diff(same) > 1) + 1) if len(same) else ():  # one code: by their bytes
+        order[run[0]:run[-1] + 2] = sorted(order[run[0]:run[-1] + 2], key=raw.__getitem__)
+    used, first = np.unique(key[order] >> 32, return_index=True)
+    return used, order, np.append(first, len(order))
 
 
 def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,28 +252,27 @@ def _encode_block(pattern: str, buckets: int, pieces: tuple[np.ndarray, np.ndarr
     pieces, the ids are decoded again and the digest of each text goes with them."""
 
     def run(docs: pa.Table, solved: pa.Table) -> pa.Table:
-        block = _Block(pattern)
-        texts = [block.add(t) for t in _texts(docs["text"])]
-        spaced = len(block.spaced)
-        number, units, counts = block.token_units()
+        block = _Block(pattern, _texts(docs["text"].to_pylist()))
+        texts, units, counts, n_units = block.parts, block.flat, block.counts, len(block.units)
+        used, order, ends = in_buckets(block.units, buckets)
         del block
-        mine = in_buckets(number, buckets)
-        place, sizes, flat = np.zeros(len(number), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        mine = {b: order[start:end] for b, start, end in zip(used.tolist(), ends, ends[1:])}
+        place, sizes, flat = np.zeros(n_units, np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         done = 0
         for bucket, n, ids in zip(solved["bucket"].to_pylist(), solved["sizes"], solved["ids"]):
             own = mine.pop(bucket)
-            place[[number[u] for u in own]] = np.arange(done, done + len(own))
+            place[own] = np.arange(done, done + len(own))
             done += len(own)
             sizes.append(n.values.to_numpy())
             flat.append(ids.values.to_numpy())
         size, flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flat).astype(np.int32)
-        if len(size) != len(number) or done != len(number):
+        if len(size) != n_units or done != n_units:
             raise RuntimeError("a block's units and their ids don't match")
         # ids by unit, then by token, then by text
         flat, n = _gather(flat, np.cumsum(size) - size, size, place[units])
         ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])]
         first, size = ends[:-1], np.diff(ends)
-        parts = [_gather(flat, first, size, at if with_space else at + spaced)[0] for with_space, at in texts]
+        parts = [_gather(flat, first, size, at)[0] for at in texts]
         ends = np.cumsum([0, *map(len, parts)])
         ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(parts) if parts else flat[:0], pa.int32()))
         del parts, flat, first, size
@@ -292,13 +302,18 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")) \
         .mapInArrow(_compressed, "doc_id long, block int, text binary").repartition(blocks, "block")
     sent = dealt.sortWithinPartitions("block").mapInArrow(_block_units(model.pattern, buckets), "bucket int, block int, units string").repartition(buckets, "bucket")
-    units = sent.select("bucket", "block", F.explode(F.split("units", BREAK)).alias("unit")) \
-        .select("bucket", "block", F.when(F.col("unit") == "", BREAK).otherwise(F.col("unit")).alias("unit"))
-    where = units.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit").agg(F.collect_list("block").alias("blocks"))
-    back = solve(where, model).select("bucket", F.explode("blocks").alias("block"), "unit", "ids") \
-        .groupBy("bucket", "block").agg(F.array_sort(F.collect_list(F.struct("unit", "ids"))).alias("x")) \
+    width = "smallint" if max(model.encoded) < 2 ** 15 else "int"
+    # a place is the block and, in the lower 32 bits, where the unit stands in the block's row
+    units = sent.select("bucket", "block", F.posexplode(F.split("units", BREAK)).alias("at", "unit")) \
+        .select("bucket", F.when(F.col("unit") == "", BREAK).otherwise(F.col("unit")).alias("unit"),
+                F.shiftleft(F.col("block").cast("long"), 32).bitwiseOR(F.col("at")).alias("place"))
+    # the hash comes first: long keys are sorted by their bits, where the bucket is the same for all
+    where = units.groupBy(F.xxhash64("unit").alias("hash"), "bucket", "unit").agg(F.collect_list("place").alias("places"))
+    back = solve(where, model).select("bucket", F.explode("places").alias("place"), "ids") \
+        .groupBy("bucket", F.shiftright("place", 32).cast("int").alias("block")) \
+        .agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("x")) \
         .select("bucket", "block", F.transform("x", lambda u: F.size(u["ids"]).cast("smallint")).alias("sizes"),
-                F.flatten("x.ids").alias("ids"))
+                F.flatten("x.ids").cast(f"array<{width}>").alias("ids"))
     return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         _encode_block(model.pattern, buckets, _piece_bytes(model) if decoded else None), _ENCODED + ", decoded_sha256 string" * decoded)
 

@@ -151,6 +151,34 @@ def test_no_piece_crosses_units(model):
     assert all(split.fullmatch(p.replace(pieces.SPACE, " ")) for p in model.pieces)
 
 
+def test_tokens_of_a_block_are_numbered_once(model):
+    """Letters between spaces are units as the pattern cuts them, in every mixture of texts; equal hashes are put in the order of the bytes."""
+    rng, split = random.Random(5), re.compile(model.pattern)
+    words = ["plain", "Word", "naïve", "don't", "a1", "2024", "x,", "...", "é", "²", "_", "日本", "\n", "two\nlines", "x" * 1024, "y" * 1025, "plumless", "buckeroo"]
+    texts = [None, "", " ", "a", " a", "a  b", "plain ▁ x"] + [" ".join(rng.choices(words, k=rng.randrange(1, 30))) for _ in range(200)]
+    block = pieces._Block(model.pattern, texts)
+    units, ends = block.units.to_pylist(), np.cumsum([0, *block.counts])
+    assert len(set(units)) == len(units)
+    for text, part in zip(texts, block.parts):
+        assert [units[u] for t in part for u in block.flat[ends[t]:ends[t + 1]]] == pieces.split_units(split, text)
+    one, other = (pa.array(x, pa.large_string()) for x in (["buckeroo", "plain", "plumless", "a"], ["a", "plumless", "buckeroo", "plain"]))
+    for buckets in (1, 3):  # the first two have one CRC-32
+        (used, order, at), (used_2, order_2, at_2) = pieces.in_buckets(one, buckets), pieces.in_buckets(other, buckets)
+        assert used.tolist() == used_2.tolist() and at.tolist() == at_2.tolist() and one.take(pa.array(order)) == other.take(pa.array(order_2))
+    assert [len(x) for x in pieces.in_buckets(one[:0], 3)] == [0, 0, 1]
+
+
+def test_units_go_through_the_lattice_without_their_blocks(spark, model):
+    """Every edge used to carry its unit and all the unit's blocks through the join and the grouping."""
+    units = spark.createDataFrame([(0, " running", list(range(500))), (0, "\n", [3]), (1, " a日" + "x" * 40, [1, 2])], "bucket int, unit string, places array<long>")
+    found = pieces.solve(units, model)
+    got_ids = {r.unit: (r.bucket, r.places, r.ids) for r in found.collect()}
+    assert got_ids == {r.unit: (r.bucket, r.places, best_path(model, r.unit.replace(" ", pieces.SPACE))) for r in units.collect()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    grouping = next(line for line in plan.splitlines() if "Aggregate" in line)
+    assert grouping.split("Aggregate")[1].startswith(" [number") and "places" not in grouping.split("]")[0]
+
+
 # -- 2 and 3: quality -------------------------------------------------------------
 
 def base(text):
